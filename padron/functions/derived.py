@@ -78,7 +78,11 @@ def iso_in_zone(instant: Column, zone: str = model.TIME_ZONE) -> Column:
     """ISO text of an instant with the offset of ``zone``; fractions only when not zero."""
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    minutes = F.timestamp_diff("MINUTE", utc, local)
+    minutes = (
+        F.datediff(local, utc) * 1440
+        + (F.hour(local) - F.hour(utc)) * 60
+        + (F.minute(local) - F.minute(utc))
+    )
     sign = F.when(minutes < 0, "-").otherwise("+")
     size = F.abs(minutes)
     offset = F.format_string("%s%02d:%02d", sign, F.floor(size / 60), size % 60)

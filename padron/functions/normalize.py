@@ -64,8 +64,9 @@ def parse_fecha(fecha: Column) -> Column:
     The digit widths are checked first: a bare cast would also take ``1999-1`` or longer fields.
     """
     text = strip(fecha)
-    parts = F.split(F.translate(text, "/", "-"), "-")
-    iso = F.when(text.rlike(_YEAR_FIRST), F.array_join(parts, "-")).when(
+    dashed = F.translate(text, "/", "-")
+    parts = F.split(dashed, "-")
+    iso = F.when(text.rlike(_YEAR_FIRST), dashed).when(
         text.rlike(_DAY_FIRST), F.concat_ws("-", F.get(parts, 2), F.get(parts, 1), F.get(parts, 0))
     )
     return iso.try_cast("date")
