@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 from padron import model
 from padron.functions.asof import AsOf
 from padron.functions.derived import has_13_characters
-from padron.functions.rules import EDAD_MAX, NAME_PATTERN, parse_moment
-from padron.functions.text import has_number, has_text, is_one_of, strip
+from padron.functions.rules import EDAD_MAX, MARK, NAME_PATTERN, parse_moment
+from padron.functions.text import has_number, has_text, is_one_of, null_if_empty, strip
 
 ERROR_TYPE = "array<struct<campo:string,mensaje:string>>"
 SEPARATOR = " -> "
+# Ends the field name inside a text of errors; never part of a name or message.
+FIELD_END = "\x1e"
 
 # Texts of the built-in checks.
 NOT_STRING = "Input should be a valid string"
@@ -60,16 +62,21 @@ def _at_least(n: int) -> str:
 
 
 def _errors(*fields: tuple[str, Column]) -> Column:
-    """List of the (field, message) pairs whose message is not null."""
-    none = F.array().cast(ERROR_TYPE)
-    parts = [
-        F.when(
-            m.isNotNull(),
-            F.array(F.struct(F.lit(name).alias("campo"), m.alias("mensaje"))).cast(ERROR_TYPE),
-        ).otherwise(none)
-        for name, m in fields
-    ]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    """Text of the (field, message) pairs whose message is not null, each pair mentioned once;
+    :func:`error_list` turns it into a list."""
+    return F.concat_ws(MARK, *[F.concat(F.lit(name + FIELD_END), m) for name, m in fields])
+
+
+def error_list(text: Column) -> Column:
+    """List of structs from the text of :func:`_errors`."""
+
+    def pair(entry: Column) -> Column:
+        return F.struct(
+            F.substring_index(entry, FIELD_END, 1).alias("campo"),
+            F.substring_index(entry, FIELD_END, -1).alias("mensaje"),
+        )
+
+    return F.transform(F.array_remove(F.split(text, MARK), ""), pair)
 
 
 def _first(*checks: tuple[Column, str]) -> Column:
@@ -254,31 +261,31 @@ def _join(*parts: str) -> str:
 
 
 def nombre_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_nombre_rules(doc, prefix))
+    return error_list(_errors(*_nombre_rules(doc, prefix)))
 
 
 def direccion_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_direccion_rules(doc, prefix))
+    return error_list(_errors(*_direccion_rules(doc, prefix)))
 
 
 def contacto_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_contacto_rules(doc, prefix))
+    return error_list(_errors(*_contacto_rules(doc, prefix)))
 
 
 def responsable_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_responsable_rules(doc, prefix))
+    return error_list(_errors(*_responsable_rules(doc, prefix)))
 
 
 def referencias_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_referencias_rules(doc, prefix))
+    return error_list(_errors(*_referencias_rules(doc, prefix)))
 
 
 def datos_extra_errors(doc: Column, as_of: AsOf, prefix: str = "") -> Column:
-    return _errors(*_datos_extra_rules(doc, prefix, as_of))
+    return error_list(_errors(*_datos_extra_rules(doc, prefix, as_of)))
 
 
 def metadatos_errors(doc: Column, prefix: str = "") -> Column:
-    return _errors(*_metadatos_rules(doc, prefix))
+    return error_list(_errors(*_metadatos_rules(doc, prefix)))
 
 
 # --------------------------------------------------------------------------- cleaned values
@@ -338,11 +345,16 @@ def death_rule(estado: Column, datos_extra: Column) -> Column:
 
 def paciente_errors(as_of: AsOf) -> Column:
     """Scalar fields and the identifier rule of a record, without its documents."""
-    fields = _errors(*scalar_rules(as_of))
     c = F.col
     none_given = ~identifier_present(c("expediente"), c("cui"), c("pasaporte"))
-    model_level = _errors(("", _first((none_given, NO_IDENTIFIER))))
-    return F.when(F.size(fields) > 0, fields).otherwise(model_level)
+    return _fields_else_whole(
+        _errors(*scalar_rules(as_of)), _errors(("", _first((none_given, NO_IDENTIFIER))))
+    )
+
+
+def _fields_else_whole(fields: Column, whole: Column) -> Column:
+    """Errors of the fields; those of the record as a whole only when there are none."""
+    return error_list(F.coalesce(null_if_empty(fields), whole))
 
 
 def update_errors(mask: Column, as_of: AsOf) -> Column:
@@ -366,12 +378,12 @@ def update_errors(mask: Column, as_of: AsOf) -> Column:
     }
     for field, doc_rules in documents.items():
         rules += [(name, F.when(c(field).isNotNull(), m)) for name, m in doc_rules]
-    return _errors(
+    return error_list(_errors(
         *[
             (name, F.when(F.array_contains(mask, name.split(SEPARATOR)[0]), m))
             for name, m in rules
         ]
-    )
+    ))
 
 
 def record_errors(rows: DataFrame, as_of: AsOf, metadatos: bool = True) -> DataFrame:
@@ -400,11 +412,11 @@ def record_errors(rows: DataFrame, as_of: AsOf, metadatos: bool = True) -> DataF
     whole = F.coalesce(
         _first((none_given, NO_IDENTIFIER)), death_rule(c("estado"), c("datos_extra"))
     )
-    # Two projections: the second reads the field errors instead of repeating them.
-    checked = rows.withColumn("errores", _errors(*rules))
-    return checked.withColumn(
-        "errores",
-        F.when(F.size("errores") > 0, c("errores")).otherwise(_errors(("", whole))),
+    # Two projections: the second reads the text of the field errors instead of repeating it.
+    return (
+        rows.withColumns({"_fields": _errors(*rules), "_whole": _errors(("", whole))})
+        .withColumn("errores", _fields_else_whole(c("_fields"), c("_whole")))
+        .drop("_fields", "_whole")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from padron import model
 from padron.functions.asof import AsOf
 from padron.functions.normalize import is_yes
-from padron.functions.text import has_number, has_text, null_if_empty
+from padron.functions.text import div, has_text, null_if_empty
 
 NO_NAME = "Sin nombre"
 
@@ -74,21 +74,26 @@ def enrich_response(rows: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def iso_in_zone(instant: Column, zone: str = model.TIME_ZONE) -> Column:
+def iso_in_zone(at: Column, zone: str = model.TIME_ZONE) -> Column:
     """ISO text of an instant with the offset of ``zone``; fractions only when not zero."""
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    minutes = (
-        F.datediff(local, utc) * 1440
-        + (F.hour(local) - F.hour(utc)) * 60
-        + (F.minute(local) - F.minute(utc))
+    shifted = F.from_utc_timestamp(at, zone)
+    minutes = div(F.unix_seconds(shifted) - F.unix_seconds(at), 60)
+    offset = F.concat(
+        F.when(minutes < 0, "-").otherwise("+"),
+        F.lpad(div(F.abs(minutes), 60).cast("string"), 2, "0"),
+        F.lit(":"),
+        F.lpad((F.abs(minutes) % 60).cast("string"), 2, "0"),
     )
-    sign = F.when(minutes < 0, "-").otherwise("+")
-    size = F.abs(minutes)
-    offset = F.format_string("%s%02d:%02d", sign, F.floor(size / 60), size % 60)
-    micros = F.date_format(local, "SSSSSS")
-    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit(""))
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), fraction, offset)
+    # Formatting reads an instant in the session's zone.
+    return F.concat(iso_text(F.to_utc_timestamp(shifted, F.current_timezone())), offset)
+
+
+def iso_text(moment: Column) -> Column:
+    """ISO text of a timestamp; fractions only when not zero."""
+    fraction = F.when(
+        F.date_part(F.lit("SECONDS"), moment) % 1 != 0, F.date_format(moment, ".SSSSSS")
+    ).otherwise(F.lit(""))
+    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), fraction)
 
 
 def export_target(rows: DataFrame, as_of: AsOf, zone: str = model.TIME_ZONE) -> DataFrame:
@@ -141,13 +146,6 @@ def es_gemelo(gemelo: Column) -> Column:
     return is_yes(gemelo)
 
 
-def iso_text(moment: Column) -> Column:
-    """ISO text of a timestamp without zone; fractions only when not zero."""
-    micros = F.date_format(moment, "SSSSSS")
-    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit(""))
-    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), fraction)
-
-
 def export_legacy(rows: DataFrame) -> DataFrame:
     """Every legacy field, dates as ISO text, plus four computed fields."""
     text = {

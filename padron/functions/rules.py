@@ -1,11 +1,14 @@
 """Business rules of a record. Each builder returns the list of messages a row earns.
 
-A list is made by joining one-element arrays: that stays inside generated code, where a
-``filter`` over an array of candidates would leave it.
+A rule is a Column with a message, null where it holds, and appears once in the list it goes
+into: rules are long expressions, and a second mention would double the generated code.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,22 +52,22 @@ CHECK_FIELDS = (
 )
 
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
+# Joins the messages of a list; never part of one.
+MARK = "\x1f"
 
 
-def messages(*checks: tuple[Column, Column | str]) -> Column:
-    """Messages of the (failed condition, message) pairs that hold, in order."""
-    parts = [
-        F.when(bad, F.array(m if isinstance(m, Column) else F.lit(m))).otherwise(_none())
-        for bad, m in checks
-    ]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+def failed(bad: Column, message: str) -> Column:
+    """The message where the condition holds, else null."""
+    return F.when(bad, F.lit(message))
 
 
-def from_message(message: Column) -> Column:
-    """One-message list, empty when the message is null."""
-    return messages((message.isNotNull(), message))
+def message_list(*rules: Column) -> Column:
+    """The messages that are not null, in order.
+
+    Joining texts and splitting them again stays inside generated code, where a ``filter``
+    over an array would leave it, and mentions each rule once.
+    """
+    return F.array_remove(F.split(F.concat_ws(MARK, *rules), MARK), "")
 
 
 # --------------------------------------------------------------------------- identifiers
@@ -77,21 +80,20 @@ def expected_check_digit(cui: Column) -> Column:
     """
     base = div(cui, 10)
     total = sum(((div(base, 10**k) % 10) * (k + 2) for k in range(1, 12)), (base % 10) * 2)
-    digit = 11 - total % 11
-    return F.when(digit == 11, F.lit(0)).otherwise(digit).cast("int")
+    return ((11 - total % 11) % 11).cast("int")
+
+
+CHECK_DIGIT_MESSAGES = [
+    *(f"Dígito verificador incorrecto (esperado: {d})" for d in range(10)),
+    "CUI con dígito verificador inválido (módulo 10)",
+]
 
 
 def cui_check_message(cui: Column) -> Column:
     """Message of a 13-digit id whose last digit does not fit, else null."""
     expected = expected_check_digit(cui)
-    return F.when(
-        expected == 10, F.lit("CUI con dígito verificador inválido (módulo 10)")
-    ).when(
-        expected != cui % 10,
-        F.concat(
-            F.lit("Dígito verificador incorrecto (esperado: "), expected.cast("string"), F.lit(")")
-        ),
-    )
+    texts = F.array(*[F.lit(m) for m in CHECK_DIGIT_MESSAGES])
+    return F.when(expected != cui % 10, F.get(texts, expected))
 
 
 def cui_message(cui: Column) -> Column:
@@ -108,43 +110,59 @@ def es_cui_valido(cui: Column) -> Column:
 
 
 def pasaporte_message(pasaporte: Column) -> Column:
-    text = strip(pasaporte)
-    both = text.rlike(r"\p{L}") & text.rlike(f"[{digit_class()}]")
+    both = pasaporte.rlike(r"\p{L}") & pasaporte.rlike(f"[{digit_class()}]")
     return F.when(
         has_text(pasaporte),
         F.when(
-            F.length(text) > PASAPORTE_MAX, F.lit(f"Pasaporte muy largo (máx {PASAPORTE_MAX})")
+            F.length(strip(pasaporte)) > PASAPORTE_MAX,
+            F.lit(f"Pasaporte muy largo (máx {PASAPORTE_MAX})"),
         ).when(~both, F.lit("Pasaporte debe contener letras y números")),
     )
 
 
 def expediente_message(expediente: Column) -> Column:
-    text = strip(expediente)
+    form = rf"^[{BLANK}]*(DUP-|[{digit_class()}]+[{BLANK}]*\z)"
     return (
         F.when(~has_text(expediente), F.lit("Expediente es requerido"))
         .when(
-            F.length(text) > EXPEDIENTE_MAX,
+            F.length(strip(expediente)) > EXPEDIENTE_MAX,
             F.lit(f"Expediente muy largo (máx {EXPEDIENTE_MAX})"),
         )
         .when(
-            ~text.startswith("DUP-") & ~text.rlike(rf"^[{digit_class()}]+\z"),
+            ~expediente.rlike(form),
             F.lit("Expediente debe ser numérico o formato DUP-{id}"),
         )
     )
 
 
-def identificadores_check(expediente: Column, cui: Column, pasaporte: Column) -> Column:
-    """Struct ``valido, errores``. Only a row whose three identifiers all fail is invalid;
-    an absent id or passport counts as valid, so a wrong id alone never fails here."""
-    e, c, p = expediente_message(expediente), cui_message(cui), pasaporte_message(pasaporte)
+def identifier_messages(e: Column, c: Column, p: Column) -> Column:
+    """List of the messages of the three identifiers, plus one when all of them fail."""
     all_bad = e.isNotNull() & c.isNotNull() & p.isNotNull()
-    found = messages(
-        (e.isNotNull(), e),
-        (c.isNotNull(), c),
-        (p.isNotNull(), p),
-        (all_bad, "Debe proporcionar al menos un identificador válido"),
+    return message_list(
+        e, c, p, failed(all_bad, "Debe proporcionar al menos un identificador válido")
+    )
+
+
+def check_identificadores(rows: DataFrame, expediente: str, cui: str, pasaporte: str) -> DataFrame:
+    """Rows plus ``valido, errores``. Only a row whose three identifiers all fail is invalid;
+    an absent id or passport counts as valid, so a wrong id alone never fails here."""
+    e, c, p = F.col("_e"), F.col("_c"), F.col("_p")
+    return (
+        rows.withColumns(
+            {
+                "_e": expediente_message(F.col(expediente).cast("string")),
+                "_c": cui_message(F.col(cui)),
+                "_p": pasaporte_message(F.col(pasaporte)),
+            }
+        )
+        .withColumns(
+            {
+                "valido": e.isNull() | c.isNull() | p.isNull(),
+                "errores": identifier_messages(e, c, p),
+            }
+        )
+        .drop("_e", "_c", "_p")
     )
-    return F.struct((~all_bad).alias("valido"), found.alias("errores"))
 
 
 # --------------------------------------------------------------------------- documents
@@ -155,34 +173,35 @@ def nombre_messages(nombre: Column) -> Column:
 
     A missing document counts as one that is not an object.
     """
-    required = [
-        (~has_text(nombre.getField(f)), f"{f} es requerido")
-        for f in ("primer_nombre", "primer_apellido")
-    ]
-    parts = []
+    found = [failed(nombre.isNull(), "Nombre debe ser un objeto JSON")]
+    for field in ("primer_nombre", "primer_apellido"):
+        absent = nombre.isNotNull() & ~has_text(nombre.getField(field))
+        found.append(failed(absent, f"{field} es requerido"))
     for field in model.NOMBRE.fieldNames():
         value = nombre.getField(field)
-        parts.append((F.length(value) > NOMBRE_MAX, f"{field} muy largo (máx {NOMBRE_MAX})"))
-        parts.append(
-            (has_text(value) & ~value.rlike(NAME_PATTERN), f"{field} contiene caracteres inválidos")
+        found.append(
+            failed(F.length(value) > NOMBRE_MAX, f"{field} muy largo (máx {NOMBRE_MAX})")
         )
-    return F.when(nombre.isNull(), F.array(F.lit("Nombre debe ser un objeto JSON"))).otherwise(
-        messages(*required, *parts)
-    )
+        # An empty text passes: only parts that say something are looked at.
+        found.append(
+            failed(~value.rlike(f"^$|{NAME_PATTERN}"), f"{field} contiene caracteres inválidos")
+        )
+    return message_list(*found)
 
 
 def sexo_messages(sexo: Column) -> Column:
-    return messages(
-        (~is_one_of(sexo, model.SEXO_VALUES), "Sexo debe ser uno de: M, F, NF")
+    return message_list(
+        failed(~is_one_of(sexo, model.SEXO_VALUES), "Sexo debe ser uno de: M, F, NF")
     )
 
 
 def fecha_nacimiento_messages(fecha: Column, as_of: AsOf) -> Column:
-    return from_message(
-        F.when(fecha > as_of.today, F.lit("Fecha de nacimiento no puede ser futura")).when(
+    return message_list(
+        failed(fecha > as_of.today, "Fecha de nacimiento no puede ser futura"),
+        failed(
             fecha < as_of.years_ago(EDAD_MAX),
-            F.lit(f"Fecha de nacimiento muy antigua (máx {EDAD_MAX} años)"),
-        )
+            f"Fecha de nacimiento muy antigua (máx {EDAD_MAX} años)",
+        ),
     )
 
 
@@ -193,22 +212,25 @@ def contacto_messages(contacto: Column, local_phone: bool = False) -> Column:
     """
     phone, mail = contacto.getField("telefono_principal"), contacto.getField("email")
     address = contacto.getField("direccion")
-    checks = [
-        (F.length(phone) > TELEFONO_MAX, f"Teléfono muy largo (máx {TELEFONO_MAX})"),
-        (has_text(mail) & ~mail.rlike(EMAIL_PATTERN), "Formato de email inválido"),
-        (
+    found = [
+        failed(F.length(phone) > TELEFONO_MAX, f"Teléfono muy largo (máx {TELEFONO_MAX})"),
+        failed(~mail.rlike(f"^$|{EMAIL_PATTERN}"), "Formato de email inválido"),
+        failed(
             address.isNotNull() & ~has_text(address.getField("linea1")),
             "Dirección debe incluir al menos linea1",
         ),
     ]
     if local_phone:
-        bad = has_text(phone) & ~phone.rlike(LOCAL_PHONE_PATTERN)
-        checks.insert(1, (bad, "Formato de teléfono inválido"))
-    return messages(*checks)
+        found.insert(
+            1, failed(~phone.rlike(f"^$|{LOCAL_PHONE_PATTERN}"), "Formato de teléfono inválido")
+        )
+    return message_list(*found)
 
 
 def estado_messages(estado: Column) -> Column:
-    return messages((~is_one_of(estado, model.ESTADO_VALUES), "Estado debe ser uno de: V, F"))
+    return message_list(
+        failed(~is_one_of(estado, model.ESTADO_VALUES), "Estado debe ser uno de: V, F")
+    )
 
 
 def referencias_messages(referencias: Column) -> Column:
@@ -216,13 +238,15 @@ def referencias_messages(referencias: Column) -> Column:
     documents see :func:`es_gemelo_type_messages`."""
     cui = referencias.getField("responsable").getField("cui")
     problem = F.when(has_number(cui), cui_message(cui))
-    return messages((problem.isNotNull(), F.concat(F.lit("CUI del responsable: "), problem)))
+    return message_list(F.concat(F.lit("CUI del responsable: "), problem))
 
 
 def es_gemelo_type_messages(doc: Column) -> Column:
     """Type of ``es_gemelo`` in a JSON document given as a variant."""
     kind = F.schema_of_variant(F.try_variant_get(doc, "$.es_gemelo", "variant"))
-    return messages((~kind.isin("BOOLEAN", "VOID"), "es_gemelo debe ser true o false"))
+    return message_list(
+        failed(~kind.isin("BOOLEAN", "VOID"), "es_gemelo debe ser true o false")
+    )
 
 
 def parse_moment(text: Column) -> Column:
@@ -235,13 +259,11 @@ def parse_moment(text: Column) -> Column:
 def datos_extra_messages(datos: Column, as_of: AsOf) -> Column:
     text = datos.getField("defuncion").getField("fecha_hora")
     moment = parse_moment(text)
-    return from_message(
-        F.when(
-            has_text(text),
-            F.when(
-                moment.isNull(), F.lit("Formato de fecha_hora de defunción inválido")
-            ).when(moment > as_of.now, F.lit("Fecha de defunción no puede ser futura")),
-        )
+    return message_list(
+        failed(
+            has_text(text) & moment.isNull(), "Formato de fecha_hora de defunción inválido"
+        ),
+        failed(moment > as_of.now, "Fecha de defunción no puede ser futura"),
     )
 
 
@@ -255,11 +277,10 @@ def check_record(rows: DataFrame, as_of: AsOf) -> DataFrame:
     Failing rows stay.
     """
     c = F.col
-    ids = identificadores_check(c("expediente"), c("cui"), c("pasaporte"))
     no_death = (c("estado") == "F") & c("datos_extra").getField("defuncion").isNull()
     lists = {
-        "identificadores": F.when(ids.getField("valido"), _none()).otherwise(
-            ids.getField("errores")
+        "identificadores": F.when(c("valido"), F.array().cast("array<string>")).otherwise(
+            c("errores")
         ),
         "nombre": nombre_messages(c("nombre")),
         "sexo": sexo_messages(c("sexo")),
@@ -271,25 +292,26 @@ def check_record(rows: DataFrame, as_of: AsOf) -> DataFrame:
             no_death, F.array(F.lit("Paciente fallecido debe tener fecha de defunción"))
         ).otherwise(estado_messages(c("estado"))),
     }
-    checked = rows.withColumn(
-        "errores", F.struct(*[lists[f].alias(f) for f in CHECK_FIELDS])
+    checked = (
+        check_identificadores(rows, "expediente", "cui", "pasaporte")
+        .withColumn("errores", F.struct(*[lists[f].alias(f) for f in CHECK_FIELDS]))
+        .drop("valido")
     )
-    total = sum((F.size(c("errores").getField(f)) for f in CHECK_FIELDS[1:]),
-                F.size(c("errores").getField(CHECK_FIELDS[0])))
-    return checked.withColumn("es_valido", total == 0)
+    clean = reduce(and_, [F.size(c("errores").getField(f)) == 0 for f in CHECK_FIELDS])
+    return checked.withColumn("es_valido", clean)
 
 
 def legacy_messages(as_of: AsOf) -> Column:
     """Coherence of a legacy row before it is migrated."""
     c = F.col
     deceased = is_one_of(c("estado"), ("F", "FALLECIDO"))
-    return messages(
-        (
+    return message_list(
+        failed(
             ~has_text(c("nombre")) & ~has_text(c("apellido")),
             "Debe tener al menos nombre o apellido",
         ),
-        (c("created_at") > as_of.now, "Fecha de creación no puede ser futura"),
-        (
+        failed(c("created_at") > as_of.now, "Fecha de creación no puede ser futura"),
+        failed(
             has_text(c("fecha_defuncion")) != deceased,
             "Inconsistencia: fecha de defunción no coincide con estado",
         ),
@@ -298,14 +320,17 @@ def legacy_messages(as_of: AsOf) -> Column:
 
 def flatten_errors(rows: DataFrame, *keep: str) -> DataFrame:
     """One (campo, mensaje) row per message of ``check_record``, with the columns to keep."""
-    per_field = [
-        F.transform(
-            F.col("errores").getField(f),
-            lambda m, f=f: F.struct(F.lit(f).alias("campo"), m.alias("mensaje")),
-        )
-        for f in CHECK_FIELDS
-    ]
-    return rows.select(*keep, F.explode(F.concat(*per_field)).alias("e")).select(*keep, "e.*")
+    fields = F.array(
+        *[
+            F.struct(F.lit(f).alias("campo"), F.col("errores").getField(f).alias("mensajes"))
+            for f in CHECK_FIELDS
+        ]
+    )
+    return (
+        rows.select(*keep, F.explode(fields).alias("e"))
+        .where(F.size("e.mensajes") > 0)
+        .select(*keep, "e.campo", F.explode("e.mensajes").alias("mensaje"))
+    )
 
 
 def error_summary(errors: DataFrame) -> DataFrame:

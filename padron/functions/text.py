@@ -9,15 +9,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the characters Python treats as whitespace in strip() and split().
-BLANK = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+# The same as the body of a regex class.
+BLANK = "".join(rf"\x{{{ord(ch):x}}}" for ch in BLANKS)
 
 
 def strip(c: Column) -> Column:
     """Remove blanks of any kind from both ends."""
-    return F.regexp_replace(c, f"^[{BLANK}]+|[{BLANK}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def words(c: Column) -> Column:

@@ -26,17 +26,15 @@ def lookup_join(
     joined by broadcast, so their rows stay where they are; only the rest is shuffled.
     """
     on = list(on)
-    heavy = lookup.orderBy(F.desc(weight), *on).limit(HEAVY_KEYS)
-    mark = F.col("_heavy")
-    marked = rows.join(
-        F.broadcast(heavy.withColumn("_heavy", F.lit(True))), on, "left_outer"
-    )
     payload = [c for c in lookup.columns if c not in on]
-    hot = marked.where(mark.isNotNull()).drop("_heavy")
-    # The payload columns of a light row are null here; it gets them from the shuffled join.
-    light = marked.where(mark.isNull()).drop("_heavy", *payload)
-    light_keys = lookup.join(F.broadcast(heavy.select(*on)), on, "left_anti")
-    return hot.unionByName(light.join(light_keys, on, "inner"))
+    # Kept in one struct, so that both uses of the lookup need the same columns and Spark
+    # computes and shuffles it once.
+    packed = lookup.select(*on, F.struct(*payload).alias("_p"))
+    heavy = packed.orderBy(F.desc(f"_p.{weight}"), *on).limit(HEAVY_KEYS)
+    marked = rows.join(F.broadcast(heavy), on, "left_outer")
+    hot = marked.where(F.col("_p").isNotNull())
+    light = marked.where(F.col("_p").isNull()).drop("_p").join(packed, on)
+    return hot.unionByName(light).select(*rows.columns, "_p.*")
 
 
 def block_offsets(rows: DataFrame, key: str) -> DataFrame:

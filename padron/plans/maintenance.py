@@ -1,7 +1,8 @@
 """Creating, changing and deleting rows of the target, whole sets at a time.
 
 Every function returns frames: the rows of the new snapshot and the requests refused. The
-caller writes them, see ``sources.tables``.
+caller writes them, see ``sources.tables``. Checked requests are written to the work folder
+once, because several of the steps that follow read them.
 """
 
 from __future__ import annotations
@@ -14,9 +15,13 @@ from pyspark.sql import functions as F
 from padron import model
 from padron.functions import contract
 from padron.functions.asof import AsOf
-from padron.operators.identifiers import identifiers_available, unique_violations
-from padron.operators.identifiers import load_conflicts
+from padron.operators.identifiers import (
+    identifiers_available,
+    load_conflicts,
+    unique_violations,
+)
 from padron.operators.skew import dense_index
+from padron.sources.tables import settle
 
 ALREADY_EXISTS = "Ya existe un paciente con alguno de estos identificadores"
 NOT_FOUND = "Paciente no encontrado"
@@ -47,7 +52,7 @@ def create_rows(
     ``key`` is a unique integer column giving the order of the requests: of two candidates
     with the same identifier the earlier one wins.
     """
-    checked = contract.record_errors(candidates, as_of)
+    checked = settle(contract.record_errors(candidates, as_of), "create")
     invalid = checked.where(F.size("errores") > 0).select(
         key, F.inline("errores")
     )
@@ -78,7 +83,6 @@ def fold_updates(updates: DataFrame, order: str) -> DataFrame:
     The same as applying them one after the other, without bringing the updates of a busy id
     together: each field keeps only its latest value on the map side.
     """
-    # campos is flattened per field first, so no list grows with the number of updates.
     given = {c: F.array_contains("campos", c) for c in UPDATABLE}
     folded = updates.groupBy("id").agg(
         *[
@@ -116,9 +120,8 @@ def update_rows(stored: DataFrame, updates: DataFrame, as_of: AsOf) -> Outcome:
     missing = updates.join(stored.select("id"), "id", "left_anti").select(
         *_record("id", F.lit("id"), F.lit(NOT_FOUND))
     )
-    checked = known.withColumn(
-        "errores", F.concat(contract.update_errors(mask, as_of), required)
-    )
+    errors = F.concat(contract.update_errors(mask, as_of), required)
+    checked = settle(known.withColumn("errores", errors), "update")
     invalid = checked.where(F.size("errores") > 0).select("id", F.inline("errores"))
     valid = checked.where(F.size("errores") == 0).drop("errores")
 

@@ -27,8 +27,13 @@ BATCH_SIZE = 100
 
 
 def instant(moment: Column, zone: str) -> Column:
-    """Instant of a timestamp without zone that was written in ``zone``."""
-    return F.convert_timezone(F.lit(zone), F.current_timezone(), moment).cast("timestamp")
+    """Instant of a timestamp without zone that was written in ``zone``.
+
+    The cast reads it in the session's zone, the next step undoes that. Both shifts have
+    constant zones, which is several times faster than ``convert_timezone``.
+    """
+    wall_clock = F.from_utc_timestamp(moment.cast("timestamp"), F.current_timezone())
+    return F.to_utc_timestamp(wall_clock, zone)
 
 
 def transform(legacy: DataFrame, as_of: AsOf, zone: str = model.TIME_ZONE) -> DataFrame:
@@ -109,19 +114,21 @@ def coerce(raw: DataFrame) -> DataFrame:
     not fit its column, or null."""
     kept, problems = [], []
     for f in model.LEGACY_SCHEMA.fields:
-        value = F.col(f.name)
+        value, given = F.col(f.name), raw.schema[f.name]
         typed = value.try_cast(f.dataType)
         kept.append(typed.alias(f.name))
-        kind = f.dataType.simpleString()
-        problems.append(
-            F.when(
-                value.isNotNull() & typed.isNull(),
-                F.concat(F.lit(f"{f.name}: "), value.cast("string"), F.lit(f" no es {kind}")),
-            )
-        )
-        if not f.nullable:
+        if given.nullable and not f.nullable:
             problems.append(F.when(value.isNull(), F.lit(f"{f.name}: falta el valor")))
-    return raw.select(*kept, F.coalesce(*problems).alias("_error"))
+        if given.dataType != f.dataType:
+            text = F.lit(f" no es {f.dataType.simpleString()}")
+            problems.append(
+                F.when(
+                    value.isNotNull() & typed.isNull(),
+                    F.concat(F.lit(f"{f.name}: "), value.cast("string"), text),
+                )
+            )
+    error = F.coalesce(*problems) if problems else F.lit(None).cast("string")
+    return raw.select(*kept, error.alias("_error"))
 
 
 def transform_errors(coerced: DataFrame, as_of: AsOf) -> DataFrame:
@@ -210,7 +217,7 @@ def plan(
 ) -> Migration:
     """Migration of every row of ``legacy`` into ``target``, in one job per output."""
     coerced = coerce(legacy)
-    # A typed source cannot fail to convert: Spark then proves the error column null.
+    # For a source that has the legacy types already, Spark folds the error column away.
     good = coerced.where(F.col("_error").isNull()).drop("_error")
     rows = transform(good, as_of, zone)
     return Migration(

@@ -100,3 +100,14 @@ def work_folder(spark: SparkSession, prefix: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"{prefix}-")
+
+
+def settle(rows: DataFrame, prefix: str) -> DataFrame:
+    """Write rows to the shared work folder and read them back.
+
+    For a frame that several later steps use and that is costly to compute: the steps then
+    read only the columns they need, and nothing is computed again when an executor is lost.
+    """
+    path = work_folder(rows.sparkSession, prefix)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
