@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from padron import model
 from padron.plans.maintenance import UPDATABLE
+from padron.sources.tables import spread
 
 LEGACY_SELECT = """
 SELECT
@@ -159,7 +160,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LEGACY_SELECT + "{orders}", orders=table(spark, sf_dir, "orders"))
+    orders = spread(table(spark, sf_dir, "orders"))
+    return spark.sql(LEGACY_SELECT + "{orders}", orders=orders)
 
 
 # Requests to create a record, one per customer: clean ones, ones with wrong fields, ones

@@ -89,8 +89,8 @@ FROM parsed""",
 SELECT *,
     coalesce(nullif(concat_ws(' ', primer_nombre, segundo_nombre, otros_nombres, primer_apellido,
         segundo_apellido, 'de ' || apellido_casada), ''), 'Sin nombre') AS nombre_completo,
-    year({AS_OF}) - year(nacimiento) - CASE WHEN strftime({AS_OF}, '%m%d')
-        < strftime(nacimiento, '%m%d') THEN 1 ELSE 0 END AS edad
+    CAST(year({AS_OF}) - year(nacimiento) - CASE WHEN strftime({AS_OF}, '%m%d')
+        < strftime(nacimiento, '%m%d') THEN 1 ELSE 0 END AS INT) AS edad
 FROM mig""",
     "claves": """
 SELECT id, 'expediente' AS campo, expediente AS clave FROM mig WHERE expediente IS NOT NULL
@@ -831,7 +831,7 @@ BODIES = {
     )
     + " AS e FROM candidatos)",
     "schema_defuncion_coherente": target(f"{DEATH_RULE} AS mensaje"),
-    "schema_update": f"SELECT orden, {listed(UPDATE_FIELDS)} AS errores FROM pedidos",
+    "schema_update": f"SELECT orden, {listed([*UPDATE_FIELDS, NULL_ESTADO])} AS errores FROM pedidos",
     "response_conformance": "SELECT campo, mensaje, count(*) AS filas FROM ("
     + split_errors(
         "id",

@@ -39,10 +39,6 @@ def joined(messages: Column) -> Column:
     return F.array_join(messages, "|")
 
 
-def joined_errors(errors: Column) -> Column:
-    return joined(F.transform(errors, lambda e: F.concat_ws(": ", e["campo"], e["mensaje"])))
-
-
 def migrated(spark: SparkSession, sf: str) -> DataFrame:
     """The whole legacy table in target shape."""
     return migration.transform(legacy(spark, sf), AS_OF)
@@ -498,14 +494,14 @@ def error_summary(spark, sf):
 
 def _contract(source: Callable, key: str, build: Callable[[], Column]) -> Query:
     return lambda spark, sf: source(spark, sf).select(
-        key, joined_errors(build()).alias("errores")
+        key, joined(build()).alias("errores")
     )
 
 
 QUERIES |= {
     "schema_nombre": lambda spark, sf: candidates(spark, sf).select(
         "fila",
-        joined_errors(contract.nombre_errors(c("nombre"))).alias("errores"),
+        joined(contract.nombre_errors(c("nombre"))).alias("errores"),
         contract.clean_nombre(c("nombre"))["primer_nombre"].alias("primer_nombre"),
     ),
     "schema_direccion": _contract(
@@ -513,7 +509,7 @@ QUERIES |= {
     ),
     "schema_contacto": lambda spark, sf: candidates(spark, sf).select(
         "fila",
-        joined_errors(contract.contacto_errors(c("contacto"))).alias("errores"),
+        joined(contract.contacto_errors(c("contacto"))).alias("errores"),
         contract.clean_contacto(c("contacto"))["telefono_principal"].alias("telefono"),
         contract.clean_contacto(c("contacto"))["email"].alias("email"),
     ),
@@ -534,7 +530,7 @@ QUERIES |= {
         "id", contract.death_rule(c("estado"), c("datos_extra")).alias("mensaje")
     ),
     "schema_update": lambda spark, sf: updates(spark, sf).select(
-        "orden", joined_errors(contract.update_errors(c("campos"), AS_OF)).alias("errores")
+        "orden", joined(contract.update_errors(c("campos"), AS_OF)).alias("errores")
     ),
 }
 

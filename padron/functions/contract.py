@@ -1,7 +1,8 @@
 """Rules of the request and response records: types, lengths, ranges and coherence.
 
-Every builder returns ``array<struct<campo, mensaje>>``. A field reports only the first of
-its problems, and the two rules on the whole record run only when no field has one.
+Every builder returns a list of ``field: message`` texts, the field empty for a rule on the
+whole record; :func:`explode_errors` takes them apart. A field reports only the first of its
+problems, and the rules on the whole record run only when no field has one.
 """
 
 from __future__ import annotations
@@ -16,10 +17,9 @@ from padron.functions.derived import has_13_characters
 from padron.functions.rules import EDAD_MAX, MARK, NAME_PATTERN, parse_moment
 from padron.functions.text import has_number, has_text, is_one_of, null_if_empty, strip
 
-ERROR_TYPE = "array<struct<campo:string,mensaje:string>>"
 SEPARATOR = " -> "
-# Ends the field name inside a text of errors; never part of a name or message.
-FIELD_END = "\x1e"
+# Ends the field name of an error; never part of a name.
+FIELD_END = ": "
 
 # Texts of the built-in checks.
 NOT_STRING = "Input should be a valid string"
@@ -39,6 +39,7 @@ DEATH_FUTURE = "Value error, Fecha de defunción no puede ser futura"
 NO_IDENTIFIER = (
     "Value error, Debe proporcionar al menos un identificador (expediente, CUI o pasaporte)"
 )
+NOT_NULL = "no admite nulos"
 DEATH_MISSING = "Value error, Paciente fallecido debe tener datos de defunción"
 DEATH_UNEXPECTED = "Value error, Paciente vivo no puede tener datos de defunción"
 # Domains that never receive mail.
@@ -68,15 +69,27 @@ def _errors(*fields: tuple[str, Column]) -> Column:
 
 
 def error_list(text: Column) -> Column:
-    """List of structs from the text of :func:`_errors`."""
+    return F.array_remove(F.split(text, MARK), "")
 
-    def pair(entry: Column) -> Column:
-        return F.struct(
-            F.substring_index(entry, FIELD_END, 1).alias("campo"),
-            F.substring_index(entry, FIELD_END, -1).alias("mensaje"),
-        )
 
-    return F.transform(F.array_remove(F.split(text, MARK), ""), pair)
+def explode_errors(rows: DataFrame, *keep: str) -> DataFrame:
+    """One (campo, mensaje) row per error, with the columns to keep.
+
+    The outer form of ``explode`` makes Spark leave the list alone; for the inner one it
+    would add a filter on its size and evaluate all rules a second time to apply it.
+    """
+    error = F.col("_error")
+    return (
+        rows.select(*keep, F.explode_outer("errores").alias("_error"))
+        .where(error.isNotNull())
+        .select(
+            *keep,
+            F.substring_index(error, FIELD_END, 1).alias("campo"),
+            F.substring(
+                error, F.instr(error, FIELD_END) + len(FIELD_END), F.length(error)
+            ).alias("mensaje"),
+        )
+    )
 
 
 def _first(*checks: tuple[Column, str]) -> Column:
@@ -360,7 +373,8 @@ def _fields_else_whole(fields: Column, whole: Column) -> Column:
 def update_errors(mask: Column, as_of: AsOf) -> Column:
     """Rules of a partial record: only the fields named in ``mask`` are looked at.
 
-    A field given as null is accepted; birth dates are not checked, nor is the sign of an id.
+    Birth dates are not checked, nor is the sign of an id. A field may be given as null unless
+    its column is not nullable.
     """
     c = F.col
     rules = [
@@ -378,12 +392,17 @@ def update_errors(mask: Column, as_of: AsOf) -> Column:
     }
     for field, doc_rules in documents.items():
         rules += [(name, F.when(c(field).isNotNull(), m)) for name, m in doc_rules]
-    return error_list(_errors(
-        *[
-            (name, F.when(F.array_contains(mask, name.split(SEPARATOR)[0]), m))
-            for name, m in rules
-        ]
-    ))
+    # Accepted by the form, refused by the table.
+    for field in ("nombre", "estado"):
+        rules.append((field, _first((c(field).isNull(), NOT_NULL))))
+    return error_list(
+        _errors(
+            *[
+                (name, F.when(F.array_contains(mask, name.split(SEPARATOR)[0]), m))
+                for name, m in rules
+            ]
+        )
+    )
 
 
 def record_errors(rows: DataFrame, as_of: AsOf, metadatos: bool = True) -> DataFrame:
@@ -423,8 +442,7 @@ def record_errors(rows: DataFrame, as_of: AsOf, metadatos: bool = True) -> DataF
 def response_conformance(rows: DataFrame, as_of: AsOf) -> DataFrame:
     """Stored rows that break the read contract, counted by field and message."""
     return (
-        record_errors(rows, as_of)
-        .select(F.explode("errores").alias("e"))
-        .groupBy("e.campo", "e.mensaje")
+        explode_errors(record_errors(rows, as_of))
+        .groupBy("campo", "mensaje")
         .agg(F.count("*").alias("filas"))
     )

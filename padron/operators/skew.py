@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A table of the heaviest keys never has more rows than this, so it can always be broadcast.
@@ -14,7 +14,7 @@ HEAVY_KEYS = 1000
 # Integer keys are numbered in blocks of 2**BLOCK_BITS consecutive values: with unique keys
 # no group, at any level, exceeds 65,536 rows.
 BLOCK_BITS = 16
-LEVELS = 4
+LEVELS = 3
 
 
 def lookup_join(
@@ -43,28 +43,30 @@ def block_offsets(rows: DataFrame, key: str) -> DataFrame:
     Counts are summed upward level by level (blocks, blocks of blocks, ...), so that every
     running total is taken over at most 65,536 rows.
     """
-    counts = [
-        rows.groupBy(F.shiftright(F.col(key).cast("long"), BLOCK_BITS).alias("_b1")).agg(
-            F.count("*").alias("_n1")
-        )
-    ]
+    def above(column: str) -> Column:
+        return F.shiftright(F.col(column).cast("long"), BLOCK_BITS)
+
+    counts = [rows.groupBy(above(key).alias("_b1")).agg(F.count("*").alias("_n1"))]
     for level in range(2, LEVELS + 1):
-        below = counts[-1]
-        up = F.shiftright(F.col(f"_b{level - 1}"), BLOCK_BITS).alias(f"_b{level}")
-        counts.append(below.groupBy(up).agg(F.sum(f"_n{level - 1}").alias(f"_n{level}")))
+        counts.append(
+            counts[-1]
+            .groupBy(above(f"_b{level - 1}").alias(f"_b{level}"))
+            .agg(F.sum(f"_n{level - 1}").alias(f"_n{level}"))
+        )
 
-    total = F.lit(0)
-    offsets = None
-    for level in range(LEVELS - 1, 0, -1):
+    # Three levels of 16 bits leave 16 bits of a key: the top total is over 65,536 rows, too.
+    offsets, total = None, F.lit(0)
+    for level in range(LEVELS, 0, -1):
         block, parent = f"_b{level}", f"_b{level + 1}"
         before = (
             Window.partitionBy(parent)
             .orderBy(block)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        here = counts[level - 1].withColumn(parent, F.shiftright(F.col(block), BLOCK_BITS))
-        here = here.withColumn(
-            f"_o{level}", F.coalesce(F.sum(f"_n{level}").over(before), F.lit(0))
+        here = (
+            counts[level - 1]
+            .withColumn(parent, F.lit(0) if level == LEVELS else above(block))
+            .withColumn(f"_o{level}", F.coalesce(F.sum(f"_n{level}").over(before), F.lit(0)))
         )
         offsets = here if offsets is None else here.join(offsets, parent)
         total = total + F.col(f"_o{level}")

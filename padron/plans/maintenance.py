@@ -25,7 +25,6 @@ from padron.sources.tables import settle
 
 ALREADY_EXISTS = "Ya existe un paciente con alguno de estos identificadores"
 NOT_FOUND = "Paciente no encontrado"
-NOT_NULL = "no admite nulos"
 UPDATABLE = tuple(
     c for c in model.TARGET_COLUMNS if c not in ("id", "metadatos", "creado_en", "actualizado_en")
 )
@@ -53,9 +52,7 @@ def create_rows(
     with the same identifier the earlier one wins.
     """
     checked = settle(contract.record_errors(candidates, as_of), "create")
-    invalid = checked.where(F.size("errores") > 0).select(
-        key, F.inline("errores")
-    )
+    invalid = contract.explode_errors(checked, key)
     valid = checked.where(F.size("errores") == 0).drop("errores")
     taken = load_conflicts(valid, stored, key).select(key).distinct()
     free = valid.join(taken, key, "left_anti").withColumns(
@@ -107,22 +104,12 @@ def update_rows(stored: DataFrame, updates: DataFrame, as_of: AsOf) -> Outcome:
     given stays; documents are replaced whole.
     """
     mask = F.col("campos")
-    required = F.concat(
-        *[
-            F.when(
-                F.array_contains(mask, c) & F.col(c).isNull(),
-                F.array(F.struct(F.lit(c).alias("campo"), F.lit(NOT_NULL).alias("mensaje"))),
-            ).otherwise(F.array().cast(contract.ERROR_TYPE))
-            for c in ("nombre", "estado")
-        ]
-    )
     known = updates.join(stored.select("id"), "id", "left_semi")
     missing = updates.join(stored.select("id"), "id", "left_anti").select(
         *_record("id", F.lit("id"), F.lit(NOT_FOUND))
     )
-    errors = F.concat(contract.update_errors(mask, as_of), required)
-    checked = settle(known.withColumn("errores", errors), "update")
-    invalid = checked.where(F.size("errores") > 0).select("id", F.inline("errores"))
+    checked = settle(known.withColumn("errores", contract.update_errors(mask, as_of)), "update")
+    invalid = contract.explode_errors(checked, "id")
     valid = checked.where(F.size("errores") == 0).drop("errores")
 
     # Only identifiers that are given can collide.

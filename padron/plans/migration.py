@@ -17,7 +17,7 @@ from padron.operators.identifiers import load_conflicts
 from padron.operators.paging import row_count, slice_rows
 from padron.operators.quality import check_violations, source_check
 from padron.operators.skew import dense_index
-from padron.sources.tables import append_target
+from padron.sources.tables import append_target, settle
 
 REPORT_ROWS = 10
 BATCH_SIZE = 100
@@ -191,7 +191,8 @@ def gate_report(legacy: DataFrame, as_of: AsOf) -> DataFrame:
 
 @dataclass(frozen=True)
 class Migration:
-    """The frames of one run, all lazy: what was read, what fails, what gets loaded."""
+    """The frames of one run: what was read, what fails, what gets loaded. All are lazy but
+    ``rejects``, which every count and the load need and which is settled when planned."""
 
     source: DataFrame
     rows: DataFrame
@@ -215,7 +216,11 @@ class Migration:
 def plan(
     legacy: DataFrame, target: DataFrame, as_of: AsOf, zone: str = model.TIME_ZONE
 ) -> Migration:
-    """Migration of every row of ``legacy`` into ``target``, in one job per output."""
+    """Migration of every row of ``legacy`` into ``target``.
+
+    One pass over the identifiers alone finds the rows the target would refuse; its result,
+    small next to the table, is written down. Every output is then one job.
+    """
     coerced = coerce(legacy)
     # For a source that has the legacy types already, Spark folds the error column away.
     good = coerced.where(F.col("_error").isNull()).drop("_error")
@@ -225,7 +230,7 @@ def plan(
         rows=rows,
         failures=transform_errors(coerced, as_of),
         warnings=warnings(good, as_of),
-        rejects=load_errors(rows, target, as_of),
+        rejects=settle(load_errors(rows, target, as_of), "rejects"),
     )
 
 
@@ -282,26 +287,21 @@ def run(
     as_of: AsOf,
     zone: str = model.TIME_ZONE,
 ) -> DataFrame:
-    """Migrate what is pending, append it to ``target_path`` and keep errors and warnings as
-    tables below ``log_path``. Returns the counters.
-
-    Rejects are written first, from a narrow pass over the identifiers, and read back for the
-    wide pass: the uniqueness work is done once, and the wide rows only meet its result.
-    """
+    """Migrate what is pending, append it to ``target_path`` and keep errors, warnings and
+    counters as tables below ``log_path``. Returns the counters."""
     spark = legacy.sparkSession
     todo = plan(pending(legacy, target), target, as_of, zone)
-    for name in ("failures", "warnings", "rejects"):
-        getattr(todo, name).write.mode("errorifexists").parquet(f"{log_path}/{name}")
-    written = {
-        name: spark.read.schema(getattr(todo, name).schema).parquet(f"{log_path}/{name}")
-        for name in ("failures", "warnings", "rejects")
+    # All that depends on the target is written before the append changes what it shows.
+    logs = {
+        "failures": todo.failures,
+        "warnings": todo.warnings,
+        "rejects": todo.rejects,
+        "stats": migration_stats(todo),
     }
-    settled = Migration(source=todo.source, rows=todo.rows, **written)
-    # Read the source and ids first: the append below changes what ``target`` shows.
-    stats = migration_stats(settled)
-    stats.write.mode("errorifexists").parquet(f"{log_path}/stats")
-    append_target(assign_ids(settled.loadable, target), target_path)
-    return spark.read.schema(stats.schema).parquet(f"{log_path}/stats")
+    for name, frame in logs.items():
+        frame.write.mode("errorifexists").parquet(f"{log_path}/{name}")
+    append_target(assign_ids(todo.loadable, target), target_path)
+    return spark.read.schema(logs["stats"].schema).parquet(f"{log_path}/stats")
 
 
 # --------------------------------------------------------------------------- summaries

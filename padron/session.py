@@ -22,3 +22,11 @@ def builder(app_name: str = "padron", **settings: str) -> SparkSession.Builder:
     for key, value in {**SETTINGS, **settings}.items():
         out = out.config(key, value)
     return out
+
+
+def apply(spark: SparkSession) -> SparkSession:
+    """Give a running session those of the settings it can still change."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark

@@ -28,6 +28,16 @@ def conform_legacy(rows: DataFrame) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than the cluster has cores, spread over all of them.
+
+    A small file is one split, however much work its rows cause. A scan with enough splits is
+    returned as it is, so large tables are never shuffled here.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def scan_legacy(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """Legacy table from files."""
     return conform_legacy(spark.read.format(format).load(path))
