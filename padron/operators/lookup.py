@@ -27,13 +27,14 @@ def by_id(rows: DataFrame, row_id: int) -> DataFrame:
 
 def by_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is in ``ids`` (a frame with an ``id`` column)."""
-    return rows.join(ids.select("id"), "id", "left_semi")
+    return rows.join(ids.select("id").distinct(), "id", "left_semi")
 
 
 def exists_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, existe`` for every id asked for."""
+    """``id, existe`` for every distinct id asked for."""
     present = rows.select("id").withColumn("_present", F.lit(True))
-    return ids.select("id").join(present, "id", "left_outer").select(
+    asked = ids.select("id").distinct()
+    return asked.join(present, "id", "left_outer").select(
         "id", F.col("_present").isNotNull().alias("existe")
     )
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from padron.operators.skew import BLOCK_BITS, block_offsets
+from padron.operators.skew import block_of, block_offsets
 
 DEFAULT_PAGE_SIZE = 10
 MAX_PAGE_SIZE = 100
@@ -50,7 +50,7 @@ def slice_rows(rows: DataFrame, offset: int, limit: int, key: str = "id") -> Dat
         Window.partitionBy("_b1").orderBy(key)
     )
     return (
-        rows.withColumn("_b1", F.shiftright(F.col(key).cast("long"), BLOCK_BITS))
+        rows.withColumn("_b1", block_of(key))
         .join(wanted, "_b1")
         .withColumn("_position", position)
         .where((F.col("_position") > offset) & (F.col("_position") <= offset + limit))

@@ -37,20 +37,23 @@ def lookup_join(
     return hot.unionByName(light).select(*rows.columns, "_p.*")
 
 
+def block_of(key: str) -> Column:
+    """Block of a key. Declared free of nulls: otherwise each use of the counts would get its
+    own null filter, and Spark could not share their shuffle."""
+    return F.coalesce(F.shiftright(F.col(key).cast("long"), BLOCK_BITS), F.lit(0).cast("long"))
+
+
 def block_offsets(rows: DataFrame, key: str) -> DataFrame:
     """Blocks of an integer key with their row counts and the rows before each of them.
 
     Counts are summed upward level by level (blocks, blocks of blocks, ...), so that every
     running total is taken over at most 65,536 rows.
     """
-    def above(column: str) -> Column:
-        return F.shiftright(F.col(column).cast("long"), BLOCK_BITS)
-
-    counts = [rows.groupBy(above(key).alias("_b1")).agg(F.count("*").alias("_n1"))]
+    counts = [rows.groupBy(block_of(key).alias("_b1")).agg(F.count("*").alias("_n1"))]
     for level in range(2, LEVELS + 1):
         counts.append(
             counts[-1]
-            .groupBy(above(f"_b{level - 1}").alias(f"_b{level}"))
+            .groupBy(block_of(f"_b{level - 1}").alias(f"_b{level}"))
             .agg(F.sum(f"_n{level - 1}").alias(f"_n{level}"))
         )
 
@@ -65,7 +68,7 @@ def block_offsets(rows: DataFrame, key: str) -> DataFrame:
         )
         here = (
             counts[level - 1]
-            .withColumn(parent, F.lit(0) if level == LEVELS else above(block))
+            .withColumn(parent, F.lit(0) if level == LEVELS else block_of(block))
             .withColumn(f"_o{level}", F.coalesce(F.sum(f"_n{level}").over(before), F.lit(0)))
         )
         offsets = here if offsets is None else here.join(offsets, parent)
@@ -79,10 +82,9 @@ def dense_index(rows: DataFrame, key: str, out: str) -> DataFrame:
     The number depends on the data only, not on how it is partitioned, so a lost executor or
     a second evaluation cannot change it. One shuffle of the rows.
     """
-    block = F.shiftright(F.col(key).cast("long"), BLOCK_BITS)
     within = F.row_number().over(Window.partitionBy("_b1").orderBy(key)) - 1
     return (
-        rows.withColumn("_b1", block)
+        rows.withColumn("_b1", block_of(key))
         .join(block_offsets(rows, key).drop("_rows"), "_b1")
         .withColumn(out, (F.col("_before") + within).cast("long"))
         .drop("_b1", "_before")
