@@ -195,17 +195,11 @@ class Migration:
     ``rejects``, which every count and the load need and which is settled when planned."""
 
     source: DataFrame
-    rows: DataFrame
+    loadable: DataFrame
     failures: DataFrame
     warnings: DataFrame
     rejects: DataFrame
 
-    @property
-    def loadable(self) -> DataFrame:
-        """Transformed rows without the rejected ones."""
-        refused = self.rejects.select(F.col("id_mysql").cast("long").alias("id"))
-        return self.rows.join(refused, "id", "left_anti").select(*self.rows.columns)
-
     @property
     def errors(self) -> DataFrame:
         return self.failures.withColumn(
@@ -224,13 +218,16 @@ def plan(
     coerced = coerce(legacy)
     # For a source that has the legacy types already, Spark folds the error column away.
     good = coerced.where(F.col("_error").isNull()).drop("_error")
-    rows = transform(good, as_of, zone)
+    rejects = settle(load_errors(transform(good, as_of, zone), target, as_of), "rejects")
+    # Rejects leave before the transform, by the same key as rows loaded earlier do: where
+    # both sets are too large to broadcast, one shuffle of the flat rows serves both.
+    kept = good.join(rejects.select(F.col("id_mysql").alias("id")), "id", "left_anti")
     return Migration(
         source=legacy,
-        rows=rows,
+        loadable=transform(kept, as_of, zone),
         failures=transform_errors(coerced, as_of),
         warnings=warnings(good, as_of),
-        rejects=settle(load_errors(rows, target, as_of), "rejects"),
+        rejects=rejects,
     )
 
 

@@ -313,6 +313,38 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint,metadatos:struct<sistema_origen:string>>" in scan
 
 
+def test_one_shuffle_of_the_wide_rows(spark):
+    """Rows loaded earlier and rejected rows leave by the same partitioning."""
+    from checks.inputs import legacy
+    from checks.queries import stored
+
+    target = stored(spark, SF)
+    rows = tables.conform_legacy(legacy(spark, SF))
+    run = migration.plan(migration.pending(rows, target), target, AS_OF)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = run.loadable._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == 2
+        physical = run.loadable._jdf.queryExecution().executedPlan().toString()
+        assert physical.count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_work_folders_are_shared(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = tables.work_folder(spark, "x"), tables.work_folder(spark, "x")
+    assert first.startswith(shared) and first != second
+
+
+def test_small_scans_are_spread(spark):
+    rows = spark.range(10, numPartitions=2)
+    assert tables.spread(rows).rdd.getNumPartitions() == 8
+    wide = spark.range(10, numPartitions=9)
+    assert tables.spread(wide) is wide
+
+
 def test_statistics_scan_once(spark, tmp_path):
     from checks.queries import migrated
     from padron.operators import stats
