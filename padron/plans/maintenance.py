@@ -1,8 +1,8 @@
 """Creating, changing and deleting rows of the target, whole sets at a time.
 
 Every function returns frames: the rows of the new snapshot and the requests refused. The
-caller writes them, see ``sources.tables``. Checked requests are written to the work folder
-once, because several of the steps that follow read them.
+caller writes them, see ``sources.tables``. Checked requests and the clashes found are written
+to the work folder once, because several of the steps that follow read them.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def create_rows(
     checked = settle(contract.record_errors(candidates, as_of), "create")
     invalid = contract.explode_errors(checked, key)
     valid = checked.where(F.size("errores") == 0).drop("errores")
-    taken = load_conflicts(valid, stored, key).select(key).distinct()
+    taken = settle(load_conflicts(valid, stored, key).select(key).distinct(), "taken")
     free = valid.join(taken, key, "left_anti").withColumns(
         {
             "nombre": contract.clean_nombre(F.col("nombre")),
@@ -127,13 +127,14 @@ def update_rows(stored: DataFrame, updates: DataFrame, as_of: AsOf) -> Outcome:
             for c in model.IDENTIFIERS
         ]
     )
-    clashes = (
+    clashes = settle(
         free.select("id", F.explode(flags).alias("f"))
         .where(~F.col("f.libre"))
         .select("id", F.col("f.campo"))
         .union(unique_violations(asked).select("id", "campo"))
         .distinct()
-        .select("id", "campo", F.lit("Identificador no disponible").alias("mensaje"))
+        .select("id", "campo", F.lit("Identificador no disponible").alias("mensaje")),
+        "clashes",
     )
     accepted = valid.join(clashes.select("id").distinct(), "id", "left_anti").withColumns(
         {
