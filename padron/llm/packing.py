@@ -146,10 +146,12 @@ def sequences(docs: DataFrame, tokenizer_path: str, longest: int = MAX_LENGTH, e
     totals = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
     longer = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("bucket", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("base"))
-    firsts = (
+    # Written, so that Spark knows its size and can leave the pieces where they are if it is small.
+    firsts = settle(
         counts.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .join(bases, "bucket")
-        .select("bucket", "task", (F.col("base") + F.col("before")).alias("first"))
+        .select("bucket", "task", (F.col("base") + F.col("before")).alias("first")),
+        "firsts",
     )
     return (
         found.join(firsts, ["bucket", "task"])

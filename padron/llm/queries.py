@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm import exact, langid, licenses, lines, mixing, packing, quality, secrets
+from padron.llm import exact, langid, licenses, lines, mixing, packing, quality, secrets, simhash, suffix
 from padron.llm.common import documents, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,25 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+@register
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.without_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("runs").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -136,6 +155,25 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM t
 """
 
+ORACLE["op4_substrings"] = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, p, substr(x, 2 * p + 1, 100) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(length(x) // 2 - 49, 0))) AS p FROM h)),
+f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT w.doc_id, w.p FROM w JOIN f ON w.s = f.s AND w.doc_id > f.first_id),
+b AS (SELECT *, CASE WHEN p <= max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 50
+    THEN 0 ELSE 1 END AS begins FROM c),
+r AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z
+  FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM b) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+t AS (SELECT k.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last_end,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS parts
+  FROM k JOIN h USING (doc_id) GROUP BY k.doc_id)
+SELECT h.doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN t.doc_id IS NULL THEN x ELSE parts || substr(x, 2 * last_end + 1) END)) AS kept_sha256
+FROM h LEFT JOIN t ON h.doc_id = t.doc_id
+"""
+
 ORACLE["op5_lines"] = r"""
 WITH l AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS nr
