@@ -194,8 +194,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` (all), with lang_pred, score and accepted."""
-    names = columns or docs.columns
+    """``columns`` of ``docs`` (all), with lang_pred, score and accepted (replaced if there)."""
+    names = [c for c in columns or docs.columns if c not in ("lang_pred", "score", "accepted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     given = docs.select(*[docs[c] for c in names], docs["text"].alias("_text"))
 

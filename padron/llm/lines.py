@@ -199,25 +199,26 @@ def repeated_lines(
 
 
 def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` with the lines gone, plus n_lines (before) and n_dropped."""
+    """``docs`` with the lines gone, plus n_lines (before) and n_dropped (replaced if there)."""
     key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "text_hash")
     per_document = dropped.groupBy(key.alias("_key")).agg(F.collect_set("line").alias("_lines"))
-    schema = docs.withColumn("n_lines", F.lit(0).cast("long")).withColumn("n_dropped", F.lit(0).cast("long")).schema
-    at, names = docs.columns.index("text"), docs.columns
+    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts, before, gone = [], [], []
-            for text, numbers in zip(rows.column(at).to_pylist(), rows.column(len(names)).to_pylist(), strict=True):
-                lines = (text or "").split("\n")
+            for text, numbers in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True):
+                lines = text.split("\n")
                 out = set(numbers or ())
-                texts.append("\n".join(x for i, x in enumerate(lines) if i not in out) if out else text or "")
+                texts.append("\n".join(x for i, x in enumerate(lines) if i not in out) if out else text)
                 before.append(len(lines))
                 gone.append(len(out))
-            columns = [pa.array(texts, pa.string()) if i == at else rows.column(i) for i in range(len(names))]
-            columns += [pa.array(before, pa.int64()), pa.array(gone, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped"])
+            columns = [rows.column(0), pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(gone, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "n_lines", "n_dropped"])
 
-    keyed = docs.withColumn("text_hash", F.xxhash64(text_of())).withColumn("_key", key)
-    marked = keyed.join(per_document, "_key", "left_outer").select(*[docs[c] for c in names], "_lines")
-    return map_batches(marked, run, schema)
+    packed = docs.select(
+        F.struct(*[docs[c] for c in own]).alias("row"), text_of().alias("text"), "doc_id", F.xxhash64(text_of()).alias("text_hash")
+    )
+    marked = packed.withColumn("_key", key).join(per_document, "_key", "left_outer").select("row", "text", "_lines")
+    schema = f"row {dict(marked.dtypes)['row']}, text string, n_lines long, n_dropped long"
+    return map_batches(marked, run, schema).select("row.*", "text", "n_lines", "n_dropped")
