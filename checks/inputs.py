@@ -6,12 +6,15 @@ The legacy table comes from ``orders``, requests to create and update records fr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron import model
 from padron.plans.maintenance import UPDATABLE
-from padron.sources.tables import spread
+from padron.sources.tables import Workspace
 
 LEGACY_SELECT = """
 SELECT
@@ -48,6 +51,7 @@ SELECT
         ELSE 1000000000000 + o_orderkey * 8
         END AS dpi,
     CASE
+        WHEN o_orderkey % 10000 = 1231 THEN ''
         WHEN o_orderkey % 10 = 0 THEN concat('GT', CAST(o_orderkey AS STRING))
         WHEN o_orderkey % 41 = 0 THEN '123456'
         WHEN o_orderkey % 43 = 0 THEN 'AB1'
@@ -159,9 +163,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SCRATCH: dict[str, Workspace] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: A given table is one small file; written in parts it is read by several tasks, as a large one.
+PARTS = 8
+
+
+def scratch(spark: SparkSession) -> Workspace:
+    """One workspace per session, for inputs and for the lazy results of queries."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SCRATCH:
+        configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and sc.master.startswith("local") and "cluster" not in sc.master:
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="checks-"))
+        _SCRATCH[sc.applicationId] = Workspace(spark)
+    return _SCRATCH[sc.applicationId]
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, rows) -> DataFrame:
+    """An input as a table, written once per session: operators meet it as a scan."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = scratch(spark).folder(name)
+        rows().write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
 def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"))
-    return spark.sql(LEGACY_SELECT + "{orders}", orders=orders)
+    def rows() -> DataFrame:
+        orders = table(spark, sf_dir, "orders")
+        found = spark.sql(LEGACY_SELECT + "{orders}", orders=orders)
+        return found.repartitionByRange(PARTS, "id").sortWithinPartitions("id")
+
+    return written(spark, sf_dir, "legacy", rows)
 
 
 # Requests to create a record, one per customer: clean ones, ones with wrong fields, ones
@@ -239,6 +274,7 @@ SELECT
     CASE
         WHEN c_custkey % 8 = 0 THEN NULL
         WHEN c_custkey % 20 = 4 THEN 'GT70'
+        WHEN c_custkey % 28 = 4 THEN ''
         ELSE concat('U', CAST(c_custkey % 500 AS STRING))
         END AS pasaporte,
     c_custkey % 5 = 0 AS da_cui,
@@ -329,3 +365,87 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
             for f in UPDATABLE
         ],
     )
+
+
+# Wrong values in stored records: the target columns of ``transform`` they replace. Valid in
+# Spark and DuckDB alike, so that every rule meets a record that breaks it.
+SOILED = {
+    "expediente": "CASE id % 61 WHEN 0 THEN 'ABC-1' WHEN 1 THEN repeat('9', 25) WHEN 2 THEN '' ELSE expediente END",
+    "pasaporte": "CASE id % 59 WHEN 0 THEN repeat('A1', 30) ELSE pasaporte END",
+    "cui": "CASE WHEN id % 61 IN (0, 1) THEN CAST(777 AS BIGINT) ELSE cui END",
+    "sexo": "CASE WHEN id % 47 = 0 THEN 'X' ELSE sexo END",
+    "primer_nombre": "CASE id % 53 WHEN 0 THEN repeat('a', 101) ELSE primer_nombre END",
+    "apellido_casada": "CASE id % 53 WHEN 1 THEN repeat('b', 101) ELSE apellido_casada END",
+    "padre": "CASE WHEN id % 37 = 0 THEN repeat('p', 101) ELSE padre END",
+    "expediente_madre": "CASE WHEN id % 37 = 1 THEN -5 ELSE expediente_madre END",
+    "resp_nombre": "CASE WHEN con_responsable AND id % 41 = 0 THEN repeat('n', 101) ELSE resp_nombre END",
+    "resp_parentesco_id": "CASE WHEN con_responsable AND id % 41 = 1 THEN 0 ELSE resp_parentesco_id END",
+    "resp_telefono": "CASE WHEN con_responsable AND id % 41 = 2 THEN '12' WHEN con_responsable AND id % 41 = 3 THEN repeat('5', 21) ELSE resp_telefono END",
+    "resp_cui": "CASE WHEN con_responsable AND id % 43 = 0 THEN CAST(123 AS BIGINT) WHEN con_responsable AND id % 43 = 1 THEN 1000000000008 ELSE resp_cui END",
+    "conyugue": "CASE WHEN id % 37 = 2 THEN repeat('c', 101) ELSE conyugue END",
+    "nacionalidad_id": "CASE WHEN id % 29 = 0 THEN 0 ELSE nacionalidad_id END",
+    "ocupacion": "CASE WHEN id % 29 = 1 THEN repeat('o', 101) ELSE ocupacion END",
+    "fecha_hora": "CASE id % 31 WHEN 0 THEN 'ayer' WHEN 1 THEN '2999-01-01T00:00:00' ELSE fecha_hora END",
+    "sistema_origen": "CASE WHEN id % 19 = 0 THEN repeat('s', 51) ELSE sistema_origen END",
+    "creado_por": "CASE WHEN id % 19 = 1 THEN repeat('u', 51) ELSE creado_por END",
+    "version_migracion": "CASE WHEN id % 19 = 2 THEN repeat('v', 21) ELSE version_migracion END",
+    "notas": "CASE WHEN id % 19 = 3 THEN repeat('t', 501) ELSE notas END",
+}
+# Where the fields lie in the documents.
+PLACES = {
+    "primer_nombre": "nombre.primer_nombre",
+    "apellido_casada": "nombre.apellido_casada",
+    "padre": "referencias.padre",
+    "expediente_madre": "referencias.expediente_madre",
+    "conyugue": "referencias.conyugue",
+    "resp_nombre": "referencias.responsable.nombre",
+    "resp_parentesco_id": "referencias.responsable.parentesco_id",
+    "resp_telefono": "referencias.responsable.telefono",
+    "resp_cui": "referencias.responsable.cui",
+    "nacionalidad_id": "datos_extra.demograficos.nacionalidad_id",
+    "ocupacion": "datos_extra.socioeconomicos.ocupacion",
+    "fecha_hora": "datos_extra.defuncion.fecha_hora",
+    "sistema_origen": "metadatos.sistema_origen",
+    "creado_por": "metadatos.creado_por",
+    "version_migracion": "metadatos.version_migracion",
+    "notas": "metadatos.notas",
+}
+
+
+def soiled(rows: DataFrame) -> DataFrame:
+    """Target rows with the wrong values of ``SOILED`` in their documents."""
+    names = {**PLACES, "con_responsable": "referencias.responsable IS NOT NULL"}
+
+    def expression(column: str) -> str:
+        out = SOILED[column]
+        for name in sorted(names, key=len, reverse=True):
+            place = names[name] if name == "con_responsable" else f"{names[name]}"
+            out = re.sub(rf"(?<![\w.]){name}\b", f"({place})", out)
+        return out
+
+    def document(column: str, replaced: dict[str, str]) -> Column:
+        doc, by_field = F.col(column), {}
+        for place, name in replaced.items():
+            by_field.setdefault(place.split(".")[1], []).append((place, name))
+        for field, changes in by_field.items():
+            kind = model.DOCUMENTS[column][field].dataType
+            if len(changes[0][0].split(".")) == 2:
+                doc = doc.withField(field, F.expr(expression(changes[0][1])).cast(kind))
+                continue
+            inner = F.col(f"{column}.{field}")
+            whole = inner if field == "responsable" else F.coalesce(inner, F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]))
+            for place, name in changes:
+                leaf = place.split(".")[2]
+                whole = whole.withField(leaf, F.expr(expression(name)).cast(kind[leaf].dataType))
+            given = inner.isNotNull()
+            if field == "defuncion":
+                given = F.expr(expression("fecha_hora")).isNotNull()
+            doc = doc.withField(field, F.when(given, whole))
+        return doc
+
+    scalars = {c: F.expr(SOILED[c]).cast(model.TARGET_SCHEMA[c].dataType) for c in SOILED if c not in PLACES}
+    documents = {
+        d: document(d, {p: n for n, p in PLACES.items() if p.startswith(f"{d}.")})
+        for d in ("nombre", "referencias", "datos_extra", "metadatos")
+    }
+    return rows.withColumns({**scalars, **documents})

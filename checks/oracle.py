@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.inputs import CANDIDATES_SELECT, LEGACY_SELECT, UPDATES_SELECT
+from checks.inputs import CANDIDATES_SELECT, LEGACY_SELECT, SOILED, UPDATES_SELECT
 
 AS_OF = "DATE '2024-06-30'"
 NOW = "TIMESTAMP '2024-06-30 00:00:00'"
@@ -116,6 +116,8 @@ SELECT k.*, min(id) OVER (PARTITION BY campo, clave) AS primera FROM claves k"""
 SELECT id, string_agg(campo || ' duplicado', '; ' ORDER BY campo) AS error
 FROM primeras WHERE id > primera GROUP BY id""",
     "cargadas": "SELECT m.* FROM mig m ANTI JOIN rechazos USING (id)",
+    "claves_cargadas": "SELECT k.* FROM claves k SEMI JOIN cargadas USING (id)",
+    "sucias": "SELECT * REPLACE (" + ", ".join(f"{v} AS {k}" for k, v in SOILED.items()) + ") FROM mig",
     "avisos": "SELECT * FROM mig WHERE dpi IS NOT NULL AND cui IS NULL",
     "candidatos": CANDIDATES_SELECT + "customer",
     "pedidos": UPDATES_SELECT + "customer",
@@ -497,7 +499,7 @@ SELECT DISTINCT fila FROM (
     SELECT k.fila, s.clave IS NOT NULL OR k.fila > min(k.fila) OVER (PARTITION BY k.campo, k.clave)
         AS tomada
     FROM claves_pedidas k
-    LEFT JOIN (SELECT DISTINCT campo, clave FROM claves_stored) s USING (campo, clave))
+    LEFT JOIN (SELECT DISTINCT campo, clave FROM claves_cargadas) s USING (campo, clave))
 WHERE tomada"""
 
 # Updates, folded to one per record.
@@ -517,21 +519,23 @@ UPDATE_FIELDS = [
     f"CASE WHEN da_contacto THEN {phone_field('contacto -> telefono_principal', 'telefono')} END",
 ]
 NULL_ESTADO = "CASE WHEN da_estado AND estado IS NULL THEN 'estado: no admite nulos' END"
-CTES["cambios"] = f"""
+# Every request for itself; then those that stand, folded to one per record.
+CTES["revision"] = f"""
 SELECT p.*, {listed([*UPDATE_FIELDS, NULL_ESTADO])} AS errores
-FROM plegados p SEMI JOIN stored USING (id)"""
+FROM pedidos p SEMI JOIN cargadas USING (id)"""
 CTES["claves_cambio"] = """
-SELECT id, 'cui' AS campo, CAST(cui AS VARCHAR) AS clave FROM cambios
+SELECT orden, id, 'cui' AS campo, CAST(cui AS VARCHAR) AS clave FROM revision
     WHERE errores = '' AND da_cui AND cui IS NOT NULL
-UNION ALL SELECT id, 'pasaporte', pasaporte FROM cambios
+UNION ALL SELECT orden, id, 'pasaporte', pasaporte FROM revision
     WHERE errores = '' AND da_pasaporte AND pasaporte IS NOT NULL"""
 CTES["choques"] = """
-SELECT id, campo FROM (
-    SELECT id, campo, id > min(id) OVER (PARTITION BY campo, clave) AS segunda,
-        EXISTS (SELECT 1 FROM claves_stored s
-            WHERE s.campo = k.campo AND s.clave = k.clave AND s.id <> k.id) AS ajena
-    FROM claves_cambio k)
-WHERE segunda OR ajena"""
+SELECT id, orden, campo FROM (
+    SELECT k.id, k.orden, k.campo, s.id AS dueno,
+        first(k.id) OVER (PARTITION BY k.campo, k.clave ORDER BY k.orden) AS primero
+    FROM claves_cambio k LEFT JOIN claves_cargadas s USING (campo, clave))
+WHERE coalesce(dueno, primero) <> id"""
+CTES["aceptados"] = "SELECT * FROM revision WHERE errores = '' AND orden NOT IN (SELECT orden FROM choques)"
+CTES["cambios"] = CTES["plegados"].replace("FROM pedidos", "FROM aceptados")
 
 # --------------------------------------------------------------------------- statements
 
@@ -612,9 +616,7 @@ SELECT s.id, s.expediente, CASE WHEN u.da_cui THEN u.cui ELSE s.cui END AS cui,
     CASE WHEN u.da_contacto THEN NULL ELSE s.email END AS email,
     CASE WHEN u.id IS NOT NULL THEN '2024-06-30 00:00:00' ELSE s.actualizado_en END
         AS actualizado_en
-FROM stored s LEFT JOIN (
-    SELECT * FROM cambios WHERE errores = '' AND id NOT IN (SELECT id FROM choques)) u
-    ON u.id = s.id"""
+FROM cargadas s LEFT JOIN cambios u ON u.id = s.id"""
 
 
 def split_errors(key: str, source: str) -> str:
@@ -891,7 +893,7 @@ FROM mig""",
     "expedientes_duplicados": brief("expediente_duplicado"),
     "migrados": brief("sistema_origen = 'mysql_legacy'"),
     "list_page": page("true", 4, 50),
-    "list_page_deep": page("true", 140, 100),
+    "list_page_deep": page("true", 100, 100),
     "paginate": "SELECT n AS total, page, page_size, (n + page_size - 1) // page_size AS total_pages "
     "FROM (SELECT count(*) AS n FROM mig WHERE estado = 'F'), "
     "(VALUES (1, 100), (1000000, 7)) v(page, page_size)",
@@ -958,7 +960,7 @@ UNION ALL SELECT * FROM (SELECT 'ADVERTENCIA', id_origen, 'CUI_INVALIDO',
     "resume": "SELECT id_origen AS id, expediente_origen AS expediente FROM pendientes",
     # writes
     "create_rows": f"""
-SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY fila) AS id, expediente, cui,
+SELECT (SELECT max(id) FROM cargadas) + row_number() OVER (ORDER BY fila) AS id, expediente, cui,
     pasaporte, {strip("primer_nombre")} AS primer_nombre, sexo, {digits("telefono")} AS telefono,
     split_part(email, '@', 1) || '@' || lower(split_part(email, '@', -1)) AS email, estado,
     '2024-06-30 00:00:00' AS creado_en
@@ -971,13 +973,13 @@ FROM revisados WHERE errores = '' AND fila NOT IN (SELECT fila FROM tomadas)""",
     "CASE WHEN da_pasaporte THEN 'pasaporte' END, CASE WHEN da_sexo THEN 'sexo' END) AS campos, "
     "cui, pasaporte, sexo, estado, telefono FROM plegados",
     "update_rows": UPDATED.format(digits=digits("u.telefono")),
-    "update_rows_rejected": "SELECT id, 'id' AS campo, 'Paciente no encontrado' AS mensaje "
-    "FROM plegados WHERE id NOT IN (SELECT id FROM stored) UNION ALL "
-    + split_errors("id", "cambios")
-    + " UNION ALL SELECT id, campo, 'Identificador no disponible' FROM choques",
-    "delete_rows": f"SELECT id, expediente FROM stored WHERE id NOT IN {DELETED}",
+    "update_rows_rejected": "SELECT id, orden, 'id' AS campo, 'Paciente no encontrado' AS mensaje "
+    "FROM pedidos WHERE id NOT IN (SELECT id FROM cargadas) UNION ALL "
+    + split_errors("id, orden", "revision")
+    + " UNION ALL SELECT id, orden, campo, 'Identificador no disponible' FROM choques",
+    "delete_rows": f"SELECT id, expediente FROM cargadas WHERE id NOT IN {DELETED}",
     "delete_rows_missing": "SELECT DISTINCT id, 'id' AS campo, 'Paciente no encontrado' AS mensaje "
-    f"FROM {DELETED} WHERE id NOT IN (SELECT id FROM stored)",
+    f"FROM {DELETED} WHERE id NOT IN (SELECT id FROM cargadas)",
 }
 # The second run of two: what the first refused, against what it loaded.
 BODIES["migrate_and_resume"] = (
@@ -994,4 +996,89 @@ BODIES["migrate_and_resume"] = (
     + ")"
 )
 
+# Loose text: rows with a value that fits no column, and what the others do among themselves.
+_BAD = f"(id % 211 = 0 OR id % 103 = 0 OR ({BAD_BIRTH}) OR id % 101 = 0)"
+CTES["malas"] = f"""
+SELECT id, CASE WHEN id % 211 = 0 THEN NULL ELSE id END AS id_mysql, expediente,
+    CASE WHEN id % 211 = 0 THEN concat('id: x-', id, ' no es int')
+        WHEN id % 103 = 0 THEN 'dpi: sin dpi no es bigint'
+        WHEN {BAD_BIRTH} THEN concat('nacimiento: ', fecha_defuncion, ' no es date')
+        ELSE 'municipio: sin dato no es int' END AS error
+FROM legacy WHERE {_BAD}"""
+CTES["rechazos_buenas"] = """
+SELECT id, string_agg(campo || ' duplicado', '; ' ORDER BY campo) AS error
+FROM (SELECT k.*, min(id) OVER (PARTITION BY campo, clave) AS primera
+    FROM claves k ANTI JOIN malas USING (id)) WHERE id > primera GROUP BY id"""
+# Those refused for a value they share with a row that was not loaded itself pass the second time.
+CTES["segundas"] = """
+SELECT id FROM (SELECT k.id, d.clave IS NOT NULL
+        OR k.id > min(k.id) OVER (PARTITION BY k.campo, k.clave) AS malo
+    FROM claves k SEMI JOIN rechazos_buenas USING (id)
+    LEFT JOIN (SELECT DISTINCT campo, clave FROM claves ANTI JOIN malas USING (id)
+        ANTI JOIN rechazos_buenas USING (id)) d USING (campo, clave)) GROUP BY id HAVING bool_or(malo)"""
+_COUNTERS = """
+SELECT (SELECT count(*) FROM {source}) AS total_procesados,
+    (SELECT count(*) FROM {source}) - (SELECT count(*) FROM malas) - (SELECT count(*) FROM {rejected})
+        AS total_exitosos,
+    (SELECT count(*) FROM malas) + (SELECT count(*) FROM {rejected}) AS total_errores,
+    (SELECT count(*) FROM {source} ANTI JOIN malas USING (id) WHERE dpi IS NOT NULL AND cui IS NULL)
+        AS total_advertencias,
+    (SELECT count(*) FROM {source} WHERE repetido) AS expedientes_duplicados,
+    (SELECT count(*) FROM {source} ANTI JOIN malas USING (id) WHERE dpi IS NOT NULL AND cui IS NULL)
+        AS cui_invalidos, {run} AS corrida"""
+BODIES["migrate_broken"] = (
+    _COUNTERS.format(source="mig", rejected="rechazos_buenas", run=1)
+    + " UNION ALL "
+    + _COUNTERS.format(
+        source="(SELECT * FROM mig WHERE id IN (SELECT id FROM malas UNION ALL SELECT id FROM rechazos_buenas))",
+        rejected="segundas",
+        run=2,
+    )
+)
+BODIES["migrate_broken_errors"] = """
+SELECT id_mysql, CAST(expediente AS VARCHAR) AS expediente, error, 'ValueError' AS tipo FROM malas
+UNION ALL SELECT m.id, m.expediente, r.error, 'COMMIT_ERROR' FROM rechazos_buenas r JOIN mig m USING (id)"""
+BODIES["batch_summary_broken"] = """
+SELECT lote, count(*) AS procesados, count(*) FILTER (WHERE NOT malo) AS exitosos,
+    count(*) FILTER (WHERE malo) AS errores
+FROM (SELECT CASE WHEN id % 211 = 0 THEN 0
+        ELSE (row_number() OVER (PARTITION BY id % 211 = 0 ORDER BY id) - 1) // 100 + 1 END AS lote,
+    id IN (SELECT id FROM malas) OR id IN (SELECT id FROM rechazos_buenas) AS malo FROM mig)
+GROUP BY lote"""
+BODIES["slice_positions"] = """
+SELECT * FROM (SELECT row_number() OVER (ORDER BY id) - 1 AS posicion, CAST(id * 97 AS INT) AS id,
+    CASE WHEN posicion BETWEEN 600 AND 749 THEN 'cerca'
+        WHEN posicion BETWEEN 12300 AND 14299 THEN 'lejos' END AS corte FROM legacy)
+WHERE corte IS NOT NULL"""
+BODIES["create_target"] = """
+SELECT posicion, columna, tipo, (SELECT count(*) FROM cargadas) AS total_registros
+FROM (VALUES (1, 'id', 'bigint'), (2, 'expediente', 'string'), (3, 'cui', 'bigint'),
+    (4, 'pasaporte', 'string'), (5, 'nombre', 'struct'), (6, 'sexo', 'string'),
+    (7, 'fecha_nacimiento', 'date'), (8, 'contacto', 'struct'), (9, 'referencias', 'struct'),
+    (10, 'datos_extra', 'struct'), (11, 'estado', 'string'), (12, 'metadatos', 'struct'),
+    (13, 'creado_en', 'timestamp'), (14, 'actualizado_en', 'timestamp')) v(posicion, columna, tipo)"""
+BODIES["table_exists"] = "SELECT false AS antes, true AS despues, count(*) AS filas FROM cargadas"
+BODIES["es_gemelo_type"] = (
+    "SELECT id, CASE WHEN id % 6 IN (2, 3, 4) THEN 'es_gemelo debe ser true o false' ELSE '' END AS errores FROM legacy"
+)
+
+# Queries that read the loaded table, and those that read records with wrong values.
+CTES["resp_cargadas"] = CTES["resp"].replace("FROM mig", "FROM cargadas")
+LOADED = (
+    "by_id by_ids exists_id by_expediente by_cui by_pasaporte search search_all search_nombre_completo "
+    "fallecidos por_sexo por_rango_edad menores menores_page sin_cui expedientes_duplicados migrados "
+    "list_page list_page_deep paginate count estadisticas total_menores total_fallecidos total_sin_cui "
+    "export_target enrich_response response_conformance"
+).split()
+DIRTY = (
+    "validar_pasaporte validar_expediente validar_nombre validar_fecha_nacimiento "
+    "validar_contacto validar_referencias validar_datos_extra validar_paciente_completo error_summary "
+    "schema_direccion schema_responsable schema_referencias schema_datos_extra schema_metadatos "
+    "schema_defuncion_coherente"
+).split()
+for name in LOADED:
+    BODIES[name] = re.sub(r"\bresp\b", "resp_cargadas", re.sub(r"\bmig\b", "cargadas", BODIES[name]))
+for name in DIRTY:
+    BODIES[name] = re.sub(r"\bmig\b", "sucias", BODIES[name])
+
 ORACLE = {name: sql(body) for name, body in BODIES.items()}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import candidates, legacy, table, updates
+from checks.inputs import PARTS, candidates, legacy, scratch, soiled, table, updates, written
 from padron import model
 from padron.functions import contract, derived, documents, normalize, rules
 from padron.functions.asof import AsOf
@@ -22,7 +23,6 @@ EARLIER_RUN = "1999-01-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_STORED: dict[tuple[str, str], str] = {}
 c = F.col
 
 
@@ -45,18 +45,32 @@ def migrated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The target as an earlier run left it: older rows, without the rejected ones.
+    """The target as an earlier run left it: older rows, without the rejected ones."""
 
-    Written once per session, since operators meet it as a table.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        rows = legacy(spark, sf)
-        older = rows.where(c("created_at") < F.lit(EARLIER_RUN).cast("timestamp_ntz"))
-        path = tables.work_folder(spark, "target")
-        tables.append_target(migration.plan(older, empty_target(spark), AS_OF).loadable, path)
-        _STORED[key] = path
-    return tables.scan_target(spark, _STORED[key])
+    def rows() -> DataFrame:
+        older = legacy(spark, sf).where(c("created_at") < F.lit(EARLIER_RUN).cast("timestamp_ntz"))
+        return plan(older, empty_target(spark)).loadable
+
+    return written(spark, sf, "stored", rows)
+
+
+def loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The target of a complete run, in the order of its id."""
+
+    def rows() -> DataFrame:
+        found = migration.assign_ids(full_run(spark, sf).loadable, empty_target(spark))
+        return found.repartitionByRange(PARTS, "id").sortWithinPartitions("id")
+
+    return written(spark, sf, "loaded", rows)
+
+
+def dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored records of which some break each rule."""
+    return soiled(migrated(spark, sf))
+
+
+def plan(rows: DataFrame, target: DataFrame) -> migration.Migration:
+    return migration.plan(rows, target, AS_OF, scratch(rows.sparkSession))
 
 
 def empty_target(spark: SparkSession) -> DataFrame:
@@ -121,7 +135,7 @@ def brief_page(page: DataFrame) -> DataFrame:
 
 @query
 def scan_legacy(spark, sf):
-    rows = tables.conform_legacy(legacy(spark, sf))
+    rows = migration.coerce(tables.conform_legacy(legacy(spark, sf))).drop("_error")
     return rows.withColumns(
         {
             "nacimiento": c("nacimiento").cast("string"),
@@ -138,6 +152,37 @@ def scan_batch(spark, sf):
     )
 
 
+@query
+def slice_positions(spark, sf):
+    """Slices across block edges, with the place of each row: ids spread over many blocks."""
+    rows = legacy(spark, sf).select((c("id") * 97).alias("id"))
+    near = paging.slice_rows(rows, 600, 150, position="posicion").withColumn("corte", F.lit("cerca"))
+    far = paging.slice_rows(rows, 12_300, 2_000, position="posicion").withColumn("corte", F.lit("lejos"))
+    return near.unionByName(far)
+
+
+@query
+def create_target(spark, sf):
+    """A table made in the catalog, filled with a complete run, and described."""
+    name, path = f"pacientes_{uuid.uuid4().hex}", scratch(spark).folder("catalog")
+    tables.create_target(spark, name, path)
+    tables.append_target(loaded(spark, sf), path)
+    spark.catalog.refreshTable(name)
+    kind = F.substring_index("tipo", "<", 1).alias("tipo")
+    return tables.table_info(tables.create_target(spark, name, path)).select("posicion", "columna", kind, "total_registros")
+
+
+@query
+def table_exists(spark, sf):
+    """Before and after a table is made of the loaded rows, with its rows."""
+    name, path = f"pacientes_{uuid.uuid4().hex}", scratch(spark).folder("catalog")
+    before = tables.table_exists(spark, name)
+    tables.append_target(loaded(spark, sf), path)
+    rows = tables.create_target(spark, name, path)
+    after = tables.table_exists(spark, name)
+    return rows.agg(F.count("*").alias("filas")).select(F.lit(before).alias("antes"), F.lit(after).alias("despues"), "filas")
+
+
 @query
 def scan_batch_after(spark, sf):
     return paging.slice_after(legacy(spark, sf), 777, 100).select("id", "expediente", "dpi")
@@ -145,14 +190,14 @@ def scan_batch_after(spark, sf):
 
 @query
 def scan_target(spark, sf):
-    path = tables.work_folder(spark, "target")
+    path = scratch(spark).folder("target")
     tables.append_target(migrated(spark, sf), path)
     return flat(tables.scan_target(spark, path))
 
 
 @query
 def append_target(spark, sf):
-    path = tables.work_folder(spark, "target")
+    path = scratch(spark).folder("target")
     rows = migrated(spark, sf)
     tables.append_target(lookup.fallecidos(rows), path)
     tables.append_target(rows.where(c("estado") == "V"), path)
@@ -392,7 +437,7 @@ QUERIES |= {
 
 @query
 def export_target(spark, sf):
-    rows = derived.export_target(migrated(spark, sf), AS_OF)
+    rows = derived.export_target(loaded(spark, sf), AS_OF)
     return rows.select(
         "id",
         "expediente",
@@ -422,12 +467,18 @@ def export_legacy(spark, sf):
 
 @query
 def enrich_response(spark, sf):
-    return brief(migrated(spark, sf))
+    return brief(loaded(spark, sf))
 
 
 # --------------------------------------------------------------------------- rules
 
 
+def _dirty(build: Callable[[], dict[str, Column]]) -> Query:
+    return lambda spark, sf: dirty(spark, sf).select(
+        "id", *[v.alias(k) for k, v in build().items()]
+    )
+
+
 QUERIES |= {
     "validar_cui": _legacy(
         lambda: {
@@ -441,30 +492,30 @@ QUERIES |= {
             "mensaje": rules.cui_check_message(c("cui")),
         }
     ),
-    "validar_pasaporte": _target(
+    "validar_pasaporte": _dirty(
         lambda: {"mensaje": rules.pasaporte_message(c("pasaporte"))}
     ),
-    "validar_expediente": _target(
+    "validar_expediente": _dirty(
         lambda: {"mensaje": rules.expediente_message(c("expediente"))}
     ),
-    "validar_nombre": _target(
+    "validar_nombre": _dirty(
         lambda: {"errores": joined(rules.nombre_messages(c("nombre")))}
     ),
     "validar_sexo": _legacy(lambda: {"errores": joined(rules.sexo_messages(c("sexo")))}),
-    "validar_fecha_nacimiento": _target(
+    "validar_fecha_nacimiento": _dirty(
         lambda: {"errores": joined(rules.fecha_nacimiento_messages(c("fecha_nacimiento"), AS_OF))}
     ),
-    "validar_contacto": _target(
+    "validar_contacto": _dirty(
         lambda: {
             "errores": joined(rules.contacto_messages(c("contacto"))),
             "con_telefono_local": joined(rules.contacto_messages(c("contacto"), True)),
         }
     ),
     "validar_estado": _legacy(lambda: {"errores": joined(rules.estado_messages(c("estado")))}),
-    "validar_referencias": _target(
+    "validar_referencias": _dirty(
         lambda: {"errores": joined(rules.referencias_messages(c("referencias")))}
     ),
-    "validar_datos_extra": _target(
+    "validar_datos_extra": _dirty(
         lambda: {"errores": joined(rules.datos_extra_messages(c("datos_extra"), AS_OF))}
     ),
     "validar_legacy": _legacy(lambda: {"errores": joined(rules.legacy_messages(AS_OF))}),
@@ -480,7 +531,7 @@ def validar_identificadores(spark, sf):
 
 @query
 def validar_paciente_completo(spark, sf):
-    checked = rules.check_record(migrated(spark, sf), AS_OF)
+    checked = rules.check_record(dirty(spark, sf), AS_OF)
     return checked.select(
         "id", "es_valido", *[joined(c("errores")[f]).alias(f) for f in rules.CHECK_FIELDS]
     )
@@ -488,7 +539,7 @@ def validar_paciente_completo(spark, sf):
 
 @query
 def error_summary(spark, sf):
-    checked = rules.check_record(migrated(spark, sf), AS_OF)
+    checked = rules.check_record(dirty(spark, sf), AS_OF)
     return rules.error_summary(rules.flatten_errors(checked))
 
 
@@ -505,7 +556,7 @@ QUERIES |= {
         contract.clean_nombre(c("nombre"))["primer_nombre"].alias("primer_nombre"),
     ),
     "schema_direccion": _contract(
-        migrated, "id", lambda: contract.direccion_errors(c("contacto")["direccion"])
+        dirty, "id", lambda: contract.direccion_errors(c("contacto")["direccion"])
     ),
     "schema_contacto": lambda spark, sf: candidates(spark, sf).select(
         "fila",
@@ -514,19 +565,19 @@ QUERIES |= {
         contract.clean_contacto(c("contacto"))["email"].alias("email"),
     ),
     "schema_responsable": _contract(
-        migrated, "id", lambda: contract.responsable_errors(c("referencias")["responsable"])
+        dirty, "id", lambda: contract.responsable_errors(c("referencias")["responsable"])
     ),
     "schema_referencias": _contract(
-        migrated, "id", lambda: contract.referencias_errors(c("referencias"))
+        dirty, "id", lambda: contract.referencias_errors(c("referencias"))
     ),
     "schema_datos_extra": _contract(
-        migrated, "id", lambda: contract.datos_extra_errors(c("datos_extra"), AS_OF)
+        dirty, "id", lambda: contract.datos_extra_errors(c("datos_extra"), AS_OF)
     ),
     "schema_metadatos": _contract(
-        migrated, "id", lambda: contract.metadatos_errors(c("metadatos"))
+        dirty, "id", lambda: contract.metadatos_errors(c("metadatos"))
     ),
     "schema_paciente": _contract(candidates, "fila", lambda: contract.paciente_errors(AS_OF)),
-    "schema_defuncion_coherente": lambda spark, sf: migrated(spark, sf).select(
+    "schema_defuncion_coherente": lambda spark, sf: dirty(spark, sf).select(
         "id", contract.death_rule(c("estado"), c("datos_extra")).alias("mensaje")
     ),
     "schema_update": lambda spark, sf: updates(spark, sf).select(
@@ -535,9 +586,18 @@ QUERIES |= {
 }
 
 
+@query
+def es_gemelo_type(spark, sf):
+    """Documents held as JSON text, with every kind of value for ``es_gemelo``."""
+    kinds = F.expr("CASE id % 6 WHEN 0 THEN 'true' WHEN 1 THEN 'null' WHEN 2 THEN '1' WHEN 3 THEN '\"si\"' WHEN 4 THEN '[]' END")
+    text = F.when(kinds.isNull(), F.lit("{}")).otherwise(F.concat(F.lit('{"es_gemelo":'), kinds, F.lit("}")))
+    found = rules.es_gemelo_type_messages(F.parse_json(text))
+    return legacy(spark, sf).select("id", joined(found).alias("errores"))
+
+
 @query
 def response_conformance(spark, sf):
-    return contract.response_conformance(migrated(spark, sf), AS_OF)
+    return contract.response_conformance(loaded(spark, sf), AS_OF)
 
 
 # --------------------------------------------------------------------------- quality
@@ -599,29 +659,29 @@ def identifiers_available(spark, sf):
 
 @query
 def by_id(spark, sf):
-    return flat(lookup.by_id(migrated(spark, sf), 1001))
+    return flat(lookup.by_id(loaded(spark, sf), 1001))
 
 
 @query
 def by_ids(spark, sf):
     ids = table(spark, sf, "customer").select((c("c_custkey") * 3).alias("id"))
-    return brief(lookup.by_ids(migrated(spark, sf), ids))
+    return brief(lookup.by_ids(loaded(spark, sf), ids))
 
 
 @query
 def exists_id(spark, sf):
     ids = table(spark, sf, "customer").select((c("c_custkey") * 13).alias("id"))
-    return lookup.exists_ids(migrated(spark, sf), ids)
+    return lookup.exists_ids(loaded(spark, sf), ids)
 
 
 @query
 def by_expediente(spark, sf):
-    return brief(lookup.by_expediente(migrated(spark, sf), "100321"))
+    return brief(lookup.by_expediente(loaded(spark, sf), "100321"))
 
 
 @query
 def by_cui(spark, sf):
-    rows = migrated(spark, sf)
+    rows = loaded(spark, sf)
     valid = lookup.by_cui(rows, 1000000000009).withColumn("pedido", F.lit("valido"))
     wrong = lookup.by_cui(rows, 1000000000008).withColumn("pedido", F.lit("digito errado"))
     return valid.unionByName(wrong).select("pedido", "id", "cui")
@@ -629,7 +689,7 @@ def by_cui(spark, sf):
 
 @query
 def by_pasaporte(spark, sf):
-    return brief(lookup.by_pasaporte(migrated(spark, sf), "GT120"))
+    return brief(lookup.by_pasaporte(loaded(spark, sf), "GT120"))
 
 
 SEARCH = lookup.SearchParams(
@@ -647,75 +707,75 @@ SEARCH = lookup.SearchParams(
 
 @query
 def search(spark, sf):
-    return brief_page(lookup.search_page(migrated(spark, sf), SEARCH))
+    return brief_page(lookup.search_page(loaded(spark, sf), SEARCH))
 
 
 @query
 def search_all(spark, sf):
-    return brief(lookup.search(migrated(spark, sf), SEARCH))
+    return brief(lookup.search(loaded(spark, sf), SEARCH))
 
 
 @query
 def search_nombre_completo(spark, sf):
-    return brief(lookup.search_nombre_completo(migrated(spark, sf), "garcía"))
+    return brief(lookup.search_nombre_completo(loaded(spark, sf), "garcía"))
 
 
 @query
 def fallecidos(spark, sf):
-    return brief(lookup.fallecidos(migrated(spark, sf)))
+    return brief(lookup.fallecidos(loaded(spark, sf)))
 
 
 @query
 def por_sexo(spark, sf):
-    return brief(lookup.por_sexo(migrated(spark, sf), "NF"))
+    return brief(lookup.por_sexo(loaded(spark, sf), "NF"))
 
 
 @query
 def por_rango_edad(spark, sf):
-    return brief(lookup.por_rango_edad(migrated(spark, sf), 18, 40, AS_OF))
+    return brief(lookup.por_rango_edad(loaded(spark, sf), 18, 40, AS_OF))
 
 
 @query
 def menores(spark, sf):
-    return brief(lookup.menores(migrated(spark, sf), AS_OF))
+    return brief(lookup.menores(loaded(spark, sf), AS_OF))
 
 
 @query
 def menores_page(spark, sf):
     return brief_page(
-        lookup.menores_page(migrated(spark, sf), paging.PageRequest(3, 25), AS_OF)
+        lookup.menores_page(loaded(spark, sf), paging.PageRequest(3, 25), AS_OF)
     )
 
 
 @query
 def sin_cui(spark, sf):
-    return brief(lookup.sin_cui(migrated(spark, sf)))
+    return brief(lookup.sin_cui(loaded(spark, sf)))
 
 
 @query
 def expedientes_duplicados(spark, sf):
-    return brief(lookup.expedientes_duplicados(migrated(spark, sf)))
+    return brief(lookup.expedientes_duplicados(loaded(spark, sf)))
 
 
 @query
 def migrados(spark, sf):
-    return brief(lookup.migrados(migrated(spark, sf)))
+    return brief(lookup.migrados(loaded(spark, sf)))
 
 
 @query
 def list_page(spark, sf):
-    return brief_page(lookup.list_page(migrated(spark, sf), paging.PageRequest(4, 50)))
+    return brief_page(lookup.list_page(loaded(spark, sf), paging.PageRequest(4, 50)))
 
 
 @query
 def list_page_deep(spark, sf):
-    return brief_page(lookup.list_page(migrated(spark, sf), paging.PageRequest(140, 100)))
+    return brief_page(lookup.list_page(loaded(spark, sf), paging.PageRequest(100, 100)))
 
 
 @query
 def paginate(spark, sf):
     """The page record of the deceased, and of a page beyond the last."""
-    total = paging.row_count(lookup.fallecidos(migrated(spark, sf)))
+    total = paging.row_count(lookup.fallecidos(loaded(spark, sf)))
     first = paging.page_info(total, paging.PageRequest(1, 100))
     return first.unionByName(paging.page_info(total, paging.PageRequest(10**6, 7)))
 
@@ -725,12 +785,12 @@ def paginate(spark, sf):
 
 @query
 def count(spark, sf):
-    return stats.count(migrated(spark, sf))
+    return stats.count(loaded(spark, sf))
 
 
 @query
 def estadisticas(spark, sf):
-    return stats.estadisticas(migrated(spark, sf))
+    return stats.estadisticas(loaded(spark, sf))
 
 
 @query
@@ -740,17 +800,17 @@ def migration_status(spark, sf):
 
 @query
 def total_menores(spark, sf):
-    return stats.total_menores(migrated(spark, sf), AS_OF)
+    return stats.total_menores(loaded(spark, sf), AS_OF)
 
 
 @query
 def total_fallecidos(spark, sf):
-    return stats.total_fallecidos(migrated(spark, sf))
+    return stats.total_fallecidos(loaded(spark, sf))
 
 
 @query
 def total_sin_cui(spark, sf):
-    return stats.total_sin_cui(migrated(spark, sf))
+    return stats.total_sin_cui(loaded(spark, sf))
 
 
 # --------------------------------------------------------------------------- migration
@@ -789,12 +849,46 @@ def transform_errors(spark, sf):
 
 
 def full_run(spark, sf) -> migration.Migration:
-    return migration.plan(legacy(spark, sf), empty_target(spark), AS_OF)
+    return plan(legacy(spark, sf), empty_target(spark))
 
 
 def second_run(spark, sf) -> migration.Migration:
     target = stored(spark, sf)
-    return migration.plan(migration.pending(legacy(spark, sf), target), target, AS_OF)
+    return plan(migration.pending(legacy(spark, sf), target), target)
+
+
+def broken_text(spark, sf) -> DataFrame:
+    """Loose text with bad ids, numbers and dates among it."""
+    return raw_text(spark, sf).withColumns(
+        {
+            "dpi": F.when(c("id").cast("int") % 103 == 0, F.lit("sin dpi")).otherwise(c("dpi")),
+            "id": F.when(c("id").cast("int") % 211 == 0, F.concat(F.lit("x-"), c("id"))).otherwise(c("id")),
+        }
+    )
+
+
+@query
+def migrate_broken(spark, sf):
+    """A complete run over loose text, and one that repeats it: counters of both."""
+    folder = scratch(spark).folder("migration")
+    path = f"{folder}/target"
+    tables.append_target(empty_target(spark), path)
+    results = []
+    for i in (1, 2):
+        target = tables.scan_target(spark, path)
+        done = migration.run(broken_text(spark, sf), target, path, f"{folder}/run{i}", AS_OF)
+        results.append(done.withColumn("corrida", F.lit(i)))
+    return results[0].unionByName(results[1])
+
+
+@query
+def migrate_broken_errors(spark, sf):
+    return plan(broken_text(spark, sf), empty_target(spark)).errors.select("id_mysql", "expediente", "error", "tipo")
+
+
+@query
+def batch_summary_broken(spark, sf):
+    return migration.batch_summary(plan(broken_text(spark, sf), empty_target(spark)))
 
 
 @query
@@ -804,8 +898,9 @@ def load_errors(spark, sf):
 
 @query
 def migrate_batch(spark, sf):
-    run = migration.plan_batch(legacy(spark, sf), empty_target(spark), 500, 400, AS_OF)
-    beyond = migration.plan_batch(legacy(spark, sf), empty_target(spark), 10**9, 400, AS_OF)
+    work = scratch(spark)
+    run = migration.plan_batch(legacy(spark, sf), empty_target(spark), 500, 400, AS_OF, work)
+    beyond = migration.plan_batch(legacy(spark, sf), empty_target(spark), 10**9, 400, AS_OF, work)
     return migration.batch_result(run, 500, 400).unionByName(
         migration.batch_result(beyond, 10**9, 400)
     )
@@ -821,7 +916,7 @@ def migrate_all(spark, sf):
 @query
 def migrate_and_resume(spark, sf):
     """Two complete runs that write: the second finds only the rows refused before."""
-    folder = tables.work_folder(spark, "migration")
+    folder = scratch(spark).folder("migration")
     path = f"{folder}/target"
     rows = legacy(spark, sf)
     tables.append_target(empty_target(spark), path)
@@ -861,10 +956,13 @@ def resume(spark, sf):
 # --------------------------------------------------------------------------- writes
 
 
+def _create(spark, sf) -> maintenance.Outcome:
+    return maintenance.create_rows(candidates(spark, sf), loaded(spark, sf), AS_OF, scratch(spark))
+
+
 @query
 def create_rows(spark, sf):
-    created = maintenance.create_rows(candidates(spark, sf), stored(spark, sf), AS_OF).rows
-    return created.select(
+    return _create(spark, sf).rows.select(
         "id",
         "expediente",
         "cui",
@@ -880,7 +978,7 @@ def create_rows(spark, sf):
 
 @query
 def create_rows_rejected(spark, sf):
-    return maintenance.create_rows(candidates(spark, sf), stored(spark, sf), AS_OF).rejected
+    return _create(spark, sf).rejected
 
 
 @query
@@ -898,8 +996,7 @@ def fold_updates(spark, sf):
 
 
 def _update(spark, sf) -> maintenance.Outcome:
-    folded = maintenance.fold_updates(updates(spark, sf), "orden")
-    return maintenance.update_rows(stored(spark, sf), folded, AS_OF)
+    return maintenance.update_rows(loaded(spark, sf), updates(spark, sf), AS_OF, scratch(spark))
 
 
 @query
@@ -924,7 +1021,7 @@ def update_rows_rejected(spark, sf):
 
 def _delete(spark, sf) -> maintenance.Outcome:
     ids = table(spark, sf, "customer").select((c("c_custkey") * 13).alias("id"))
-    return maintenance.delete_rows(stored(spark, sf), ids)
+    return maintenance.delete_rows(loaded(spark, sf), ids)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,12 @@ class AsOf:
             value = datetime(value.year, value.month, value.day)
         return cls(value)
 
+    def pinned(self, spark: SparkSession) -> AsOf:
+        """The same moment for every job: a clock is read once, in the session's zone."""
+        if self.moment is not None:
+            return self
+        return AsOf(spark.range(1).select(self.now).first()[0])
+
     @property
     def today(self) -> Column:
         return F.current_date() if self.moment is None else F.lit(self.moment.date())

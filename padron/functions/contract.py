@@ -46,8 +46,9 @@ DEATH_UNEXPECTED = "Value error, Paciente vivo no puede tener datos de defunció
 RESERVED_DOMAINS = ("arpa", "invalid", "local", "localhost", "onion", "test")
 
 _ATOM = r"[\p{L}\p{Nd}!#$%&'*+/=?^_`{|}~-]+"
-_LABEL = r"[\p{L}\p{Nd}]([\p{L}\p{Nd}-]*[\p{L}\p{Nd}])?"
-_EMAIL = rf"^{_ATOM}(\.{_ATOM})*@({_LABEL}\.)+{_LABEL}\z"
+# A label has at most 63 characters, a domain 253.
+_LABEL = r"[\p{L}\p{Nd}]([\p{L}\p{Nd}-]{0,61}[\p{L}\p{Nd}])?"
+_EMAIL = rf"^{_ATOM}(\.{_ATOM})*@(?=.{{1,253}}\z)({_LABEL}\.)+{_LABEL}\z"
 
 
 def too_long(n: int) -> str:

@@ -183,6 +183,17 @@ def json_text_field(text: Column, *path: str) -> Column:
     return F.get_json_object(text, "$." + ".".join(path))
 
 
+def _comparable(kind: T.DataType, wanted: Any) -> bool:
+    """Whether a JSON scalar can equal a field of this type: kinds of value never mix."""
+    if wanted is None:
+        return True
+    if isinstance(wanted, bool):
+        return isinstance(kind, T.BooleanType)
+    if isinstance(wanted, (int, float)):
+        return isinstance(kind, T.NumericType)
+    return isinstance(kind, T.StringType) and isinstance(wanted, str)
+
+
 def json_contains(doc: Column, schema: T.StructType, pattern: dict[str, Any]) -> Column:
     """Whether a typed document contains ``pattern`` (``doc @> pattern``); never null.
 
@@ -198,5 +209,5 @@ def json_contains(doc: Column, schema: T.StructType, pattern: dict[str, Any]) ->
                 return F.lit(False)
             found = found & json_contains(field, kind, wanted)
         else:
-            found = found & field.eqNullSafe(F.lit(wanted))
+            found = found & (field.eqNullSafe(F.lit(wanted)) if _comparable(kind, wanted) else F.lit(False))
     return found

@@ -6,7 +6,9 @@ and no join has an OR in its condition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions.text import has_number, has_text
@@ -16,11 +18,15 @@ from padron.operators.skew import lookup_join
 KEY = ("campo", "clave")
 
 
-def identifier_rows(rows: DataFrame, key: str = "id", given_only: bool = False) -> DataFrame:
+def identifier_rows(
+    rows: DataFrame, key: str = "id", given_only: bool = False, carry: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Long form ``fila, campo, clave`` of the identifiers that are not null.
 
-    ``given_only`` also leaves out empty texts and zero.
+    ``given_only`` also leaves out empty texts and zero. ``carry`` adds columns of the row, so
+    that nobody has to come back for them.
     """
+    carry = carry or {}
     usable = {
         "expediente": has_text(F.col("expediente")),
         "cui": has_number(F.col("cui")),
@@ -36,8 +42,12 @@ def identifier_rows(rows: DataFrame, key: str = "id", given_only: bool = False)
         for c in IDENTIFIERS
     ]
     return (
-        rows.select(F.col(key).alias("fila"), F.explode(F.array(*entries)).alias("e"))
-        .select("fila", "e.campo", "e.clave")
+        rows.select(
+            F.col(key).alias("fila"),
+            *[v.alias(n) for n, v in carry.items()],
+            F.explode(F.array(*entries)).alias("e"),
+        )
+        .select("fila", "e.campo", "e.clave", *carry)
         .where(F.col("clave").isNotNull())
     )
 
@@ -60,18 +70,28 @@ def unique_violations(rows: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
-def load_conflicts(rows: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
+def held(keys: DataFrame, stored: DataFrame) -> DataFrame:
+    """Long rows of ``stored`` whose value is one of ``keys`` (distinct values).
+
+    The values asked for come first: what is aggregated afterwards grows with them and not with
+    the table.
+    """
+    return identifier_rows(stored).join(keys.select(*KEY), list(KEY), "left_semi")
+
+
+def load_conflicts(
+    rows: DataFrame, stored: DataFrame, key: str = "id", carry: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Unique violations within ``rows`` and against the rows already ``stored``.
 
     A rejected row still holds its values against later rows; the result is the same
     whatever the order of evaluation. ``en_destino`` tells the two cases apart.
     """
-    keys = identifier_rows(rows, key)
-    taken = identifier_rows(stored).select(*KEY).distinct().withColumn("_taken", F.lit(True))
+    keys = identifier_rows(rows, key, carry=carry)
+    owners = key_owners(keys).drop("ultima")
+    taken = held(owners, stored).select(*KEY).distinct().withColumn("_taken", F.lit(True))
     owners = (
-        key_owners(keys)
-        .drop("ultima")
-        .join(taken, list(KEY), "left_outer")
+        owners.join(taken, list(KEY), "left_outer")
         .withColumn("en_destino", F.col("_taken").isNotNull())
         .drop("_taken")
         .where("n > 1 OR en_destino")
@@ -79,15 +99,41 @@ def load_conflicts(rows: DataFrame, stored: DataFrame, key: str = "id") -> DataF
     return (
         lookup_join(keys, owners, KEY, "n")
         .where(F.col("en_destino") | (F.col("fila") > F.col("primera")))
-        .select(F.col("fila").alias(key), *KEY, "en_destino")
+        .select(F.col("fila").alias(key), *KEY, *(carry or {}), "en_destino")
     )
 
 
-def _matches(candidates: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def request_conflicts(asked: DataFrame, stored: DataFrame, order: str) -> DataFrame:
+    """``id, order, campo`` of the identifiers that requests to change a row cannot have.
+
+    ``asked`` has ``id`` (of the row to change), ``order`` (unique) and the identifiers, null
+    where not asked. Every value counts, empty ones too. A value stored for another row is
+    taken. A free value goes to the row that asked first, even if that request fails for
+    another reason.
+    """
+    keys = identifier_rows(asked, order, carry={"_id": F.col("id")})
+    first = keys.groupBy(*KEY).agg(
+        F.count("*").alias("n"), F.min(F.struct("fila", "_id")).alias("primero")
+    )
+    owners = key_owners(held(first, stored)).drop("n")
+    settled = first.join(owners, list(KEY), "left_outer")
+    mine = F.when(
+        F.col("primera").isNull(), F.col("primero").getField("_id") == F.col("_id")
+    ).otherwise((F.col("primera") == F.col("_id")) & (F.col("ultima") == F.col("_id")))
+    return (
+        lookup_join(keys, settled, KEY, "n")
+        .where(~mine)
+        .select(F.col("_id").alias("id"), F.col("fila").alias(order), "campo")
+    )
+
+
+def _matches(
+    candidates: DataFrame, stored: DataFrame, key: str, carry: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Candidate identifiers found among the stored ones, with the lowest and highest owner."""
-    wanted = identifier_rows(candidates, key, given_only=True)
+    wanted = identifier_rows(candidates, key, given_only=True, carry=carry)
     weights = wanted.groupBy(*KEY).agg(F.count("*").alias("n"))
-    found = weights.join(key_owners(identifier_rows(stored)).drop("n"), list(KEY))
+    found = weights.join(key_owners(held(weights, stored)).drop("n"), list(KEY))
     return lookup_join(wanted, found, KEY, "n")
 
 
@@ -110,14 +156,10 @@ def identifiers_available(
     excludes nothing. A value is taken by another row exactly when its lowest or highest
     owner is not that row.
     """
-    hits = _matches(candidates, stored, key)
-    if exclude is None:
-        own = candidates.select(key)
-    else:
-        own = candidates.select(key, F.col(exclude).alias("_own"))
-        hits = hits.join(
-            own.select(F.col(key).alias("fila"), "_own"), "fila"
-        ).where(
+    carry = None if exclude is None else {"_own": F.col(exclude)}
+    hits = _matches(candidates, stored, key, carry)
+    if exclude is not None:
+        hits = hits.where(
             ~has_number(F.col("_own"))
             | (F.col("primera") != F.col("_own"))
             | (F.col("ultima") != F.col("_own"))
@@ -126,7 +168,7 @@ def identifiers_available(
         *[F.bool_or(F.col("campo") == c).alias(f"_{c}") for c in IDENTIFIERS]
     )
     return (
-        own.drop("_own")
+        candidates.select(key)
         .join(taken, key, "left_outer")
         .select(
             key,

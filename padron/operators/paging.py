@@ -6,15 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from padron.operators.skew import block_of, block_offsets
+from padron.operators.skew import BLOCK_BITS, block_of, block_offsets
 
 DEFAULT_PAGE_SIZE = 10
 MAX_PAGE_SIZE = 100
 
-# Up to this many rows Spark's own top-k is the right plan. Beyond, it would bring
-# ``offset + limit`` rows together in one place, so deep slices go through block counts.
-TOP_K_ROWS = 10_000
+# Bytes of an integer type.
+WIDTHS = {"byte": 1, "short": 2, "integer": 4, "long": 8}
 
 
 @dataclass(frozen=True)
@@ -33,29 +33,43 @@ class PageRequest:
         return (self.page - 1) * self.page_size
 
 
-def slice_rows(rows: DataFrame, offset: int, limit: int, key: str = "id") -> DataFrame:
-    """Rows ``offset .. offset + limit - 1`` in the order of ``key``, at any depth.
+def slice_rows(
+    rows: DataFrame, offset: int, limit: int, key: str = "id", position: str | None = None
+) -> DataFrame:
+    """Rows ``offset .. offset + limit - 1`` in the order of ``key``, at any depth, sorted.
 
-    ``key`` is a unique integer column.
+    ``key`` is a unique integer column; rows without a key are in no slice. Counts per block of
+    keys tell which range of keys holds the slice. That range reaches the scan as a filter, and
+    only its blocks are put in order. ``position`` names a column for the place of each row.
     """
-    if offset + limit <= TOP_K_ROWS:
-        return rows.orderBy(key).offset(offset).limit(limit)
-    wanted = block_offsets(rows, key).where(
-        (F.col("_before") < offset + limit) & (F.col("_before") + F.col("_rows") > offset)
-    )
-    if limit <= TOP_K_ROWS:
-        # Every block holds a row, so at most ``limit`` + 1 of them touch the slice.
-        wanted = F.broadcast(wanted)
-    position = F.col("_before") + F.row_number().over(
-        Window.partitionBy("_b1").orderBy(key)
-    )
-    return (
-        rows.withColumn("_b1", block_of(key))
-        .join(wanted, "_b1")
-        .withColumn("_position", position)
-        .where((F.col("_position") > offset) & (F.col("_position") <= offset + limit))
-        .drop("_b1", "_rows", "_before", "_position")
+    if not isinstance(rows.schema[key].dataType, IntegralType):
+        raise ValueError(f"{key} must be an integer column")
+    keyed = rows.where(F.col(key).isNotNull())
+    blocks = block_offsets(keyed.select(key), key)
+    starts = F.col("_before") < offset + limit
+    ends = F.col("_before") + F.col("_rows") > offset
+    wanted = blocks.where(starts & ends)
+    # In the key's own type, and each bound by a filter of its own: Spark would merge two
+    # subqueries that differ in their result only, and the scan cannot look into such a pair.
+    kind = rows.schema[key].dataType
+    last = F.lit((1 << (8 * WIDTHS[kind.typeName()] - 1)) - 1)
+    low = F.shiftleft(F.min("_b1"), BLOCK_BITS)
+    high = F.least(F.shiftleft(F.max("_b1"), BLOCK_BITS) + ((1 << BLOCK_BITS) - 1), last)
+    edge = lambda of, e: of.agg(e.cast(kind).alias("edge")).scalar()
+    number = F.row_number().over(Window.partitionBy("_b1").orderBy(key))
+    found = (
+        keyed.where(
+            (F.col(key) >= edge(blocks.where(ends), low))
+            & (F.col(key) <= edge(blocks.where(starts), high))
+        )
+        .withColumn("_b1", block_of(key))
+        .join(wanted.select("_b1", "_before"), "_b1")
+        .withColumn("_position", F.col("_before") + number - 1)
+        .where((F.col("_position") >= offset) & (F.col("_position") < offset + limit))
+        .orderBy(key)
     )
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    return found.select(*kept, *([F.col("_position").alias(position)] if position else []))
 
 
 def slice_after(rows: DataFrame, last_id: int, limit: int, key: str = "id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions.derived import has_13_characters
@@ -81,8 +81,8 @@ def referential_integrity(legacy: DataFrame, known: DataFrame | None = None) ->
     )
 
 
-def check_violations(target: DataFrame) -> DataFrame:
-    """Rows that break a column constraint, one row per broken constraint."""
+def check_violations(target: DataFrame, *carry: Column) -> DataFrame:
+    """Rows that break a column constraint, one row per broken constraint, with ``carry``."""
     c = F.col
     # A check holds when its value is null; NOT NULL is a constraint of its own.
     rules = {
@@ -95,4 +95,4 @@ def check_violations(target: DataFrame) -> DataFrame:
     broken = F.concat(
         *[F.when(bad, F.array(F.lit(name))).otherwise(none) for name, bad in rules.items()]
     )
-    return target.select("id", F.explode(broken).alias("restriccion"))
+    return target.select("id", *carry, F.explode(broken).alias("restriccion"))

@@ -15,13 +15,9 @@ from pyspark.sql import functions as F
 from padron import model
 from padron.functions import contract
 from padron.functions.asof import AsOf
-from padron.operators.identifiers import (
-    identifiers_available,
-    load_conflicts,
-    unique_violations,
-)
+from padron.operators.identifiers import load_conflicts, request_conflicts
 from padron.operators.skew import dense_index
-from padron.sources.tables import settle
+from padron.sources.tables import Workspace
 
 ALREADY_EXISTS = "Ya existe un paciente con alguno de estos identificadores"
 NOT_FOUND = "Paciente no encontrado"
@@ -44,17 +40,18 @@ def _record(key: str, campo: Column, mensaje: Column) -> list[Column]:
 
 
 def create_rows(
-    candidates: DataFrame, stored: DataFrame, as_of: AsOf, key: str = "fila"
+    candidates: DataFrame, stored: DataFrame, as_of: AsOf, work: Workspace, key: str = "fila"
 ) -> Outcome:
     """Rows to append for the valid candidates whose identifiers are free.
 
     ``key`` is a unique integer column giving the order of the requests: of two candidates
     with the same identifier the earlier one wins.
     """
-    checked = settle(contract.record_errors(candidates, as_of), "create")
+    as_of = as_of.pinned(candidates.sparkSession)
+    checked = work.settle(contract.record_errors(candidates, as_of), "create")
     invalid = contract.explode_errors(checked, key)
     valid = checked.where(F.size("errores") == 0).drop("errores")
-    taken = settle(load_conflicts(valid, stored, key).select(key).distinct(), "taken")
+    taken = work.settle(load_conflicts(valid, stored, key).select(key).distinct(), "taken")
     free = valid.join(taken, key, "left_anti").withColumns(
         {
             "nombre": contract.clean_nombre(F.col("nombre")),
@@ -97,52 +94,56 @@ def fold_updates(updates: DataFrame, order: str) -> DataFrame:
     )
 
 
-def update_rows(stored: DataFrame, updates: DataFrame, as_of: AsOf) -> Outcome:
-    """The table after partial updates, at most one per id (see :func:`fold_updates`).
+def update_rows(
+    stored: DataFrame, updates: DataFrame, as_of: AsOf, work: Workspace, order: str = "orden"
+) -> Outcome:
+    """The table after partial updates, any number per id.
 
-    ``campos`` names the fields an update gives. A field given as null overwrites, one not
-    given stays; documents are replaced whole.
+    Each request is checked for itself and stands or falls alone; ``order`` is its unique number
+    and names it in ``rejected``. Of those accepted each field takes its last value. ``campos``
+    names the fields a request gives: a field given as null overwrites, one not given stays;
+    documents are replaced whole. Identifiers: see :func:`request_conflicts`.
     """
+    as_of = as_of.pinned(stored.sparkSession)
     mask = F.col("campos")
-    known = updates.join(stored.select("id"), "id", "left_semi")
-    missing = updates.join(stored.select("id"), "id", "left_anti").select(
-        *_record("id", F.lit("id"), F.lit(NOT_FOUND))
+    record = lambda campo, mensaje: [F.col("id"), F.col(order), campo.alias("campo"), mensaje.alias("mensaje")]
+    asked_ids = updates.select("id").distinct()
+    known_ids = stored.select("id").join(asked_ids, "id", "left_semi")
+    checked = work.settle(
+        updates.join(known_ids.withColumn("_known", F.lit(True)), "id", "left_outer").withColumn(
+            "errores", contract.update_errors(mask, as_of)
+        ),
+        "update",
     )
-    checked = settle(known.withColumn("errores", contract.update_errors(mask, as_of)), "update")
-    invalid = contract.explode_errors(checked, "id")
-    valid = checked.where(F.size("errores") == 0).drop("errores")
+    missing = checked.where(F.col("_known").isNull()).select(
+        *record(F.lit("id"), F.lit(NOT_FOUND))
+    )
+    known = checked.where(F.col("_known").isNotNull()).drop("_known")
+    invalid = contract.explode_errors(known, "id", order)
+    valid = known.where(F.size("errores") == 0).drop("errores")
 
     # Only identifiers that are given can collide.
-    asked = valid.select(
+    asked = valid.where(
+        F.arrays_overlap(mask, F.array(*[F.lit(c) for c in model.IDENTIFIERS]))
+    ).select(
         "id",
-        *[
-            F.when(F.array_contains(mask, c), F.col(c)).alias(c)
-            for c in model.IDENTIFIERS
-        ],
-    ).where(F.arrays_overlap(mask, F.array(*[F.lit(c) for c in model.IDENTIFIERS])))
-    free = identifiers_available(asked.withColumn("_id", F.col("id")), stored, "id", "_id")
-    flags = F.array(
-        *[
-            F.struct(F.lit(c).alias("campo"), F.col(f"{c}_disponible").alias("libre"))
-            for c in model.IDENTIFIERS
-        ]
+        order,
+        *[F.when(F.array_contains(mask, c), F.col(c)).alias(c) for c in model.IDENTIFIERS],
     )
-    clashes = settle(
-        free.select("id", F.explode(flags).alias("f"))
-        .where(~F.col("f.libre"))
-        .select("id", F.col("f.campo"))
-        .union(unique_violations(asked).select("id", "campo"))
-        .distinct()
-        .select("id", "campo", F.lit("Identificador no disponible").alias("mensaje")),
+    clashes = work.settle(
+        request_conflicts(asked, stored, order).select(
+            *record(F.col("campo"), F.lit("Identificador no disponible"))
+        ),
         "clashes",
     )
-    accepted = valid.join(clashes.select("id").distinct(), "id", "left_anti").withColumns(
+    accepted = valid.join(clashes.select(order).distinct(), order, "left_anti")
+    folded = fold_updates(accepted, order).withColumns(
         {
             "nombre": contract.clean_nombre(F.col("nombre")),
             "contacto": contract.clean_contacto(F.col("contacto")),
         }
     )
-    changes = accepted.select(
+    changes = folded.select(
         "id", mask.alias("_campos"), *[F.col(c).alias(f"_new_{c}") for c in UPDATABLE]
     )
     touched = F.col("_campos").isNotNull()

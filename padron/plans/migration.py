@@ -17,7 +17,7 @@ from padron.operators.identifiers import load_conflicts
 from padron.operators.paging import row_count, slice_rows
 from padron.operators.quality import check_violations, source_check
 from padron.operators.skew import dense_index
-from padron.sources.tables import append_target, settle
+from padron.sources.tables import Workspace, append_target, scan_target
 
 REPORT_ROWS = 10
 BATCH_SIZE = 100
@@ -143,34 +143,45 @@ def transform_errors(coerced: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def load_errors(rows: DataFrame, target: DataFrame, as_of: AsOf) -> DataFrame:
-    """Error records of the transformed rows the target would refuse, one per row."""
-    conflicts = load_conflicts(rows, target).select(
+    """Error records of the transformed rows the target would refuse, one per row.
+
+    What a record says of its row travels with the identifiers, so the rows are not met again.
+    """
+    source = {
+        "_origen": F.col("metadatos").getField("id_origen"),
+        "_expediente": F.col("expediente"),
+    }
+    conflicts = load_conflicts(rows, target, carry=source).select(
         "id",
+        *source,
         F.concat(
             "campo", F.when(F.col("en_destino"), " ya existe").otherwise(" duplicado")
         ).alias("motivo"),
     )
-    broken = check_violations(rows).select("id", F.col("restriccion").alias("motivo"))
-    reasons = conflicts.unionByName(broken).groupBy("id").agg(
-        F.array_join(F.sort_array(F.collect_set("motivo")), "; ").alias("error")
-    )
-    source = rows.select("id", F.col("metadatos").getField("id_origen").alias("id_mysql"),
-                         "expediente")
-    return source.join(reasons, "id").select(
-        "id_mysql",
-        "expediente",
-        "error",
-        F.lit("COMMIT_ERROR").alias("tipo"),
-        as_of.iso.alias("timestamp"),
+    broken = check_violations(rows, *[v.alias(n) for n, v in source.items()])
+    reasons = conflicts.unionByName(broken.withColumnRenamed("restriccion", "motivo"))
+    return (
+        reasons.groupBy("id", *source)
+        .agg(F.array_join(F.sort_array(F.collect_set("motivo")), "; ").alias("error"))
+        .select(
+            F.col("_origen").alias("id_mysql"),
+            F.col("_expediente").alias("expediente"),
+            "error",
+            F.lit("COMMIT_ERROR").alias("tipo"),
+            as_of.iso.alias("timestamp"),
+        )
     )
 
 
 def pending(legacy: DataFrame, target: DataFrame) -> DataFrame:
-    """Legacy rows not loaded yet; running a migration again loads nothing twice."""
+    """Legacy rows not loaded yet; running a migration again loads nothing twice.
+
+    The id of a loosely typed source is read as a number; a row without a usable one is pending.
+    """
     done = target.where(
         F.col("metadatos").getField("sistema_origen") == model.LEGACY_SYSTEM
-    ).select(F.col("metadatos").getField("id_origen").alias("id"))
-    return legacy.join(done, "id", "left_anti")
+    ).select(F.col("metadatos").getField("id_origen").alias("_done"))
+    return legacy.join(done, F.col("id").try_cast("int") == F.col("_done"), "left_anti")
 
 
 def source_gate(legacy: DataFrame, as_of: AsOf) -> DataFrame:
@@ -191,8 +202,11 @@ def gate_report(legacy: DataFrame, as_of: AsOf) -> DataFrame:
 
 @dataclass(frozen=True)
 class Migration:
-    """The frames of one run: what was read, what fails, what gets loaded. All are lazy but
-    ``rejects``, which every count and the load need and which is settled when planned."""
+    """The frames of one run: what was read, what fails, what gets loaded.
+
+    ``source`` (typed rows, with ``_error``) and ``rejects`` are written tables, so the source
+    system is read once; the others are lazy and follow from these two.
+    """
 
     source: DataFrame
     loadable: DataFrame
@@ -208,24 +222,27 @@ class Migration:
 
 
 def plan(
-    legacy: DataFrame, target: DataFrame, as_of: AsOf, zone: str = model.TIME_ZONE
+    legacy: DataFrame,
+    target: DataFrame,
+    as_of: AsOf,
+    work: Workspace,
+    zone: str = model.TIME_ZONE,
 ) -> Migration:
     """Migration of every row of ``legacy`` into ``target``.
 
-    One pass over the identifiers alone finds the rows the target would refuse; its result,
-    small next to the table, is written down. Every output is then one job.
+    The source is read once: its rows are typed and written to ``work``. The identifiers alone
+    then find the rows the target would refuse, which are written as well.
     """
-    coerced = coerce(legacy)
-    # For a source that has the legacy types already, Spark folds the error column away.
-    good = coerced.where(F.col("_error").isNull()).drop("_error")
-    rejects = settle(load_errors(transform(good, as_of, zone), target, as_of), "rejects")
-    # Rejects leave before the transform, by the same key as rows loaded earlier do: where
-    # both sets are too large to broadcast, one shuffle of the flat rows serves both.
+    as_of = as_of.pinned(legacy.sparkSession)
+    typed = work.settle(coerce(legacy), "source")
+    good = typed.where(F.col("_error").isNull()).drop("_error")
+    rejects = work.settle(load_errors(transform(good, as_of, zone), target, as_of), "rejects")
+    # Rejects leave before the transform, while the rows are flat.
     kept = good.join(rejects.select(F.col("id_mysql").alias("id")), "id", "left_anti")
     return Migration(
-        source=legacy,
+        source=typed,
         loadable=transform(kept, as_of, zone),
-        failures=transform_errors(coerced, as_of),
+        failures=transform_errors(typed, as_of),
         warnings=warnings(good, as_of),
         rejects=rejects,
     )
@@ -237,10 +254,20 @@ def plan_batch(
     offset: int,
     batch_size: int,
     as_of: AsOf,
+    work: Workspace,
     zone: str = model.TIME_ZONE,
 ) -> Migration:
-    """Migration of one slice of the legacy table, in the order of its id."""
-    return plan(slice_rows(legacy, offset, batch_size), target, as_of, zone)
+    """Migration of one slice of the legacy table, in the order of its id.
+
+    The slice is taken by the id as a number; rows without a usable id are in no slice.
+    """
+    key = F.col("id").try_cast("int")
+    numbered = legacy if legacy.schema["id"].dataType == key_type() else legacy.withColumn("id", key)
+    return plan(slice_rows(numbered, offset, batch_size), target, as_of, work, zone)
+
+
+def key_type():
+    return model.LEGACY_SCHEMA["id"].dataType
 
 
 def batch_result(run: Migration, offset: int, batch_size: int) -> DataFrame:
@@ -249,9 +276,10 @@ def batch_result(run: Migration, offset: int, batch_size: int) -> DataFrame:
     return (
         run.source.agg(F.count("*").alias("procesados"))
         .withColumn("errores", row_count(run.errors).scalar())
+        .withColumn("exitosos", row_count(run.loadable).scalar())
         .select(
             "procesados",
-            (F.col("procesados") - F.col("errores")).alias("exitosos"),
+            "exitosos",
             "errores",
             F.when(done, F.lit(offset + batch_size)).alias("offset_siguiente"),
             F.when(~done, F.lit("No hay más registros")).alias("mensaje"),
@@ -276,6 +304,15 @@ def assign_ids(rows: DataFrame, target: DataFrame, dense: bool = False) -> DataF
     return based.select(*rows.columns)
 
 
+def loaded(run: Migration, target: DataFrame) -> DataFrame:
+    """Rows of ``target`` that stem from the rows of this run."""
+    meta = F.col("metadatos")
+    origin = target.where(meta.getField("sistema_origen") == model.LEGACY_SYSTEM).select(
+        meta.getField("id_origen").alias("id")
+    )
+    return origin.join(run.source.select("id"), "id", "left_semi")
+
+
 def run(
     legacy: DataFrame,
     target: DataFrame,
@@ -284,40 +321,52 @@ def run(
     as_of: AsOf,
     zone: str = model.TIME_ZONE,
 ) -> DataFrame:
-    """Migrate what is pending, append it to ``target_path`` and keep errors, warnings and
-    counters as tables below ``log_path``. Returns the counters."""
+    """Migrate what is pending: append it to ``target_path``, then keep errors, warnings, flags
+    and counters as tables below ``log_path``. Returns the counters.
+
+    The counters are taken from the target after the append. A run that failed can be repeated
+    with the same paths: what it loaded is not pending any more, and its logs are replaced.
+    """
     spark = legacy.sparkSession
-    todo = plan(pending(legacy, target), target, as_of, zone)
-    # All that depends on the target is written before the append changes what it shows.
-    logs = {
-        "failures": todo.failures,
-        "warnings": todo.warnings,
-        "rejects": todo.rejects,
-        "stats": migration_stats(todo),
-    }
-    for name, frame in logs.items():
-        frame.write.mode("errorifexists").parquet(f"{log_path}/{name}")
-    append_target(assign_ids(todo.loadable, target), target_path)
-    return spark.read.schema(logs["stats"].schema).parquet(f"{log_path}/stats")
+    as_of = as_of.pinned(spark)
+    with Workspace(spark) as work:
+        todo = plan(pending(legacy, target), target, as_of, work, zone)
+        append_target(assign_ids(todo.loadable, target), target_path)
+        after = scan_target(spark, target_path)
+        typed = todo.source.drop("_error")
+        logs = {
+            "failures": todo.failures,
+            "warnings": todo.warnings,
+            "rejects": todo.rejects,
+            "flags": source_gate(typed, as_of).where(~F.col("es_valido")).select("id", "errores"),
+            "origin": gate_report(typed, as_of),
+            "stats": migration_stats(todo, loaded(todo, after)),
+        }
+        for name, frame in logs.items():
+            frame.write.mode("overwrite").parquet(f"{log_path}/{name}")
+        schema = logs["stats"].schema
+    return spark.read.schema(schema).parquet(f"{log_path}/stats")
 
 
 # --------------------------------------------------------------------------- summaries
 
 
-def migration_stats(run: Migration) -> DataFrame:
-    """Six counters. Every error record is one row that was not loaded."""
+def migration_stats(run: Migration, done: DataFrame | None = None) -> DataFrame:
+    """Six counters. Every error record is one row that was not loaded; ``done`` holds the rows
+    found loaded, or, before a load, those that would be."""
     return (
         run.source.agg(
             F.count("*").alias("total_procesados"),
-            F.count_if(N.is_expediente_invalid(F.col("expediente").try_cast("int"))).alias(
+            F.count_if(N.is_expediente_invalid(F.col("expediente"))).alias(
                 "expedientes_duplicados"
             ),
         )
+        .withColumn("total_exitosos", row_count(run.loadable if done is None else done).scalar())
         .withColumn("total_errores", row_count(run.errors).scalar())
         .withColumn("total_advertencias", row_count(run.warnings).scalar())
         .select(
             "total_procesados",
-            (F.col("total_procesados") - F.col("total_errores")).alias("total_exitosos"),
+            "total_exitosos",
             "total_errores",
             "total_advertencias",
             "expedientes_duplicados",
@@ -327,12 +376,20 @@ def migration_stats(run: Migration) -> DataFrame:
 
 
 def batch_summary(run: Migration, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Processed, loaded and failed rows of each batch of consecutive ids."""
+    """Processed, loaded and failed rows of each batch of consecutive ids.
+
+    Rows without a usable id are batch 0: they failed, and have no place in the order.
+    """
     failed = run.errors.select(F.col("id_mysql").alias("id")).distinct()
+    ids = run.source.select("id")
+    numbered = dense_index(ids.where("id IS NOT NULL"), "id", "_index").select(
+        "id", F.expr(f"_index div {batch_size} + 1").alias("lote")
+    )
+    lost = ids.where("id IS NULL").select("id", F.lit(0).cast("long").alias("lote"))
     return (
-        dense_index(run.source.select("id"), "id", "_index")
-        .join(failed.withColumn("_failed", F.lit(True)), "id", "left_outer")
-        .groupBy(F.expr(f"_index div {batch_size} + 1").alias("lote"))
+        numbered.join(failed.withColumn("_failed", F.lit(True)), "id", "left_outer")
+        .unionByName(lost.withColumn("_failed", F.lit(True)))
+        .groupBy("lote")
         .agg(
             F.count("*").alias("procesados"),
             F.count_if(F.col("_failed").isNull()).alias("exitosos"),

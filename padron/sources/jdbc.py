@@ -8,8 +8,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from padron.functions.documents import documents_to_json
+from padron import model
+from padron.functions.documents import documents_from_json, documents_to_json
 from padron.sources.tables import conform_legacy
 
 DEFAULT_BATCH_SIZE = 100
@@ -61,6 +63,33 @@ def scan_legacy(
     return conform_legacy(spark.read.format("jdbc").options(**options).load())
 
 
+def target_options(
+    db: Database, lower: int, upper: int, partitions: int, fetchsize: int
+) -> dict[str, str]:
+    """Reads of the target in parallel, its documents as text, whatever the database holds them as."""
+    columns = ", ".join(
+        f"CAST({c} AS TEXT) AS {c}" if c in model.DOCUMENTS else c for c in model.TARGET_COLUMNS
+    )
+    options = scan_options(db, lower, upper, partitions, fetchsize)
+    return {**options, "dbtable": f"(SELECT {columns} FROM {db.table}) AS t"}
+
+
+def typed_target(rows: DataFrame) -> DataFrame:
+    """Rows as the database returns them, in the target's types."""
+    return documents_from_json(rows).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.TARGET_SCHEMA.fields]
+    )
+
+
+def scan_target(
+    spark: SparkSession, db: Database, partitions: int = 16, fetchsize: int = 10_000
+) -> DataFrame:
+    """Target table with typed documents: what a load is checked against and resumed from."""
+    lo, hi = spark.read.format("jdbc").options(**bounds_options(db)).load().first()
+    options = target_options(db, lo or 0, hi or 1, partitions, fetchsize)
+    return typed_target(spark.read.format("jdbc").options(**options).load())
+
+
 def append_options(
     db: Database, batch_size: int = DEFAULT_BATCH_SIZE, partitions: int = 8
 ) -> dict[str, str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,28 +13,17 @@ from padron.operators.paging import row_count
 
 
 def conform_legacy(rows: DataFrame) -> DataFrame:
-    """Rows with exactly the legacy columns, in order and typed.
+    """Rows with exactly the legacy columns, in order, in the types the source gives them.
 
     The source spells one column ``fechaDefuncion``; a time of death arrives as a timestamp
-    from some drivers and is kept as ``HH:mm:ss`` text.
+    from some drivers and is kept as ``HH:mm:ss`` text. Values that do not fit are left to
+    ``migration.coerce``: one of them must not stop a run.
     """
     if "fechaDefuncion" in rows.columns:
         rows = rows.withColumnRenamed("fechaDefuncion", "fecha_defuncion")
     if dict(rows.dtypes)["hora_defuncion"].startswith("timestamp"):
         rows = rows.withColumn("hora_defuncion", F.date_format("hora_defuncion", "HH:mm:ss"))
-    return rows.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.LEGACY_SCHEMA.fields]
-    )
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than the cluster has cores, spread over all of them.
-
-    A small file is one split, however much work its rows cause. A scan with enough splits is
-    returned as it is, so large tables are never shuffled here.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.select(*model.LEGACY_SCHEMA.fieldNames())
 
 
 def scan_legacy(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -98,26 +86,39 @@ def table_info(rows: DataFrame) -> DataFrame:
     )
 
 
-def work_folder(spark: SparkSession, prefix: str) -> str:
-    """A fresh folder for written intermediate tables.
+class Workspace:
+    """Intermediate tables below the folder all executors share, gone when the work is done.
 
-    On a cluster it lies below ``spark.checkpoint.dir``, which all executors share. Without
-    that setting a local folder is only right where all executors are this machine.
+    The folder is ``spark.checkpoint.dir`` (or the context's checkpoint folder); without one
+    nothing is written. Use as a context, or call ``close`` once the outcome is written.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"{prefix}-")
 
+    def __init__(self, spark: SparkSession):
+        shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        self.spark = spark
+        self.path = f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
 
-def settle(rows: DataFrame, prefix: str) -> DataFrame:
-    """Write rows to the shared work folder and read them back.
+    def folder(self, name: str) -> str:
+        return f"{self.path}/{name}-{uuid.uuid4().hex}"
 
-    For a frame that several later steps use and that is costly to compute: the steps then
-    read only the columns they need, and nothing is computed again when an executor is lost.
-    """
-    path = work_folder(rows.sparkSession, prefix)
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    def settle(self, rows: DataFrame, name: str) -> DataFrame:
+        """Write rows and read them back.
+
+        For a frame that several later steps use and that is costly to compute: the steps then
+        read only the columns they need, and nothing is computed again when an executor is lost.
+        """
+        path = self.folder(name)
+        rows.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.close()

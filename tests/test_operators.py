@@ -1,5 +1,6 @@
 """Table operators: skewed keys, deep slices, loading twice, snapshots, plans."""
 
+import os
 import random
 from collections import Counter
 from datetime import datetime
@@ -7,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.inputs import scratch
 from checks.queries import QUERIES, empty_target
 from padron import model
 from padron.functions.asof import AsOf
@@ -120,16 +122,48 @@ def test_dense_index_over_sparse_keys(spark):
 # --------------------------------------------------------------------------- paging
 
 
-def test_slices_at_any_depth(spark, monkeypatch):
+def test_slices_at_any_depth(spark):
     rng = random.Random(8)
-    keys = sorted(rng.sample(range(500_000), 3000))
-    frame = spark.createDataFrame([(k,) for k in keys], "id int").repartition(5)
-    for top_k in (10_000, 0):
-        monkeypatch.setattr(paging, "TOP_K_ROWS", top_k)
-        for offset, limit in ((0, 5), (2990, 100), (1234, 700), (5000, 10)):
-            got = sorted(r["id"] for r in paging.slice_rows(frame, offset, limit).collect())
-            assert got == keys[offset : offset + limit]
+    keys = sorted(rng.sample(range(-500_000, 500_000), 3000))
+    frame = spark.createDataFrame([(k,) for k in [*keys, None]], "id int").repartition(5)
+    for offset, limit in ((0, 5), (2990, 100), (1234, 700), (5000, 10)):
+        got = paging.slice_rows(frame, offset, limit, position="n").collect()
+        assert [r["id"] for r in got] == keys[offset : offset + limit]
+        assert [r["n"] for r in got] == list(range(offset, min(offset + limit, 3000)))
     assert [r["id"] for r in paging.slice_after(frame, keys[9], 3).collect()] == keys[10:13]
+    with pytest.raises(ValueError):
+        paging.slice_rows(frame.select(F.col("id").cast("string")), 0, 5)
+
+
+def test_pages_read_their_range_of_ids(spark, tmp_path):
+    spark.range(0, 400_000).repartitionByRange(4, "id").write.parquet(str(tmp_path / "t"))
+    page = paging.slice_rows(spark.read.parquet(str(tmp_path / "t")), 300_000, 10)
+    assert [r["id"] for r in page.collect()] == list(range(300_000, 300_010))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    # The scan's own filters compare the id with the two bounds, which are known when it starts.
+    scan = next(x for x in plan.split("\n") if "FileScan" in x and "subquery" in x.lower())
+    assert "DataFilters: [isnotnull(id" in scan and "shiftleft" not in scan
+    assert 0 < min(m["v"] for m in scanned(page)) <= 100_000
+
+
+def scanned(frame) -> list[dict]:
+    """Rows that each scan of an executed frame gave."""
+    out = []
+
+    def visit(node):
+        if node.nodeName().startswith("Scan parquet"):
+            out.append({"v": node.metrics().get("numOutputRows").get().value()})
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return visit(node.plan())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(frame._jdf.queryExecution().executedPlan())
+    return out
 
 
 def test_page_requests():
@@ -168,6 +202,9 @@ def test_runs_add_up_and_repeat_nothing(spark, tmp_path):
     assert loaded.count() == seen[0]["total_exitosos"] and seen[1]["total_exitosos"] == 0
     assert seen[1]["total_procesados"] == seen[0]["total_errores"]
     assert loaded.select("id").distinct().count() == loaded.count()
+    flags = spark.read.parquet(str(tmp_path / "log0" / "flags"))
+    origin = spark.read.parquet(str(tmp_path / "log0" / "origin")).first()
+    assert flags.count() == origin["filas_con_problemas"] > 0
     assert identifiers.unique_violations(loaded).count() == 0
 
 
@@ -180,12 +217,59 @@ def test_bad_values_are_reported_not_lost(spark):
          else F.col(c).cast("string")).alias(c)
         for c in rows.columns
     ])
-    run = migration.plan(raw, empty_target(spark), AS_OF)
+    run = migration.plan(raw, empty_target(spark), AS_OF, scratch(spark))
     assert [tuple(r)[:3] for r in run.failures.collect()] == [(5, 100004, "dpi: x no es bigint")]
     stats = migration.migration_stats(run).first()
     assert stats["total_exitosos"] == run.loadable.count()
 
 
+def test_failed_append_can_be_repeated(spark, tmp_path, monkeypatch):
+    """Nothing is logged as loaded, no work is left behind, and the same paths work again."""
+    from checks.inputs import legacy
+
+    rows, path, log = legacy(spark, SF), str(tmp_path / "target"), str(tmp_path / "log")
+    tables.append_target(empty_target(spark), path)
+    before = set(os.listdir(shared(spark)))
+
+    def fails(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(migration, "append_target", fails)
+        with pytest.raises(OSError):
+            migration.run(rows, tables.scan_target(spark, path), path, log, AS_OF)
+    assert not os.path.exists(log) and set(os.listdir(shared(spark))) == before
+    for _ in range(2):
+        stats = migration.run(rows, tables.scan_target(spark, path), path, log, AS_OF).first()
+    assert stats["total_exitosos"] == 0
+    assert tables.scan_target(spark, path).count() == 1500 - stats["total_errores"]
+    assert set(os.listdir(shared(spark))) == before
+
+
+def test_source_is_read_once(spark, tmp_path):
+    """Later steps of a run read the written rows, not the source."""
+    from checks.inputs import legacy
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    rows = legacy(spark, SF)
+    source = rows.mapInArrow(counted, rows.schema)
+    path = str(tmp_path / "target")
+    tables.append_target(empty_target(spark), path)
+    migration.run(source, tables.scan_target(spark, path), path, str(tmp_path / "log"), AS_OF)
+    assert reads.value == 1500
+
+
+def test_the_clock_is_read_once(spark):
+    moment = AsOf().pinned(spark)
+    assert moment.moment is not None and moment.pinned(spark) is moment
+
+
 def test_dense_ids_follow_the_highest(spark):
     target = spark.createDataFrame([(40,)], "id long")
     rows = spark.createDataFrame([(9,), (2,), (7,)], "id long")
@@ -230,16 +314,59 @@ def test_null_overwrites_only_when_given(spark, tmp_path):
     stored = migrated(spark, SF).where("id IN (1, 11, 21)")
     done = maintenance.update_rows(stored, updates(spark, [
         (1, 0, ["pasaporte"], "F", None, None),
-        (11, 0, ["sexo"], "F", None, None),
-        (21, 0, ["estado"], None, None, None),
-        (99, 0, ["sexo"], "F", None, None),
-    ]), AS_OF)
+        (11, 1, ["sexo"], "F", None, None),
+        (21, 2, ["estado"], None, None, None),
+        (99, 3, ["sexo"], "F", None, None),
+    ]), AS_OF, scratch(spark))
     rows = {r["id"]: r for r in done.rows.collect()}
     assert (rows[1]["pasaporte"], rows[1]["sexo"]) == (None, "M")
     assert (rows[11]["pasaporte"], rows[11]["sexo"]) == ("GT10", "F")
     assert rows[1]["actualizado_en"] == rows[11]["actualizado_en"] == datetime(2024, 6, 30)
     assert rows[21]["estado"] == "F" and rows[21]["actualizado_en"] != datetime(2024, 6, 30)
-    assert {(r["id"], r["campo"]) for r in done.rejected.collect()} == {(21, "estado"), (99, "id")}
+    assert {(r["id"], r["orden"], r["campo"]) for r in done.rejected.collect()} == {
+        (21, 2, "estado"), (99, 3, "id")}
+
+
+def test_each_request_stands_alone(spark):
+    """A wrong request does not take a right one with it; the earlier of two wins; empty text collides."""
+    from checks.queries import migrated
+
+    stored = migrated(spark, SF).where("id IN (1, 11, 21, 1232)")
+    assert {r["pasaporte"] for r in stored.collect()} >= {"GT0", "GT10", "GT20", ""}
+    done = maintenance.update_rows(stored, updates(spark, [
+        (1, 1, ["pasaporte"], None, "NEW9", None),
+        (1, 2, ["sexo"], "Z", None, None),
+        (1, 3, ["sexo"], "F", None, None),
+        (21, 4, ["pasaporte"], None, "FREE1", None),
+        (11, 5, ["pasaporte"], None, "FREE1", None),
+        (11, 6, ["pasaporte"], None, "", None),
+        (11, 7, ["pasaporte"], None, "GT10", None),
+        (21, 8, ["pasaporte"], None, "NEW9", None),
+    ]), AS_OF, scratch(spark))
+    rows = done.rows.collect()
+    assert sorted(r["id"] for r in rows) == [1, 11, 21, 1232]
+    got = {r["id"]: (r["pasaporte"], r["sexo"]) for r in rows}
+    assert got[1] == ("NEW9", "F") and got[11][0] == "GT10" and got[21][0] == "FREE1"
+    assert {(r["orden"], r["campo"]) for r in done.rejected.collect()} == {
+        (2, "sexo"), (5, "pasaporte"), (6, "pasaporte"), (8, "pasaporte")}
+
+
+def test_json_kinds_never_mix(spark):
+    from padron.functions.documents import json_contains
+
+    doc = spark.createDataFrame([((7, True),)], "d struct<n:int,b:boolean>")
+    kind = doc.schema["d"].dataType
+    found = [{"n": 7}, {"n": "7"}, {"n": "abc"}, {"n": True}, {"b": True}, {"b": 1}, {"n": None}]
+    row = doc.select(*[json_contains(F.col("d"), kind, p).alias(f"c{i}") for i, p in enumerate(found)]).first()
+    assert list(row) == [True, False, False, False, True, False, False]
+
+
+def test_long_domain_labels_are_no_mail(spark):
+    from padron.functions import contract
+
+    mails = ["a@" + "b" * 63 + ".gt", "a@" + "b" * 64 + ".gt", "a@" + ".".join(["c" * 60] * 5) + ".gt"]
+    frame = spark.createDataFrame([(m,) for m in mails], "m string")
+    assert [r[0] for r in frame.select(F.col("m").rlike(contract._EMAIL)).collect()] == [True, False, False]
 
 
 def test_snapshots(spark, tmp_path):
@@ -266,10 +393,23 @@ def test_database_options():
     assert (options["lowerBound"], options["upperBound"]) == ("1", "72879")
     assert jdbc.bounds_options(db)["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM pacientes"
     assert jdbc.append_options(db)["batchsize"] == "100"
+    read = jdbc.target_options(db, 1, 9, 2, 10)
+    assert read["dbtable"].startswith("(SELECT id, expediente, cui, pasaporte, CAST(nombre AS TEXT) AS nombre, sexo")
+    assert read["dbtable"].endswith("FROM pacientes) AS t") and read["numPartitions"] == "2"
     with pytest.raises(ValueError):
         jdbc.scan_options(db, 1, 2, 0, 1)
 
 
+def test_rows_of_a_database_become_typed(spark):
+    from checks.queries import migrated
+    from padron.functions.documents import documents_to_json
+
+    rows = migrated(spark, SF)
+    back = jdbc.typed_target(documents_to_json(rows))
+    assert [f.dataType for f in back.schema] == [f.dataType for f in model.TARGET_SCHEMA]
+    assert back.exceptAll(rows).count() == 0
+
+
 def test_legacy_column_names(spark):
     from checks.inputs import legacy
 
@@ -283,6 +423,14 @@ def test_legacy_column_names(spark):
 # --------------------------------------------------------------------------- plans
 
 
+def local(path: str) -> str:
+    return path.removeprefix("file:")
+
+
+def shared(spark) -> str:
+    return local(spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir"))
+
+
 def plan_of(frame) -> str:
     frame.collect()
     return frame._jdf.queryExecution().toString()
@@ -313,36 +461,26 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint,metadatos:struct<sistema_origen:string>>" in scan
 
 
-def test_one_shuffle_of_the_wide_rows(spark):
-    """Rows loaded earlier and rejected rows leave by the same partitioning."""
-    from checks.inputs import legacy
-    from checks.queries import stored
-
-    target = stored(spark, SF)
-    rows = tables.conform_legacy(legacy(spark, SF))
-    run = migration.plan(migration.pending(rows, target), target, AS_OF)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = run.loadable._jdf.queryExecution().sparkPlan().toString()
-        assert plan.count("SortMergeJoin") == 2
-        physical = run.loadable._jdf.queryExecution().executedPlan().toString()
-        assert physical.count("Exchange hashpartitioning") == 3
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-
-
-def test_work_folders_are_shared(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = tables.work_folder(spark, "x"), tables.work_folder(spark, "x")
-    assert first.startswith(shared) and first != second
-
-
-def test_small_scans_are_spread(spark):
-    rows = spark.range(10, numPartitions=2)
-    assert tables.spread(rows).rdd.getNumPartitions() == 8
-    wide = spark.range(10, numPartitions=9)
-    assert tables.spread(wide) is wide
+def test_asked_values_come_first(spark):
+    """What is aggregated of the target are only the values that somebody asks for."""
+    from checks.inputs import candidates
+    from checks.queries import migrated
+
+    frame = identifiers.identifier_exists(candidates(spark, SF), migrated(spark, SF), "fila")
+    lines = frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    at = next(i for i, x in enumerate(lines) if "primera" in x and "Aggregate" in x)
+    below = next(x for x in lines[at + 1 :] if "Join" in x or "Relation" in x)
+    assert "LeftSemi" in below and depth(below) > depth(lines[at])
+
+
+def test_work_folders_are_shared_and_removed(spark):
+    with tables.Workspace(spark) as work:
+        first, second = work.folder("x"), work.folder("x")
+        assert first.startswith("file:") or first.startswith("/") and first != second
+        assert work.settle(spark.range(3), "x").count() == 3
+        assert os.path.exists(local(work.path))
+    assert not os.path.exists(local(work.path))
 
 
 def test_statistics_scan_once(spark, tmp_path):
