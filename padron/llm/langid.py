@@ -3,7 +3,8 @@
 A text's subwords are the runs of one to three letters inside words, with a mark at word
 boundaries. Each is hashed into a table of embeddings; the average goes through a linear softmax.
 Both layers are trained together by stochastic gradient descent in numpy on a bounded sample:
-``PER_LANGUAGE`` documents a language, chosen by a hash of the id. A fixed part of the sample is
+``PER_LANGUAGE`` documents a language and ``MAX_DOCUMENTS`` in all, chosen by a hash of the id,
+and ``BAG`` subwords of each, drawn from its whole text in the tasks. A fixed part of the sample is
 kept from training to fit the temperature of the softmax and the score below which a prediction
 is rejected: the lowest score at which the accepted part has an error of at most ``MAX_ERROR``.
 
@@ -22,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from padron.llm.common import map_batches, settle
+from padron.llm.common import map_batches
 
 UNKNOWN = "und"
 TABLE_BITS = 16
@@ -33,7 +34,9 @@ DIMENSIONS = 16
 ORDERS = (1, 2, 3)
 
 PER_LANGUAGE = 1500
+MAX_DOCUMENTS = 8000
 MAX_LANGUAGES = 400
+BAG = 2048
 #: Subwords drawn from a document for one training step.
 DRAWN = 256
 EPOCHS = 6
@@ -120,13 +123,21 @@ class Model:
         return self.languages[best], float(scores[best]), bool(scores[best] >= self.least_score)
 
 
-def train(texts: list[str], labels: list[str], seed: int = 0) -> Model:
+def drawn_bag(text: str) -> tuple[int, np.ndarray]:
+    """Number of subwords of a text and up to BAG of them, drawn without replacement."""
+    found = np.concatenate([np.zeros(0, dtype=np.int64), *[subwords(letters_of(text[i : i + CHUNK])) for i in range(0, len(text), CHUNK)]])
+    if len(found) > BAG:
+        random = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+        return len(found), random.choice(found, BAG, replace=False).astype(np.uint16)
+    return len(found), found.astype(np.uint16)
+
+
+def train(sizes: list[int], bags: list[np.ndarray], labels: list[str], seed: int = 0) -> Model:
     """Embeddings and softmax by SGD with decreasing rate; then temperature and rejection."""
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((0, 0)), np.zeros(0), 1.0, 1.0)
     random = np.random.default_rng(seed)
-    bags = [subwords(letters_of(t)) for t in texts]
     y = np.array([languages.index(x) for x in labels])
     usable = np.array([i for i, b in enumerate(bags) if len(b)], dtype=np.int64)
     held = usable[usable % HELD_BACK == 0] if len(usable) >= 10 * HELD_BACK else usable
@@ -153,7 +164,7 @@ def train(texts: list[str], labels: list[str], seed: int = 0) -> Model:
     table = np.ascontiguousarray((embeddings @ weights).T.astype(np.float32))
     model = Model(languages, table, bias.astype(np.float64), 1.0, 0.0)
     if len(held):
-        logits = np.stack([table[:, bags[i]].sum(axis=1) / (len(bags[i]) + FEW) + bias for i in held]).astype(np.float64)
+        logits = np.stack([table[:, bags[i]].mean(axis=1) * sizes[i] / (sizes[i] + FEW) + bias for i in held]).astype(np.float64)
         calibrate(model, logits, y[held])
     return model
 
@@ -179,18 +190,37 @@ def crc_part(column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(4))
 
 
-def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """At most about ``per_language`` labelled rows of each language, by a hash of the id."""
+def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """About ``per_language`` labelled rows of each language, fewer where ``documents`` in all
+    would be exceeded, by a hash of the id."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    quota = F.least(F.lit(per_language), F.lit(documents) / F.count("*").over(Window.partitionBy(F.lit(0))))
     place = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1_000_000)) + 0.5) / 1_000_000
-    return labelled.join(F.broadcast(counts), "lang").where(place * F.col("n") < per_language).drop("n")
+    return labelled.join(F.broadcast(counts.withColumn("quota", quota)), "lang").where(place * F.col("n") < F.col("quota")).drop("n", "quota")
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, documents: int = MAX_DOCUMENTS) -> Model:
+    """A model of ``docs``; the driver gets a bounded number of subwords and no text."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+            found = [drawn_bag(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([zlib.crc32(f"{i} {zlib.crc32(t.encode('utf-8', 'surrogatepass'))}".encode()) for i, t in zip(ids, texts, strict=True)], pa.int64()),
+                    rows.column(2),
+                    pa.array([n for n, _ in found], pa.int64()),
+                    pa.array([b.tobytes() for _, b in found], pa.binary()),
+                ],
+                names=["place", "lang", "size", "bag"],
+            )
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    rows = settle(training_rows(docs, per_language), "labelled").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id or 0, r.text))
-    return train([r.text for r in rows], [r.lang for r in rows])
+    sample = training_rows(docs, per_language, documents).select("doc_id", "text", "lang")
+    rows = map_batches(sample, run, "place long, lang string, size long, bag binary").collect()
+    rows.sort(key=lambda r: (r.place, r.lang, r.size, bytes(r.bag)))
+    return train([r.size for r in rows], [np.frombuffer(r.bag, dtype=np.uint16) for r in rows], [r.lang for r in rows])
 
 
 def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
