@@ -35,8 +35,8 @@ MIN_GROUP = 50
 MEASURES = {
     "mean_word": ("word_chars", "n_words", "both", 1000),
     "symbols": ("n_symbols", "n_words", "high", 50),
-    "duplicate_lines": ("n_dup_lines", "n_lines", "high", 100),
-    "repeats": ("n_repeat_words", "n_words", "high", 100),
+    "duplicate_lines": ("n_dup_lines", "n_lines", "high", 500),
+    "repeats": ("n_repeat_words", "n_words", "high", 300),
 }
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
