@@ -198,19 +198,43 @@ def removed(rows, length=50):
         yield d, len(b), int(gone.sum()), spans, sha(bytes(x for x, g in zip(b, gone, strict=False) if not g))
 
 
-@pytest.mark.parametrize("chunk", [suffix.CHUNK, 300])
-def test_substrings(spark, table, monkeypatch, chunk):
-    monkeypatch.setattr(suffix, "CHUNK", chunk)
+def test_substrings(spark, table, monkeypatch):
+    monkeypatch.setattr(suffix, "PART_BYTES", 50_000)
     folder, rows = table
-    if chunk == 300:
-        rows = [r for r in rows if len(r[1] or "") < 4000]
-        frame = spark.createDataFrame([(d, t, None, None, None) for d, t, *_ in rows], fixtures.SCHEMA)
-        folder = fixtures.write(frame.repartition(3), folder + "-short")
     assert Counter(map(tuple, QUERIES["op4_substrings"](spark, folder).collect())) == Counter(removed(rows))
 
 
-def test_substrings_at_all_offsets(spark, tmp_path):
+def test_every_window_asks_once_and_equal_windows_alike(monkeypatch):
+    """Also where a text is longer than a chunk."""
+    random = np.random.default_rng(9)
+    texts = [bytes(random.integers(97, 100, n).astype(np.uint8)) for n in (0, 49, 50, 51, 700, 2000, 120)]
+    texts.append(texts[4])
+    kinds = set()
+    for size in (1 << 19, 300):
+        monkeypatch.setattr(suffix, "CHUNK", size)
+        windows, asked = Counter(), {}
+        for data, place, owner, start in suffix.chunks(texts):
+            part, at, first, last, seed, _ = suffix.asking_positions(data, place)
+            for p, a, f, z, s in zip(part, at, first, last, seed, strict=True):
+                shift = start[p] - place[p]
+                windows.update((int(owner[p]), int(x + shift)) for x in range(f, z + 1))
+                for x in range(f, z + 1):
+                    asked.setdefault(texts[owner[p]][x + shift : x + shift + 50], set()).add((int(a - x), int(s)))
+        assert windows == Counter((i, x) for i, t in enumerate(texts) for x in range(len(t) - 49))
+        assert all(len(v) == 1 for v in asked.values())
+        kinds.add(tuple(sorted((k, *v) for k, v in asked.items())))
+    assert len(kinds) == 1
+
+
+def test_packed_lists_are_exact():
+    values = np.unique(np.random.default_rng(2).integers(0, 1 << 48, 5000, dtype=np.uint64))
+    assert (suffix.unpack(suffix.pack(values)) == values).all() and len(suffix.unpack(suffix.pack(values[:0]))) == 0
+
+
+@pytest.mark.parametrize("crowd", [suffix.CROWD, 3])
+def test_substrings_at_all_offsets(spark, tmp_path, monkeypatch, crowd):
     """Shared passages of 49, 50, 51 and more bytes in changing surroundings, and runs of one byte."""
+    monkeypatch.setattr(suffix, "CROWD", crowd)
     random = np.random.default_rng(3)
     text = lambda n: "".join(chr(97 + int(x)) for x in random.integers(0, 3, n))
     passage = text(200)

@@ -4,7 +4,10 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from padron.llm import licenses, lines, quality, secrets
@@ -126,10 +129,23 @@ def keys(text):
     return ["".join(c.lower() if "A" <= c <= "Z" else c for c in x).strip(" \t\n\x0b\x0c\r") for x in (text or "").split("\n")]
 
 
-@pytest.mark.parametrize("segment_bits", [1 << 19, 1 << 10])
-def test_lines(spark, table, monkeypatch, segment_bits):
-    """Small segments mean many of them, or crowded filters: the result is the same."""
-    monkeypatch.setattr(lines, "SEGMENT_BITS", segment_bits)
+@pytest.mark.parametrize("bits", [1 << 19, 1 << 9])
+def test_filters_hold_every_repeated_key(monkeypatch, bits):
+    """Large and crowded filters, of keys repeated within a task and between tasks."""
+    monkeypatch.setattr(lines, "SEGMENT_BITS", bits)
+    tasks = [[b"a\nb\nc", b"a"], [b"c\nd"], [b"e\n" + b"\n".join(b"%d" % i for i in range(300))], [b"5\nf"]]
+    made = [x for texts in tasks for x in lines.task_filters(4, 1)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))]
+    again = {r["segment"]: np.unpackbits(lines.unpacked(r["again"])) for b in lines.merge(iter(made)) for r in b.to_pylist()}
+
+    def held(key):
+        segment, at = lines.positions(np.array([xxhash.xxh3_64_intdigest(key)], dtype=np.uint64), 4)
+        return again[int(segment[0])][at[0]].all()
+
+    assert all(held(k) for k in (b"a", b"c", b"5"))
+    assert bits < 1 << 19 or not any(held(k) for k in (b"b", b"d", b"e", b"f", b"7"))
+
+
+def test_lines(spark, table):
     folder, rows = table
     documents_of = defaultdict(set)
     for doc_id, text, *_ in rows:
