@@ -7,18 +7,22 @@ unique at a length is out of the search, and the search ends at ``LENGTH``:
 * Ranks of 2, 4 and 8 bytes are the bytes themselves, doubled in place, and a rank of 16 bytes is
   a pair of those. No sort is needed for them.
 * 16 bytes: not every position is sorted, as neighbours share their fate. Each window of
-  ``LENGTH`` bytes hands its question to its least-ranked position (the leftmost of equals), which depends
-  on the window's bytes only, so equal windows ask at equal places. Spark sorts these positions
-  by rank. Ranks found once are unique and drop out.
+  ``LENGTH`` bytes hands its question to its least-ranked position (the leftmost of equals), which
+  depends on the window's bytes only, so equal windows ask at equal places. The ranks alone, in
+  packed sorted lists, go from parts of the table to ranges of ranks; each part is told which of
+  its ranks occur again, and all other positions drop out.
 * All windows that ask at a position: its rank is the pair of the ranks of the first and the last
-  of them. In the same sorted order, equal pairs are equal stretches of text: all but those in
-  the smallest document are repeats, and drop out as settled.
-* ``LENGTH`` bytes: what is left has a common 16 bytes in different surroundings. Its windows are
-  ranked one by one and sorted once more.
-
-Ranks are 64-bit hashes and always compared in pairs, so two different windows are taken for
-equal with a chance of about 2**-128 a pair. Sorted rows are read as a stream with a state of one
-group, so a passage in a third of all documents needs no more memory than another.
+  of them. Spark sorts the positions by 16-byte rank and this one. Equal pairs are equal stretches
+  of text: all but those in the smallest document are repeats, and drop out as settled. What is
+  alone with its 16 bytes drops out as unique.
+* ``LENGTH`` bytes: what is left shares 16 bytes in different surroundings. Sorted by those 16
+  bytes and carrying its surroundings, its windows are ranked and sorted one by one.
+
+Ranks are 64-bit hashes and decide in pairs, so two different windows are taken for equal with a
+chance of about 2**-128 a pair. Parts of the table and ranges of ranks grow in number with the
+bytes of the table, so none outgrows a task. Sorted rows are read as a stream with a state of one
+group; more than ``CROWD`` positions of one 16-byte rank are not held together but sorted window
+by window.
 
 Texts are bytes of UTF-8; nulls are empty. Texts of fewer than ``LENGTH`` bytes are never changed.
 A row without an id comes before all ids. Rows that repeat an id are one document for the
@@ -29,6 +33,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +41,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import map_batches, settle, text_of
+from padron.llm.common import map_batches, settle, small_batches, text_of
 
 LENGTH = 50
 SEED_LENGTH = 16
 
+#: Bytes of text in a part of the table; a part is one group of a grouped map.
+PART_BYTES = 8 << 20
+#: Bits of a rank that the packed lists keep; equal ones are checked in full later.
+PACKED_BITS = 48
+#: Positions of one 16-byte rank that are compared in memory.
+CROWD = 20_000
+
 #: Bytes worked on at once; positions in a chunk fit 20 bits.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 POSITION = np.uint64((1 << 20) - 1)
 
 M1, M2, M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -98,10 +110,13 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def asking_positions(data: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Per position that windows ask at: its part, the first and last of its windows, and its two ranks."""
+    """Positions that windows ask at: their part, the first and last of their windows, their rank."""
     words = eight_bytes(data)
     count = len(data) - SEED_LENGTH + 1
-    seeds = mixed(words[:count] * M1 + mixed(words[8 : 8 + count]))
+    seeds = words[8 : 8 + count] * M2
+    seeds = ((seeds << np.uint64(32)) | (seeds >> np.uint64(32))) ^ (words[:count] * M1)
+    seeds = (seeds ^ (seeds >> np.uint64(32))) * M3
+    seeds ^= seeds >> np.uint64(29)
     least = (seeds & ~POSITION) | np.arange(count, dtype=np.uint64)
     width, have = LENGTH - SEED_LENGTH + 1, 1
     while have < width:
@@ -116,29 +131,88 @@ def asking_positions(data: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, .
     cut = np.flatnonzero((np.diff(asked) != 0) | (np.diff(part[window]) != 0)) + 1
     first, last = window[np.append(0, cut)], window[np.append(cut, len(window)) - 1]
     at = asked[np.append(0, cut)]
+    return part[first], at, first, last, seeds[at], words
+
+
+def surroundings(words: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Rank of all that the windows of a position cover, and of where it lies in it."""
     around = mixed(window_ranks(words, first) * M1 + window_ranks(words, last))
-    around = mixed(around + ((at - first) * 64 + (last - first)).astype(np.uint64))
-    return part[first], first, last, seeds[at], around
+    return mixed(around + ((at - first) * 64 + (last - first)).astype(np.uint64))
 
 
-POSITIONS = "seed long, around long, doc_id long, row_no long, first long, last long"
-OPEN = "covered boolean, seed long, doc_id long, row_no long, first long, last long"
+def pack(values: np.ndarray) -> bytes:
+    """Sorted numbers as differences, byte by byte of all of them, compressed."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
-def positions(texts: DataFrame) -> DataFrame:
-    """The positions that are asked, with the rank of their 16 bytes and of their surroundings."""
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            ids = rows.column(1).to_numpy(zero_copy_only=False)
-            numbers = rows.column(0).to_numpy(zero_copy_only=False)
-            for data, place, owner, start in chunks(rows.column(2).to_pylist()):
-                part, first, last, seed, around = asking_positions(data, place)
-                shift = start[part] - place[part]
-                columns = [seed.view(np.int64), around.view(np.int64), ids[owner[part]], numbers[owner[part]], first + shift, last + shift]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in POSITIONS.split(", ")])
 
-    return map_batches(texts, run, POSITIONS)
+def shortened(seeds: np.ndarray) -> np.ndarray:
+    return seeds >> np.uint64(64 - PACKED_BITS)
+
+
+def packed_seeds(ranges: int):
+    """Of one part of the table: its 16-byte ranks by range, those found once and those found again."""
+    schema = pa.schema([("range", pa.int64()), ("part", pa.int64()), ("once", pa.binary()), ("again", pa.binary())])
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [shortened(asking_positions(data, place)[4]) for data, place, *_ in chunks(table.column("text").to_pylist())]
+        values, counts = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]), return_counts=True)
+        which = (values >> np.uint64(PACKED_BITS - 24)) * np.uint64(ranges) >> np.uint64(24)
+        edges = np.searchsorted(which, np.arange(ranges + 1, dtype=np.uint64))
+        out = []
+        for i in np.flatnonzero(np.diff(edges)):
+            v, n = values[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]]
+            out.append((int(i), table.column("part")[0].as_py(), pack(v[n == 1]), pack(v[n > 1])))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return run
+
+
+def answers(table: pa.Table) -> pa.Table:
+    """Of one range: for each part its ranks that occur again, there or in another part."""
+    parts = table.column("part").to_pylist()
+    once = [unpack(x) for x in table.column("once").to_pylist()]
+    again = [unpack(x) for x in table.column("again").to_pylist()]
+    values, counts = np.unique(np.concatenate(once), return_counts=True)
+    repeated = np.union1d(values[counts > 1], np.concatenate(again))
+    told = [pack(np.sort(np.concatenate([o[np.isin(o, repeated, assume_unique=True)], a]))) for o, a in zip(once, again, strict=True)]
+    return pa.table({"part": pa.array(parts, pa.int64()), "told": pa.array(told, pa.binary())})
+
+
+POSITIONS = "seed long, around long, doc_id long, row_no long, place long"
+OPEN = "covered boolean, seed long, doc_id long, row_no long, place long"
+#: A place is 64 times the first window's start plus the number of further windows.
+WINDOWS = 64
+
+
+def repeated_positions(texts: pa.Table, told: pa.Table) -> pa.Table:
+    """Of one part: the positions whose 16 bytes occur again, with the rank of their surroundings."""
+    names = [c.split()[0] for c in POSITIONS.split(", ")]
+    out = [[np.zeros(0, dtype=np.int64)] * len(names)]
+    known = np.sort(np.concatenate([np.zeros(0, dtype=np.uint64), *[unpack(x) for x in told.column("told").to_pylist()]]))
+    if texts.num_rows and len(known):
+        ids, numbers = [texts.column(c).to_numpy() for c in ("doc_id", "row_no")]
+        for data, place, owner, start in chunks(texts.column("text").to_pylist()):
+            part, at, first, last, seed, words = asking_positions(data, place)
+            short = shortened(seed)
+            hit = known[np.minimum(np.searchsorted(known, short), len(known) - 1)] == short
+            part, at, first, last, seed = part[hit], at[hit], first[hit], last[hit], seed[hit]
+            around = surroundings(words, at, first, last)
+            places = (first + start[part] - place[part]) * WINDOWS + last - first
+            out.append([seed.view(np.int64), around.view(np.int64), ids[owner[part]], numbers[owner[part]], places])
+    return pa.table({n: pa.array(np.concatenate(c)) for n, c in zip(names, zip(*out, strict=True), strict=True)})
+
+
+def positions(texts: DataFrame, parts: int) -> DataFrame:
+    packed = texts.select("part", "text").groupBy("part").applyInArrow(packed_seeds(parts), "range long, part long, once binary, again binary")
+    told = packed.groupBy("range").applyInArrow(answers, "part long, told binary")
+    return texts.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(repeated_positions, POSITIONS)
 
 
 def first_of(keys: list[np.ndarray]) -> np.ndarray:
@@ -158,8 +232,8 @@ def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in OPEN.split(", ")]
 
     def made(columns: list[np.ndarray], covered: bool) -> pa.RecordBatch:
-        seed, _, doc, row, first, last = columns
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(seed), covered)), *[pa.array(x) for x in (seed, doc, row, first, last)]], names=names)
+        seed, _, doc, row, place = columns
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(seed), covered)), *[pa.array(x) for x in (seed, doc, row, place)]], names=names)
 
     state = None  # seed, around, smallest document, whether the seed has had other surroundings
     waiting: list[list[np.ndarray]] = []
@@ -202,26 +276,95 @@ def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = (seed[-1], around[-1], least[-1], bool(shared[-1]))
 
 
-def ranked_windows(texts: DataFrame, left: DataFrame) -> DataFrame:
-    """Every window of the open positions, with the rank of its bytes."""
-    schema = "seed long, rank long, doc_id long, row_no long, first long"
-    asked = left.groupBy("row_no").agg(F.collect_list(F.struct("seed", "first", "last")).alias("asked"))
+SURROUNDINGS = "seed long, doc_id long, row_no long, place long, bytes binary"
+COMPARED = "crowded boolean, seed long, rank long, doc_id long, row_no long, first long"
+
+
+def with_surroundings(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """The open positions with the bytes that their windows cover."""
+    asked = left.groupBy("row_no").agg(F.collect_list(F.struct("seed", "place")).alias("asked"))
+    names = [c.split()[0] for c in SURROUNDINGS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            out: list[list[np.ndarray]] = []
-            for row_no, doc_id, text, asked in zip(*[rows.column(i) for i in range(4)], strict=True):
-                fields = asked.values
-                seed, first, last = [fields.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
-                n = last - first + 1
-                at = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-                ranks = window_ranks(eight_bytes(np.frombuffer(text.as_py(), dtype=np.uint8)), at)
-                size = len(at)
-                out.append([np.repeat(seed, n), ranks.view(np.int64), np.full(size, doc_id.as_py()), np.full(size, row_no.as_py()), at])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=[c.split()[0] for c in schema.split(", ")])
+            fields = rows.column(3).values
+            seed, place = [fields.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            ends = rows.column(3).offsets.to_numpy()
+            n = np.diff(ends)
+            offset = ends[0]
+            seed, place = seed[offset : ends[-1]], place[offset : ends[-1]]
+            first, end = place // WINDOWS, place // WINDOWS + place % WINDOWS + LENGTH
+            pieces = []
+            for text, a, b in zip(rows.column(2).to_pylist(), ends[:-1] - offset, ends[1:] - offset, strict=True):
+                pieces += [text[x:y] for x, y in zip(first[a:b].tolist(), end[a:b].tolist(), strict=True)]
+            owners = [np.repeat(rows.column(i).to_numpy(zero_copy_only=False), n) for i in (1, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(seed), *[pa.array(x) for x in owners], pa.array(place), pa.array(pieces, pa.binary())], names=names)
+
+    return map_batches(texts.join(asked, "row_no").select("row_no", "doc_id", "text", "asked"), run, SURROUNDINGS)
+
+
+def windows_of(rows: list[tuple]) -> list[np.ndarray]:
+    """All windows of positions (columns: seed, doc_id, row_no, place, bytes): seed, rank, doc_id, row_no, first."""
+    seed, doc, row, place = [np.concatenate([r[i] for r in rows]) for i in range(4)]
+    pieces = [x for r in rows for x in r[4]]
+    n = place % WINDOWS + 1
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    begins = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    ranks = window_ranks(eight_bytes(data), np.repeat(begins, n) + inner)
+    return [np.repeat(seed, n), ranks.view(np.int64), np.repeat(doc, n), np.repeat(row, n), np.repeat(place // WINDOWS, n) + inner]
+
+
+def comparer(crowd: int):
+    """Over positions sorted by seed: windows that a smaller document has, too, or all windows of
+    a crowded seed."""
 
-    return map_batches(texts.join(asked, "row_no").select("row_no", "doc_id", "text", "asked"), run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in COMPARED.split(", ")]
+
+        def made(columns: list[np.ndarray], crowded: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), crowded)), *map(pa.array, columns)], names=names)
+
+        def settled(rows: list[tuple]) -> pa.RecordBatch:
+            columns = windows_of(rows)
+            order = np.lexsort((columns[2], columns[1], columns[0]))
+            columns = [c[order] for c in columns]
+            new = first_of(columns[:2])
+            hit = columns[2] > columns[2][np.flatnonzero(new)][np.cumsum(new) - 1]
+            return made([c[hit] for c in columns], False)
+
+        held: list[tuple] = []
+        count, crowded = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]] + [batch.column(4).to_pylist()]
+            seed = columns[0]
+            take = lambda a, b: tuple(c[a:b] for c in columns)  # noqa: B023, E731
+            start = 0
+            if crowded is not None:
+                start = int(np.searchsorted(seed != crowded, True)) if seed[-1] != crowded else len(seed)
+                if start:
+                    yield made(windows_of([take(0, start)]), True)
+                if start == len(seed):
+                    continue
+                crowded = None
+            # The last seed may go on in the next batch.
+            whole = start + int(np.searchsorted(seed[start:] == seed[-1], True))
+            if whole > start or (held and held[-1][0][-1] != seed[-1]):
+                if whole > start:
+                    held.append(take(start, whole))
+                yield settled(held)
+                held, count = [], 0
+            held.append(take(whole, len(seed)))
+            count += len(seed) - whole
+            if count > crowd:
+                yield made(windows_of(held), True)
+                held, count, crowded = [], 0, seed[-1]
+        if held:
+            yield settled(held)
+
+    return run
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,30 +395,44 @@ def cut(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple[list[tuple[in
     return runs, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def stored(docs: DataFrame) -> DataFrame:
-    """row_no, doc_id and text in a table bucketed by row: later joins do not shuffle the texts."""
+def stored(docs: DataFrame) -> tuple[DataFrame, int]:
+    """part, row_no, doc_id and text in a table bucketed by part, and the number of parts: later
+    steps find a part in place and do not shuffle the texts."""
     spark = docs.sparkSession
+    small_batches(spark)
+    total = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
+    parts = total // PART_BYTES + 1
     name = f"texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"),
         F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"),
         F.col("doc_id").isNull().alias("no_id"),
         text_of().cast("binary").alias("text"),
-    )
-    rows.write.format("parquet").bucketBy(buckets, "row_no").saveAsTable(name)
-    return spark.table(name)
+    ).withColumn("part", part_of("row_no", parts))
+    buckets = min(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "part").saveAsTable(name)
+    return spark.table(name), parts
+
+
+def part_of(row_no: str, parts: int):
+    return F.pmod(F.xxhash64(row_no), F.lit(parts)).cast("long")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, runs (removed, start and end), kept (binary)."""
-    texts = stored(docs)
-    order = ["seed", "around", "doc_id"]
-    asked = positions(texts.select("row_no", "doc_id", "text"))
-    found = settle(asked.repartition("seed").sortWithinPartitions(*order).mapInArrow(rerank, OPEN), "reranked")
-    windows = ranked_windows(texts, found.where("NOT covered"))
-    more = windows.repartition("seed").sortWithinPartitions("seed", "rank", "doc_id").mapInArrow(repeated, "row_no long, first long, last long")
-    covered = found.where("covered").select("row_no", "first", "last").union(more)
+    texts, parts = stored(docs)
+    asked = positions(texts.select("part", "row_no", "doc_id", "text"), parts)
+    found = settle(asked.repartition("seed").sortWithinPartitions("seed", "around", "doc_id").mapInArrow(rerank, OPEN), "reranked")
+    open_ = with_surroundings(texts, found.where("NOT covered"))
+    compared = settle(open_.repartition("seed").sortWithinPartitions("seed").mapInArrow(comparer(CROWD), COMPARED), "compared")
+    crowded = compared.where("crowded").select("seed", "rank", "doc_id", "row_no", "first")
+    more = crowded.repartition("seed", "rank").sortWithinPartitions("seed", "rank", "doc_id").mapInArrow(repeated, "row_no long, first long, last long")
+    first = F.shiftright("place", 6)
+    covered = (
+        found.where("covered").select("row_no", first.alias("first"), (first + F.col("place").bitwiseAND(WINDOWS - 1)).alias("last"))
+        .union(compared.where("NOT crowded").select("row_no", "first", F.col("first").alias("last")))
+        .union(more)
+    )
     per_row = covered.groupBy("row_no").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
