@@ -49,7 +49,7 @@ def main() -> None:
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = (
         builder("compare")
-        .master("local[4]")
+        .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
