@@ -1,8 +1,8 @@
 """License scan in Spark's own expressions: ordered signature rules.
 
-Three phrases are always looked for. Where a text has a keyword of licensing at all, a list of
-rules applies: signatures of license texts, SPDX identifiers, notices and bare names. A rule's
-pattern runs only if the text holds the rule's own keyword. Of overlapping detections, one that
+Three phrases are always looked for, and so is a list of rules: signatures of license texts, SPDX
+identifiers, notices and bare names. A rule's pattern runs only if the text holds the rule's own
+keyword, which every match of the pattern holds. Of overlapping detections, one that
 lies inside another of at least its priority is suppressed; equal intervals of equal priority
 stay together.
 
@@ -24,9 +24,6 @@ GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 PHRASE = "(?i)(?<= )(?:" + "|".join(PHRASES) + ")(?= )"
 
-#: A text without any of these has no detection.
-GATE = "(?i)licen[cs]|copyright|spdx|redistribut|hereby granted|public domain|creative commons|rights reserved|warrant|copyleft| gpl| lgpl| agpl"
-
 SIGNATURE, IDENTIFIER, NOTICE, NAME, HINT = 5, 4, 3, 2, 1
 CONFIDENCE = {SIGNATURE: 1.0, IDENTIFIER: 0.95, NOTICE: 0.9, NAME: 0.7, HINT: 0.4}
 
@@ -34,7 +31,7 @@ CONFIDENCE = {SIGNATURE: 1.0, IDENTIFIER: 0.95, NOTICE: 0.9, NAME: 0.7, HINT: 0.
 SIGNATURES = (
     ("mit", "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("mit", "substantial portions", r"shall be included in all copies or substantial portions of the software"),
-    ("mit-0", "hereby granted", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided"),
+    ("mit-0", "without restriction", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided"),
     ("isc", "with or without fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("0bsd", "with or without fee", r"for any purpose with or without fee is hereby granted the software is provided as is"),
     ("bsd-2-clause", "binary forms", r"redistribution and use in source and binary forms with or without modification are permitted"),
@@ -61,7 +58,7 @@ SIGNATURES = (
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("zlib", "altered source", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
     ("wtfpl", "do what the", r"do what the f\w+ you want to public license"),
-    ("cc0-1.0", "cc0", r"to the extent possible under law .{1,120}? waived all copyright and related or neighboring rights"),
+    ("cc0-1.0", "neighboring rights", r"to the extent possible under law .{1,120}? waived all copyright and related or neighboring rights"),
     ("artistic-2.0", "artistic", r"the artistic license 2 0"),
     ("psf-2.0", "python software foundation", r"python software foundation license version 2"),
     ("ofl-1.1", "open font", r"licensed under the sil open font license version 1 1"),
@@ -160,8 +157,10 @@ def rules() -> list[dict]:
     out = [(label, SIGNATURE, keyword, p) for label, keyword, p in SIGNATURES]
     out += [(label, IDENTIFIER, "spdx", rf"spdx license identifier {spdx}") for label, _, _, spdx in NAMES]
     notice = r"(?:licen[cs]ed|released|distributed|available|published|provided|covered) (?:under|by)(?: the terms of)?(?: the| an?)? "
-    out += [(label, NOTICE, keyword, rf"{notice}{name}(?: licen[cs]e)?") for label, keyword, name, _ in NAMES]
-    out += [(label, NAME, keyword, rf"{name} licen[cs]e") for label, keyword, name, _ in NAMES]
+    # A name that is its keyword stands there as whole words.
+    whole = lambda keyword, name: f" {keyword} " if keyword == name else keyword
+    out += [(label, NOTICE, whole(keyword, name), rf"{notice}{name}(?: licen[cs]e)?") for label, keyword, name, _ in NAMES]
+    out += [(label, NAME, whole(keyword, name), rf"{name} licen[cs]e") for label, keyword, name, _ in NAMES]
     out += [(label, HINT, keyword, p) for label, keyword, p in HINTS]
     return [{"label": a, "priority": b, "keyword": c, "pattern": rf"(?<= ){p}(?= )"} for a, b, c, p in out]
 
@@ -225,13 +224,13 @@ def surviving(found: Column) -> Column:
     return F.aggregate(ordered, first, step, lambda s: F.struct(s["labels"].alias("labels"), s["best"].alias("best")))
 
 
-ADDED = {"n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "_tidy", "_gaps", "_found", "_base", "_ruled"}
+ADDED = {"n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "_tidy", "_gaps", "_found", "_base", "_ruled", "_low", "_asked"}
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Columns of these names, and ``_tidy _gaps _found _base _ruled``, are replaced.
+    Columns of these names, and ``_tidy _low _asked _gaps _found _base _ruled``, are replaced.
     """
     marked = docs.withColumn("_tidy", tidy(text_of())).withColumn("n_words", words_in(F.col("_tidy")))
     text = F.col("_tidy")
@@ -251,10 +250,13 @@ def scan(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     base = F.coalesce(F.array_sort(F.array_distinct(F.transform("_found", lambda x: F.element_at(labels, x)))), none)
     table = F.from_json(F.lit(json.dumps(rules())), RULE)
-    lowered = F.lower(text)
-    asked = F.filter(table, lambda r: F.contains(lowered, r["keyword"]))
-    ruled = surviving(F.flatten(F.transform(asked, lambda r: detections(lowered, r))))
-    marked = marked.withColumn("_base", base).withColumn("_ruled", F.when(text.rlike(GATE), ruled))
+    # Each keyword is looked for once; what a lambda holds would be computed anew for each rule.
+    keywords = list(dict.fromkeys(r["keyword"] for r in rules()))
+    held = F.array_compact(F.array(*[F.when(F.contains(F.col("_low"), F.lit(k)), F.lit(k)) for k in keywords]))
+    asked = F.filter(table, lambda r: F.array_contains("_asked", r["keyword"]))
+    ruled = surviving(F.flatten(F.transform(asked, lambda r: detections(F.col("_low"), r))))
+    marked = marked.withColumn("_base", base).withColumn("_low", F.lower(text)).withColumn("_asked", held)
+    marked = marked.withColumn("_ruled", F.when(F.size("_asked") > 0, ruled))
     score = F.element_at(F.create_map(*[F.lit(x) for pair in CONFIDENCE.items() for x in pair]), F.col("_ruled.best"))
     of_base = F.when(F.col("n_base") > 0, F.lit(CONFIDENCE[NAME])).otherwise(0.0)
     return marked.select(

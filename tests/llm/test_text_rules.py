@@ -125,6 +125,41 @@ def test_license_rules_compile_and_contained_detections_go(spark):
     assert "gpl-3.0" in found.labels and found.base_labels == ["gpl"]
 
 
+def shortest(parsed):
+    """A short text that a parsed pattern matches, without its lookarounds and optional parts."""
+    out = ""
+    for kind, value in parsed:
+        match str(kind):
+            case "LITERAL":
+                out += chr(value)
+            case "ANY" | "CATEGORY":
+                out += "z"
+            case "IN":
+                out += chr(value[0][1]) if str(value[0][0]) == "LITERAL" else "z"
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += shortest(value[2]) * value[0]
+            case "SUBPATTERN":
+                out += shortest(value[3])
+            case "BRANCH":
+                out += shortest(value[1][0])
+    return out
+
+
+def test_each_license_rule_is_found_alone(spark):
+    """Texts that hold nothing but the match of one rule, and so no general word of licensing."""
+    rows = []
+    for i, rule in enumerate(licenses.rules()):
+        text = shortest(re._parser.parse(rule["pattern"]))
+        assert re.search(rule["pattern"], f" {text} ") and rule["keyword"] in f" {text} ", rule
+        rows.append((i, text))
+    said = ["This product includes software developed by the OpenSSL Project", "Available under CC BY 4.0", "released under the MPL 2.0"]
+    rows += [(1000 + i, text) for i, text in enumerate(said)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, rule in enumerate(licenses.rules()):
+        assert found[i].labels and found[i].score >= licenses.CONFIDENCE[rule["priority"]], (rule, found[i])
+    assert [found[1000 + i].labels for i in range(3)] == [["openssl"], ["cc-by-4.0"], ["mpl-2.0"]]
+
+
 def keys(text):
     return ["".join(c.lower() if "A" <= c <= "Z" else c for c in x).strip(" \t\n\x0b\x0c\r") for x in (text or "").split("\n")]
 
