@@ -30,8 +30,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each component of near copies."""
-    return simhash.deduplicate(docs)
+    """One document of each component of near copies: five-word similarity of at least 0.8."""
+    return simhash.deduplicate(docs, size=simhash.NEAR_SHINGLE, distance=simhash.NEAR_DISTANCE, similarity=simhash.SIMILARITY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,10 @@ pair by pair; more are searched breadth first, which gives a tree and not all pa
 more than ``CROWD`` fingerprints is dealt out once more by 16-bit blocks (of four blocks, one is
 equal where at most three bits differ), so no group has to fit one task.
 
+Near copies (``deduplicate``): shingles of five words and a Jaccard similarity of 0.8. Texts whose
+fingerprints differ in at most ``NEAR_DISTANCE`` bits are candidates, all pairs of them, and the
+sets of their shingles are compared. The distance decides the share of similar pairs found.
+
 Nulls and empty texts have fingerprint zero, which links like any other. Rows without an id link
 too, but name no component. Rows that repeat an id are one document where it names a component.
 """
@@ -29,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from padron.llm.common import map_batches, settle, text_of
@@ -41,6 +45,13 @@ SEED = 42
 BITS = 64
 DISTANCE = 3
 
+#: For near copies: words of a shingle, bits that may differ, and what verified pairs must reach.
+NEAR_SHINGLE = 5
+NEAR_DISTANCE = 14
+SIMILARITY = 0.8
+#: What comparing a pair in memory costs of a shuffled row, where all pairs are wanted.
+NEAR_PAIR_COST = 0.002
+
 PARTITIONS = (2, 3, 4)
 #: Estimates of candidates use so many fingerprints, and pairs of them, at most.
 SAMPLE = 4096
@@ -52,10 +63,11 @@ PAIRWISE = 8
 CROWD = 20_000
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """Hashes of all shingles, repeated ones too; a text of fewer words is one shingle."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     if len(words) <= size:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
@@ -64,13 +76,21 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1])
         hash_of = xxhash.xxh64_intdigest
         hashes = [hash_of(joined[a:b], SEED) for a, b in zip(starts[: 1 - size].tolist(), ends[size - 1 :].tolist(), strict=True)]
-    each = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return np.array(hashes, dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    each = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(each), 4096):
         counts += np.unpackbits(each[i : i + 4096], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(each)))
 
 
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    return majority(shingles(text, size))
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -123,35 +143,35 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
-def at_most(share: np.ndarray, sampled: np.ndarray) -> list[float]:
-    """Estimated chance that two fingerprints differ by at most t bits of a group, t = 0 .. DISTANCE:
+def at_most(share: np.ndarray, sampled: np.ndarray, distance: int = DISTANCE) -> list[float]:
+    """Estimated chance that two fingerprints differ by at most t bits of a group, t = 0 .. distance:
     the larger of what independent bits give and what sampled pairs show."""
     chances = np.array([1.0])
     for p in share:
         differ = 2 * p * (1 - p)
         chances = np.append(chances * (1 - differ), 0) + np.append(0, chances * differ)
     model = np.cumsum(chances)
-    seen = [(sampled <= t).mean() if len(sampled) else 0.0 for t in range(DISTANCE + 1)]
-    return [float(max(model[min(t, len(share))], seen[t])) for t in range(DISTANCE + 1)]
+    seen = [(sampled <= t).mean() if len(sampled) else 0.0 for t in range(distance + 1)]
+    return [float(max(model[min(t, len(share))], seen[t])) for t in range(distance + 1)]
 
 
-def allocate(costs: list[list[float]]) -> tuple[float, list[int]]:
-    """Thresholds -1 .. DISTANCE per group, with sum of (threshold + 1) equal to DISTANCE + 1, of
+def allocate(costs: list[list[float]], distance: int = DISTANCE) -> tuple[float, list[int]]:
+    """Thresholds -1 .. distance per group, with sum of (threshold + 1) equal to distance + 1, of
     least cost; ``costs[i][t]`` is the cost of threshold t in group i."""
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for cost in costs:
         new: dict[int, tuple[float, list[int]]] = {}
         for spent, (total, chosen) in best.items():
-            for t in range(-1, DISTANCE + 1):
+            for t in range(-1, distance + 1):
                 after = spent + t + 1
                 value = total + (cost[t] if t >= 0 else 0.0)
-                if after <= DISTANCE + 1 and (after not in new or value < new[after][0]):
+                if after <= distance + 1 and (after not in new or value < new[after][0]):
                     new[after] = (value, [*chosen, t])
         best = new
-    return best[DISTANCE + 1]
+    return best[distance + 1]
 
 
-def search_plan(n: int, both: np.ndarray, sample: np.ndarray) -> tuple[list[list[int]], list[int]]:
+def search_plan(n: int, both: np.ndarray, sample: np.ndarray, distance: int = DISTANCE, pair_cost: float = PAIR_COST) -> tuple[list[list[int]], list[int]]:
     """Groups of bits and their thresholds."""
     random = np.random.default_rng(SEED)
     share = np.diag(both) / max(n, 1)
@@ -159,14 +179,16 @@ def search_plan(n: int, both: np.ndarray, sample: np.ndarray) -> tuple[list[list
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
     differ = (sample[pairs[:, 0]] ^ sample[pairs[:, 1]]) if len(pairs) else np.zeros(0, dtype=np.uint64)
     plans = []
-    for parts in PARTITIONS:
+    for parts in PARTITIONS if distance <= DISTANCE else range(2, distance // 2 + 2):
         groups = group_bits(n, both, parts)
         costs = []
         for group in groups:
             mask = np.uint64(sum(1 << b for b in group))
-            chance = at_most(share[group], np.bitwise_count(differ & mask))
-            costs.append([n * math.comb(len(group), t) + PAIR_COST * n * n / 2 * chance[t] for t in range(DISTANCE + 1)])
-        plans.append((*allocate(costs), groups))
+            chance = at_most(share[group], np.bitwise_count(differ & mask), distance)
+            # More bits than the group has cannot be left out; without rows the fewest masks are best.
+            rows = [max(n, 1) * math.comb(len(group), t) if t <= len(group) else math.inf for t in range(distance + 1)]
+            costs.append([rows[t] + pair_cost * n * n / 2 * chance[t] for t in range(distance + 1)])
+        plans.append((*allocate(costs, distance), groups))
     _, thresholds, groups = min(plans, key=lambda p: p[0])
     return groups, thresholds
 
@@ -272,18 +294,56 @@ def linker(crowd: int | None):
     return run
 
 
+def all_pairs(distance: int):
+    """Over rows sorted by key: every pair of fingerprints of a key within ``distance``, a below b."""
+
+    def pairs(fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        block = max(1, (1 << 20) // len(fps))
+        for i in range(0, len(fps) - 1, block):
+            here, there = fps[i : i + block], fps[i + 1 :]
+            x, y = np.nonzero(np.bitwise_count(here[:, None] ^ there[None, :]) <= distance)
+            x, y = here[x[y >= x]], there[y[y >= x]]
+            a, b = np.minimum(x.view(np.int64), y.view(np.int64)), np.maximum(x.view(np.int64), y.view(np.int64))
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        last = None
+        for rows in batches:
+            keys, fps = [rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            fps = fps.view(np.uint64)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if start == stop:
+                    continue
+                if parts and keys[start] != last:
+                    yield from pairs(np.concatenate(parts))
+                    parts = []
+                last = keys[start]
+                parts.append(fps[start:stop])
+        if parts:
+            yield from pairs(np.concatenate(parts))
+
+    return run
+
+
 def linked(rows: DataFrame, crowd: int | None) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(linker(crowd), "a long, b long, kind int")
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """``a, b``: enough links between distinct fingerprints to connect all that are connected."""
+def planned(distinct: DataFrame, distance: int = DISTANCE, pair_cost: float = PAIR_COST) -> list[int]:
+    """The masks by which fingerprints within ``distance`` meet."""
     n, both = bit_statistics(distinct)
     # The sample is bounded, in the order of a hash, and only estimates costs.
     chosen = distinct.select("fp").orderBy(F.xxhash64("fp", F.lit(SEED)), "fp").limit(SAMPLE).collect()
     sample = np.array([r.fp for r in chosen], dtype=np.int64).view(np.uint64)
-    groups, thresholds = search_plan(n, both, sample)
-    found = settle(linked(probes(distinct, masks(groups, thresholds)), CROWD), "found-links")
+    return masks(*search_plan(n, both, sample, distance, pair_cost))
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """``a, b``: enough links between distinct fingerprints to connect all that are connected."""
+    found = settle(linked(probes(distinct, planned(distinct)), CROWD), "found-links")
     blocks = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.shiftrightunsigned("b", 16 * j).bitwiseAND(0xFFFF).alias("block")) for j in range(DISTANCE + 1)]))
     dealt = found.where("kind = 1").select("a", F.col("b").alias("fp"), blocks.alias("s"))
     again = linked(dealt.select(F.xxhash64("a", "s.j", "s.block").alias("key"), "fp"), None)
@@ -301,8 +361,90 @@ def classes(docs: DataFrame) -> DataFrame:
     return lookup_join(rows, named, ["fp"], "copies").drop("copies")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def digest_of() -> Column:
+    return F.unhex(F.sha2(text_of().cast("binary"), 256))
+
+
+def near_rows(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, digest, fp, n`` of every row: digest of the text, fingerprint, number of distinct shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [shingles(t, size) for t in rows.column(2).to_pylist()]
+            fps, n = [signed(majority(h)) for h in found], [len(np.unique(h)) for h in found]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.array(fps, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "digest", "fp", "n"]
+            )
+
+    given = docs.select("doc_id", digest_of().alias("digest"), text_of().cast("binary").alias("text"))
+    return map_batches(given, run, f"doc_id {dict(given.dtypes)['doc_id']}, digest binary, fp long, n long")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``digest, hashes``: the distinct shingles of each wanted text, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [np.unique(shingles(t, size)).tobytes() for t in rows.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.binary())], names=["digest", "hashes"])
+
+    given = docs.select(digest_of().alias("digest"), text_of().cast("binary").alias("text")).join(wanted, "digest", "left_semi")
+    return map_batches(given, run, "digest binary, hashes binary").dropDuplicates(["digest"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have a Jaccard similarity of at least ``similarity``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            near = []
+            for x, y in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True):
+                a, b = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                near.append(both >= similarity * (len(a) + len(b) - both))
+            kept = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([rows.column(0).filter(kept), rows.column(1).filter(kept)], names=["a", "b"])
+
+    first = pairs.join(sets.select(F.col("digest").alias("a"), F.col("hashes").alias("x")), "a")
+    both = first.join(sets.select(F.col("digest").alias("b"), F.col("hashes").alias("y")), "b")
+    return map_batches(both.select("a", "b", "x", "y"), run, "a binary, b binary")
+
+
+def near_classes(docs: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:
+    """``doc_id, digest, root`` of every row of ``docs``: texts that are linked share a root.
+
+    Texts link when their fingerprints differ in at most ``distance`` bits and the sets of their
+    shingles of ``size`` words are similar. Each text is verified with the least one it may link
+    to; of the other candidates those that are still apart follow.
+    """
+    rows = settle(near_rows(docs, size), "near-rows")
+    texts = settle(rows.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("n").alias("n")), "near-texts")
+    distinct = settle(texts.select("fp").distinct(), "near-distinct")
+    keyed = probes(distinct, planned(distinct, distance, NEAR_PAIR_COST)).repartition("key").sortWithinPartitions("key")
+    met = settle(keyed.mapInArrow(all_pairs(distance), "a long, b long").distinct(), "near-met")
+    one = lambda side: texts.select(F.col("fp").alias(side), F.col("digest").alias(f"d{side}"), F.col("n").alias(f"n{side}"))
+    apart = met.join(one("a"), "a").join(one("b"), "b")
+    alike = one("a").join(one("b"), (F.col("a") == F.col("b")) & (F.col("da") < F.col("db")))
+    columns = ["da", "na", "db", "nb"]
+    # Sets whose sizes differ by more cannot be similar enough.
+    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
+    pairs = apart.select(*columns).union(alike.select(*columns)).where(fits)
+    pairs = settle(pairs.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")), "near-pairs")
+    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+    sets = settle(shingle_sets(docs, wanted, size), "near-sets")
+    stars = settle(verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity), "near-stars")
+    roots = components(stars)
+    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    left = pairs.join(side("a"), "a", "left_outer").join(side("b"), "b", "left_outer")
+    open_pairs = left.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    roots = components(stars.union(verified(open_pairs, sets, similarity))).withColumnRenamed("node", "digest")
+    return rows.join(roots, "digest", "left_outer").select("doc_id", "digest", F.coalesce("root", "digest").alias("root"))
+
+
+def deduplicate(docs: DataFrame, size: int = NEAR_SHINGLE, distance: int = NEAR_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` of the first document of each component; rows without an id stay."""
-    drop = classes(docs).where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
+    found = near_classes(docs, size, distance, similarity)
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    drop = found.join(least, "root").where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
     packed = docs.select(docs["doc_id"].alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     return packed.join(drop, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")

@@ -281,6 +281,32 @@ def test_subwords_do_not_cross_words():
     assert (langid.letters_of("aÉ1-") == [97, 233, 32, 32]).all()
 
 
+def sets_of(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_copies_of_the_stage(spark):
+    """Texts with a few substituted words, at and around a five-word similarity of 0.8."""
+    random = np.random.default_rng(11)
+    rows, pairs = [], 0
+    for i in range(60):
+        words = [f"w{x}" for x in random.integers(0, 10**6, 300)]
+        other = list(words)
+        for x in random.choice(300, 1 + i % 10, replace=False):
+            other[x] = f"v{i}x{x}"
+        rows += [(2 * i, " ".join(words), None, None, None), (2 * i + 1, " ".join(other), None, None, None)]
+    kept = {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, fixtures.SCHEMA), "").collect()}
+    assert kept >= set(range(0, 120, 2))
+    for i in range(60):
+        a, b = sets_of(rows[2 * i][1]), sets_of(rows[2 * i + 1][1])
+        if len(a & b) / len(a | b) < 0.8:
+            assert 2 * i + 1 in kept
+        else:
+            pairs += 1
+    assert len(kept) - 60 <= (60 - pairs) + 0.1 * pairs and pairs > 20
+
+
 def test_packing(spark, table):
     from tokenizers import Tokenizer
 
