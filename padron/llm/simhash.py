@@ -442,9 +442,14 @@ def near_classes(docs: DataFrame, size: int, distance: int, similarity: float) -
 
 
 def deduplicate(docs: DataFrame, size: int = NEAR_SHINGLE, distance: int = NEAR_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` of the first document of each component; rows without an id stay."""
+    """One row of ``docs`` of each component: that of the least id (nulls last), then digest.
+
+    Rows are found again by id and digest; of rows that repeat both one stays.
+    """
     found = near_classes(docs, size, distance, similarity)
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    drop = found.join(least, "root").where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
-    packed = docs.select(docs["doc_id"].alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    return packed.join(drop, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    kept = found.groupBy("root").agg(least).select(F.col("first.doc_id").alias("_kept"), F.col("first.digest").alias("_digest"))
+    packed = docs.select(docs["doc_id"].alias("_id"), digest_of().alias("_own"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    stay = packed.join(kept, F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_digest")))
+    nth = F.row_number().over(Window.partitionBy("_id", "_own").orderBy("_own"))
+    return stay.withColumn("_nth", nth).where("_nth = 1").select("_row.*")

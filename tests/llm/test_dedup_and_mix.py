@@ -307,6 +307,17 @@ def test_near_copies_of_the_stage(spark):
     assert len(kept) - 60 <= (60 - pairs) + 0.1 * pairs and pairs > 20
 
 
+def test_near_copies_are_dropped_by_row(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = lambda n: " ".join([*words, *["more"] * n])
+    unique = " ".join(f"u{i}" for i in range(300))
+    lone = " ".join(f"n{i}" for i in range(300))
+    rows = [(1, near(0)), (2, near(1)), (2, unique), (3, lone), (3, lone + " x"), (None, near(2)), (None, near(3)), (None, "only here " + unique[::-1])]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], fixtures.SCHEMA)
+    kept = [(r.doc_id, r.text) for r in simhash.deduplicate(docs).collect()]
+    assert len(kept) == 4 and set(kept) >= {(1, near(0)), (2, unique), (None, rows[-1][1])}
+
+
 def test_packing(spark, table):
     from tokenizers import Tokenizer
 
