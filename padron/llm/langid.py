@@ -6,7 +6,16 @@ Both layers are trained together by stochastic gradient descent in numpy on a bo
 ``PER_LANGUAGE`` documents a language and ``MAX_DOCUMENTS`` in all, chosen by a hash of the id,
 and ``BAG`` subwords of each, drawn from its whole text in the tasks. A fixed part of the sample is
 kept from training to fit the temperature of the softmax and the score below which a prediction
-is rejected: the lowest score at which the accepted part has an error of at most ``MAX_ERROR``.
+is rejected: the lowest score at which the accepted part has an error of at most ``MAX_ERROR``. If
+that is so over everything, it is by a margin the low end of the scores of right predictions.
+
+A softmax only compares the languages it knows. Whether a text is of any of them is told by its
+familiarity: the mean logarithm of how frequent its subwords are in the training texts, every
+language counting alike. A prediction is rejected too where it is less familiar than nearly all
+held-back texts of the predicted language, by a margin.
+
+With fewer than ``10 * HELD_BACK`` usable texts nothing can be held back, no limit can be fitted,
+and only texts without a letter are rejected.
 
 As the average is linear, prediction multiplies the two layers once and then only averages one
 row of a table per subword of the whole text.
@@ -43,8 +52,12 @@ EPOCHS = 6
 RATE = 4.0
 HELD_BACK = 5
 MAX_ERROR = 0.005
-#: A prediction is never rejected at a calibrated score above this.
-SURE = 0.5
+#: So small a part of the right held-back predictions is left out of account as too low.
+LOW = 0.001
+#: Where the error over everything is small enough, a score may have odds so many times less than that.
+ODDS = 8
+#: Familiarity may be so much less than that: subwords about e times as rare.
+MARGIN = 1.0
 
 #: An average over few subwords says little: it counts as if so many neutral ones were added.
 FEW = 8
@@ -100,10 +113,14 @@ class Model:
     bias: np.ndarray
     temperature: float
     least_score: float
-
-    def logits(self, text: str) -> np.ndarray | None:
-        """Averages over the whole text, a chunk at a time; None without a letter."""
-        total, n = np.zeros(len(self.languages)), 0
+    frequency: np.ndarray  # logarithm, one per subword
+    usual: np.ndarray  # median familiarity of each language
+    least_familiar: np.ndarray
+
+    def read(self, text: str) -> tuple[np.ndarray, float, int] | None:
+        """Logits and familiarity, averages over the whole text, a chunk at a time, and the number
+        of subwords; None without a letter."""
+        total, known, n = np.zeros(len(self.languages)), 0.0, 0
         letters = False
         for start in range(0, len(text), CHUNK):
             points = letters_of(text[start : start + CHUNK])
@@ -111,16 +128,24 @@ class Model:
             found = subwords(points)
             for column in range(len(self.languages)):
                 total[column] += self.table[column][found].sum(dtype=np.float64)
+            known += float(self.frequency[found].sum(dtype=np.float64))
             n += len(found)
-        return total / (n + FEW) + self.bias if letters else None
+        return (total / (n + FEW) + self.bias, known / n, n) if letters else None
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        logits = self.logits(text) if text and self.languages else None
-        if logits is None:
+        found = self.read(text) if text and self.languages else None
+        if found is None:
             return UNKNOWN, 0.0, False
+        logits, known, n = found
         scores = softmax(logits / self.temperature)
         best = int(scores.argmax())
-        return self.languages[best], float(scores[best]), bool(scores[best] >= self.least_score)
+        familiar = eased(known, n, self.usual[best]) >= self.least_familiar[best]
+        return self.languages[best], float(scores[best]), bool(familiar and scores[best] >= self.least_score)
+
+
+def eased(known, n, usual):
+    """Familiarity with FEW usual subwords added, as few subwords say little."""
+    return (known * n + usual * FEW) / (n + FEW)
 
 
 def drawn_bag(text: str) -> tuple[int, np.ndarray]:
@@ -136,7 +161,7 @@ def train(sizes: list[int], bags: list[np.ndarray], labels: list[str], seed: int
     """Embeddings and softmax by SGD with decreasing rate; then temperature and rejection."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((0, 0)), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((0, 0)), np.zeros(0), 1.0, 1.0, np.zeros(0), np.zeros(0), np.zeros(0))
     random = np.random.default_rng(seed)
     y = np.array([languages.index(x) for x in labels])
     usable = np.array([i for i, b in enumerate(bags) if len(b)], dtype=np.int64)
@@ -162,17 +187,34 @@ def train(sizes: list[int], bags: list[np.ndarray], labels: list[str], seed: int
             np.subtract.at(embeddings, drawn.ravel(), np.repeat(back, DRAWN, axis=0))
             step += 1
     table = np.ascontiguousarray((embeddings @ weights).T.astype(np.float32))
-    model = Model(languages, table, bias.astype(np.float64), 1.0, 0.0)
+    frequency = frequencies(bags, y, fitted, len(languages))
+    nothing = np.zeros(len(languages))
+    model = Model(languages, table, bias.astype(np.float64), 1.0, 0.0, frequency, nothing, nothing - np.inf)
     if len(held):
         logits = np.stack([table[:, bags[i]].mean(axis=1) * sizes[i] / (sizes[i] + FEW) + bias for i in held]).astype(np.float64)
         calibrate(model, logits, y[held])
+        known = np.array([frequency[bags[i]].mean() for i in held])
+        if len(held) == len(usable):
+            model.least_score = 0.0
+            return model
+        acquaint(model, known, np.array([sizes[i] for i in held]), y[held], logits.argmax(axis=1) == y[held])
     return model
 
 
+def frequencies(bags: list[np.ndarray], y: np.ndarray, fitted: np.ndarray, languages: int) -> np.ndarray:
+    """Logarithm of each subword's share, the mean of its shares in the languages."""
+    share = np.zeros(1 << TABLE_BITS)
+    for language in range(languages):
+        rows = [bags[i] for i in fitted if y[i] == language]
+        counts = np.bincount(np.concatenate(rows), minlength=len(share)) if rows else np.zeros(len(share))
+        share += (counts + 0.01) / (counts.sum() + 0.01 * len(share)) / languages
+    return np.log(share).astype(np.float32)
+
+
 def calibrate(model: Model, logits: np.ndarray, y: np.ndarray) -> None:
     """The temperature at which the mean score equals the rate of right predictions (with one
     right and one wrong added, as no finite sample shows certainty), then the lowest score with
-    a small enough error."""
+    a small enough error; with none nothing is accepted."""
     rate = ((logits.argmax(axis=1) == y).sum() + 1) / (len(y) + 2)
     grid = np.exp(np.linspace(np.log(0.02), np.log(50), 120))
     mean = np.array([softmax(logits / t).max(axis=1).mean() for t in grid])
@@ -181,9 +223,28 @@ def calibrate(model: Model, logits: np.ndarray, y: np.ndarray) -> None:
     best, right = scores.max(axis=1), scores.argmax(axis=1) == y
     order = np.argsort(-best)
     errors = np.cumsum(~right[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(errors <= MAX_ERROR)
-    least = 0.0 if errors[-1] <= MAX_ERROR else float(best[order][good[-1]]) if len(good) else SURE
-    model.least_score = min(least, SURE)
+    # Equal scores are accepted together.
+    last = np.append(np.diff(best[order]) != 0, True)
+    good = np.flatnonzero((errors <= MAX_ERROR) & last)
+    if not len(good):
+        model.least_score = np.inf
+    elif good[-1] < len(y) - 1:
+        model.least_score = float(best[order][good[-1]])
+    else:
+        low = float(np.quantile(best[right], LOW, method="lower"))
+        odds = low / max(1 - low, 1e-12) / ODDS
+        model.least_score = odds / (1 + odds)
+
+
+def acquaint(model: Model, known: np.ndarray, sizes: np.ndarray, y: np.ndarray, right: np.ndarray) -> None:
+    """The usual and the least familiarity of each language; one without right held-back texts takes those of all."""
+    for language in range(len(model.languages)):
+        rows = right & (y == language)
+        rows = rows if rows.any() else right if right.any() else np.ones(len(y), dtype=bool)
+        usual = float(np.median(known[rows]))
+        model.usual[language] = usual
+        low = float(np.quantile(eased(known[rows], sizes[rows], usual), LOW, method="lower"))
+        model.least_familiar[language] = low - MARGIN
 
 
 def crc_part(column: str = "doc_id") -> Column:

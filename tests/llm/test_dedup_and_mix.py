@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from padron.llm import exact, langid, mixing, packing, simhash, suffix
@@ -274,6 +275,38 @@ def test_language_of_awkward_texts(spark, table):
             assert r.lang_pred in {"en", "de", "fr", "es"}
 
 
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.where(~F.coalesce(langid.crc_part() == 2, F.lit(False))))
+    random = np.random.default_rng(4)
+    of = lambda letters, n: "".join(random.choice(list(letters), n))
+    strange = [
+        "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee kotiin, koska yöllä tulee kylmä eikä metsässä ole enää mitään syötävää.",
+        "A gyors barna róka átugrik a lusta kutya fölött, és hazaszalad, mert éjszaka hideg lesz, és az erdőben már nincs mit enni.",
+        "Быстрая коричневая лиса прыгает через ленивую собаку и бежит домой, потому что ночью будет холодно.",
+        of("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 400),
+        " ".join(of("asdfghjklqwertzuiopyxcvbnm", 7) for _ in range(60)),
+    ]
+    assert [model.predict(t)[2] for t in strange] == [False] * 5
+    clean = docs.where(langid.crc_part() == 2).select("text", "lang").collect()
+    found = [model.predict(r.text) for r in clean]
+    assert sum(x[2] for x in found) / len(clean) > 0.98
+
+
+def test_the_error_bound_is_not_capped():
+    """Where only scores near 1 are right often enough, lower ones are rejected."""
+    random = np.random.default_rng(6)
+    y = random.integers(0, 2, 2000)
+    logits = np.where(np.arange(2)[None] == y[:, None], 1.0, 0.0) * np.repeat([9.0, 1.0], 1000)[:, None]
+    wrong = np.arange(2000) >= 1700
+    logits[wrong] = logits[wrong][:, ::-1]
+    model = langid.Model(["a", "b"], np.zeros((2, 1)), np.zeros(2), 1.0, 0.0, np.zeros(1), np.zeros(2), np.zeros(2))
+    langid.calibrate(model, logits, y)
+    scores = langid.softmax(logits / model.temperature)
+    accepted = scores.max(axis=1) >= model.least_score
+    assert accepted.sum() == 1000 and not wrong[accepted].any()
+
+
 def test_subwords_do_not_cross_words():
     a = Counter(langid.subwords(langid.letters_of("ab cd")).tolist())
     b = Counter(langid.subwords(langid.letters_of("ab")).tolist()) + Counter(langid.subwords(langid.letters_of("cd")).tolist())
