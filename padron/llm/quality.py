@@ -3,11 +3,12 @@
 Each document gets a few integer measures. Per language and source, a mergeable quantile sketch
 holds the distribution of each measure: counts in log-linear bins (32 bins to a power of two, so
 a quantile is at most 1/32 off), which partial aggregation merges by adding. Upper and lower
-limits follow from its quartiles, and joining them back to the documents gives the verdict.
+limits follow from its tails, and joining them back to the documents gives the verdict.
 
-A limit is a quartile plus ``SPREADS`` times the interquartile range, and never tighter than the
-least spread stated for the measure, so that a group whose documents are all alike loses none.
-A group of fewer than ``MIN_GROUP`` documents uses the sketch of all groups merged.
+A limit is the quantile ``TAIL`` (below: 1 - TAIL) plus ``MARGIN`` times its distance from the
+median. Where a group's tail does not differ from its median it is degenerate, and the least
+spread stated for the measure takes the place of that margin, so that a group whose documents are
+all alike loses none. A group of fewer than ``MIN_GROUP`` documents uses the sketch of all groups merged.
 
 Null texts have no words. Null languages and sources form groups of their own. Repeated rows
 count as often as they come. Other columns pass through.
@@ -29,7 +30,8 @@ MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 SYMBOLS = b"#*$%&|<>"
 
-SPREADS = 6
+TAIL = 0.95
+MARGIN = 3.0
 MIN_GROUP = 50
 #: Measures in units of 1/1000: (numerator, denominator, sides that are checked, least spread).
 MEASURES = {
@@ -92,6 +94,10 @@ def measure(docs: DataFrame) -> DataFrame:
     return map_batches(texts, run, schema)
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
 def values() -> Column:
     """The measures of a row as an array of (measure, value)."""
     return F.array(
@@ -115,31 +121,32 @@ def lowest_of(bins: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """One row per group, measure and bin, with its count; adding counts merges sketches."""
-    pairs = measured.where(F.col("n_words") > 0).select("lang", "source", F.explode(values()).alias("m"))
+    """One row per group, measure and bin, with its count; adding counts merges sketches. Documents
+    that fail the base rule are rejected anyhow and would only widen the limits."""
+    pairs = measured.where(~base_failed()).select("lang", "source", F.explode(values()).alias("m"))
     return pairs.groupBy("lang", "source", F.col("m.measure").alias("measure"), bin_of(F.col("m.value")).alias("bin")).agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """First and third quartile of each group and measure. A group has at most some 2,000 bins."""
+def tails(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """Both tails and the median of each group and measure. A group has at most some 2,000 bins."""
     whole = Window.partitionBy(*groups, "measure")
     upto = F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     ranked = sketch.withColumn("upto", upto).withColumn("rows", F.sum("n").over(whole))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("rows"), lowest_of(F.col("bin"))))
-    return ranked.groupBy(*groups, "measure").agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.first("rows").alias("rows"))
+    return ranked.groupBy(*groups, "measure").agg(at(1 - TAIL).alias("low"), at(0.5).alias("middle"), at(TAIL).alias("high"), F.first("rows").alias("rows"))
 
 
 def limits(measured: DataFrame) -> DataFrame:
     """One row per language and source: ``low_<measure>`` and ``high_<measure>``."""
     sketch = settle(sketches(measured), "sketches")
     merged = sketch.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
-    of_all = quartiles(merged, []).select("measure", F.col("q1").alias("all_q1"), F.col("q3").alias("all_q3"))
-    own = quartiles(sketch, ["lang", "source"]).join(F.broadcast(of_all), "measure")
-    small = F.col("rows") < MIN_GROUP
-    q1, q3 = F.when(small, F.col("all_q1")).otherwise(F.col("q1")), F.when(small, F.col("all_q3")).otherwise(F.col("q3"))
-    least = F.create_map(*[F.lit(x) for name, m in MEASURES.items() for x in (name, m[3])])
-    spread = F.greatest((q3 - q1) * SPREADS, least[F.col("measure")] * 1)
-    sides = own.withColumn("low", q1 - spread).withColumn("high", q3 + spread)
+    names = ("low", "middle", "high")
+    of_all = tails(merged, []).select("measure", *[F.col(c).alias(f"all_{c}") for c in names])
+    own = tails(sketch, ["lang", "source"]).join(F.broadcast(of_all), "measure")
+    low, middle, high = (F.when(F.col("rows") < MIN_GROUP, F.col(f"all_{c}")).otherwise(F.col(c)) for c in names)
+    least = F.create_map(*[F.lit(x) for name, m in MEASURES.items() for x in (name, m[3])])[F.col("measure")]
+    margin = lambda far: F.when(far > 0, far * MARGIN).otherwise(least)
+    sides = own.select("lang", "source", "measure", (low - margin(middle - low)).alias("low"), (high + margin(high - middle)).alias("high"))
     pick = lambda name, side: F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{side}_{name}")
     return sides.groupBy("lang", "source").agg(*[pick(name, side) for name in MEASURES for side in ("low", "high")])
 
@@ -158,5 +165,5 @@ def judged(docs: DataFrame) -> DataFrame:
         inside = inside & F.coalesce(value <= F.col(f"high_{name}"), F.lit(True))
         if sides == "both":
             inside = inside & F.coalesce(value >= F.col(f"low_{name}"), F.lit(True))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    failed = base_failed()
     return joined.select("doc_id", "lang", "source", *COUNTS, failed.alias("base_failed"), (~failed & inside).alias("kept"))

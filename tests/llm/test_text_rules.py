@@ -236,6 +236,21 @@ def test_quality_limits_follow_the_group(spark, tmp_path):
     assert all(kept[r[0]] for r in plain) and not any(kept[r[0]] for r in noisy)
 
 
+def test_limits_differ_between_groups(spark, tmp_path):
+    """Lines repeat in up to a tenth of one group and a third of the other; 40 % is too much for the first."""
+    def text(i, times):
+        lines_ = [" ".join(f"w{(i * 31 + j * 17 + k * 7) % 9973}x{j}" for k in range(8)) for j in range(40 - times)]
+        return "\n".join(lines_ + lines_[:times])
+
+    rows = [(1000 * g + i, text(i, i % (5 if g == 1 else 14)), "en", f"s{g}", 0) for g in (1, 2) for i in range(200)]
+    rows += [(1000 * g + 900, text(900, 16), "en", f"s{g}", 0) for g in (1, 2)]
+    docs = spark.createDataFrame(rows, fixtures.SCHEMA)
+    limit = {r.source: r.high_duplicate_lines for r in quality.limits(quality.measure(docs)).collect()}
+    kept = {r.doc_id: r.kept for r in quality.judged(docs).collect()}
+    assert limit["s1"] < 400 < limit["s2"]
+    assert not kept[1900] and all(kept[r[0]] for r in rows if r[0] % 1000 < 200 and r[0] % 1000 % 14 < 5)
+
+
 def test_sketch_bins_are_close_and_merge(spark):
     values = spark.range(0, 5000).select(F.col("id").alias("v"))
     rows = values.select("v", quality.bin_of(F.col("v")).alias("b")).select("v", "b", quality.lowest_of(F.col("b")).alias("low")).collect()
