@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm import exact, langid, licenses, lines, mixing, packing, quality, secrets, simhash, suffix
+from padron.llm import clusters, exact, langid, licenses, lines, mixing, packing, pii, quality, secrets, simhash, spelling, suffix
 from padron.llm.common import documents, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+@register
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.clusters(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.col("centroid").cast("binary"), 256).alias("centroid_sha256")
+    )
+
+
+@register
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+@register
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(pii.written("base").cast("binary"), 256).alias("base_sha256"),
+        pii.written("found").alias("spans"),
+    )
+
+
 # Words are runs of anything but the six ASCII spaces.
 _WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w != ''))"
 
@@ -191,3 +215,57 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def _clusters_sql(size: int = 64, rounds: int = 10) -> str:
+    """Every round as a step of its own; distances and means as whole numbers."""
+    distance = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [f"""
+v AS MATERIALIZED (SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS k, x
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT 8))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT nr, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT v.nr, c.k, CAST({distance} AS BIGINT) AS d FROM v CROSS JOIN c{r} AS c) GROUP BY nr)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT k, i, sum(x[i]) AS total, count(*) AS n
+  FROM (SELECT a.k, v.x FROM v JOIN a{r} AS a USING (nr)) CROSS JOIN range(1, {size + 1}) AS t(i) GROUP BY k, i),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(n.x, c.x) AS x FROM c{r} AS c
+  LEFT JOIN (SELECT k, list(CAST((total - (total % n + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM m{r} GROUP BY k) AS n ON n.k = c.k)""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, a.k AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} AS a USING (nr) JOIN c{rounds} AS c ON c.k = a.k
+"""
+
+
+ORACLE["op11_clusters"] = _clusters_sql()
+
+ORACLE["op12_spelling"] = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+o AS (SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents)
+  GROUP BY doc_id, w),
+b AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM o),
+h AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, y: xor(c >> 8, t[1 + (xor(c, y) & 255)]))) AS crc FROM b CROSS JOIN tab),
+s AS (SELECT CASE WHEN crc % 97 = 0 THEN substr(w, 1, crc % length(w)) || substr(w, crc % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM d AS a JOIN d AS b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.rest = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.rest = v.word),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, count(o.word) AS n_near, max(o.n) AS top, arg_min(o.word, (-o.n, encode(o.word))) AS best
+  FROM v LEFT JOIN near ON near.word = v.word LEFT JOIN v AS o ON o.word = near.other GROUP BY v.word, v.n),
+g AS MATERIALIZED (SELECT word, n, n_near, CASE WHEN top >= 2 * n THEN best END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n FROM f),
+r AS (SELECT word, word AS root FROM g UNION ALL SELECT r.word, g.form FROM r JOIN g ON g.word = r.root WHERE g.form IS NOT NULL),
+z AS (SELECT r.word, r.root FROM r JOIN g ON g.word = r.root WHERE g.form IS NULL)
+SELECT g.word, form, z.root, n, n_near, form_n FROM g JOIN z ON z.word = g.word
+"""
