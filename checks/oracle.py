@@ -494,13 +494,29 @@ UNION ALL SELECT fila, 'cui', CAST(cui AS VARCHAR) FROM revisados
     WHERE errores = '' AND cui IS NOT NULL
 UNION ALL SELECT fila, 'pasaporte', pasaporte FROM revisados
     WHERE errores = '' AND pasaporte IS NOT NULL"""
-CTES["tomadas"] = """
-SELECT DISTINCT fila FROM (
-    SELECT k.fila, s.clave IS NOT NULL OR k.fila > min(k.fila) OVER (PARTITION BY k.campo, k.clave)
-        AS tomada
-    FROM claves_pedidas k
-    LEFT JOIN (SELECT DISTINCT campo, clave FROM claves_cargadas) s USING (campo, clave))
-WHERE tomada"""
+# Requests one after the other. A threat is an earlier request (0: a stored row) of another record
+# for the same value; it holds unless it was refused or one of the requests ``despues``, which
+# replace the value before this request comes, was accepted. The loop decides one request a step.
+THREATS = """
+SELECT k.orden, k.campo, coalesce(e.orden, -1) AS de, (SELECT coalesce(list(d.orden), []) FROM {events} d
+    WHERE d.fila = e.fila AND d.campo = e.campo AND d.orden > coalesce(e.orden, -1) AND d.orden < k.orden) AS despues
+FROM {events} k JOIN (
+    SELECT orden, fila, campo, clave FROM {events} UNION ALL SELECT -1, {stored}, campo, clave FROM claves_cargadas) e
+  ON k.campo = e.campo AND k.clave = e.clave AND k.fila <> e.fila AND e.orden < k.orden"""
+IN_ORDER = """
+SELECT unnest(malas) AS orden FROM (
+WITH RECURSIVE turno AS (SELECT orden, row_number() OVER (ORDER BY orden) AS i FROM (SELECT DISTINCT orden FROM {threats})),
+paso(i, malas) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT p.i + 1, CASE WHEN bool_or(NOT list_contains(p.malas, a.de) AND list_has_all(p.malas, a.despues))
+      THEN list_append(p.malas, t.orden) ELSE p.malas END
+  FROM paso p JOIN turno t ON t.i = p.i + 1 JOIN {threats} a ON a.orden = t.orden
+  GROUP BY p.i, p.malas, t.orden)
+SELECT malas FROM paso ORDER BY i DESC LIMIT 1)"""
+CTES["sucesos_altas"] = "SELECT CAST(fila AS BIGINT) AS orden, -1 - fila AS fila, campo, clave FROM claves_pedidas"
+CTES["amenazas_altas"] = THREATS.format(events="sucesos_altas", stored="id")
+CTES["tomadas"] = f"SELECT orden AS fila FROM ({IN_ORDER.format(threats='amenazas_altas')})"
 
 # Updates, folded to one per record.
 GIVEN = ("cui", "pasaporte", "sexo", "estado")
@@ -523,17 +539,17 @@ NULL_ESTADO = "CASE WHEN da_estado AND estado IS NULL THEN 'estado: no admite nu
 CTES["revision"] = f"""
 SELECT p.*, {listed([*UPDATE_FIELDS, NULL_ESTADO])} AS errores
 FROM pedidos p SEMI JOIN cargadas USING (id)"""
-CTES["claves_cambio"] = """
-SELECT orden, id, 'cui' AS campo, CAST(cui AS VARCHAR) AS clave FROM revision
-    WHERE errores = '' AND da_cui AND cui IS NOT NULL
-UNION ALL SELECT orden, id, 'pasaporte', pasaporte FROM revision
-    WHERE errores = '' AND da_pasaporte AND pasaporte IS NOT NULL"""
+CTES["sucesos_cambios"] = """
+SELECT CAST(orden AS BIGINT) AS orden, id AS fila, 'cui' AS campo, CAST(cui AS VARCHAR) AS clave FROM revision
+    WHERE errores = '' AND da_cui
+UNION ALL SELECT orden, id, 'pasaporte', pasaporte FROM revision WHERE errores = '' AND da_pasaporte"""
+CTES["amenazas_cambios"] = THREATS.format(events="sucesos_cambios", stored="id")
+CTES["rechazados"] = IN_ORDER.format(threats="amenazas_cambios")
 CTES["choques"] = """
-SELECT id, orden, campo FROM (
-    SELECT k.id, k.orden, k.campo, s.id AS dueno,
-        first(k.id) OVER (PARTITION BY k.campo, k.clave ORDER BY k.orden) AS primero
-    FROM claves_cambio k LEFT JOIN claves_cargadas s USING (campo, clave))
-WHERE coalesce(dueno, primero) <> id"""
+SELECT DISTINCT s.fila AS id, a.orden, a.campo
+FROM amenazas_cambios a JOIN sucesos_cambios s USING (orden, campo)
+WHERE NOT list_contains((SELECT list(orden) FROM rechazados), a.de)
+  AND list_has_all((SELECT list(orden) FROM rechazados), a.despues)"""
 CTES["aceptados"] = "SELECT * FROM revision WHERE errores = '' AND orden NOT IN (SELECT orden FROM choques)"
 CTES["cambios"] = CTES["plegados"].replace("FROM pedidos", "FROM aceptados")
 

@@ -103,30 +103,6 @@ def load_conflicts(
     )
 
 
-def request_conflicts(asked: DataFrame, stored: DataFrame, order: str) -> DataFrame:
-    """``id, order, campo`` of the identifiers that requests to change a row cannot have.
-
-    ``asked`` has ``id`` (of the row to change), ``order`` (unique) and the identifiers, null
-    where not asked. Every value counts, empty ones too. A value stored for another row is
-    taken. A free value goes to the row that asked first, even if that request fails for
-    another reason.
-    """
-    keys = identifier_rows(asked, order, carry={"_id": F.col("id")})
-    first = keys.groupBy(*KEY).agg(
-        F.count("*").alias("n"), F.min(F.struct("fila", "_id")).alias("primero")
-    )
-    owners = key_owners(held(first, stored)).drop("n")
-    settled = first.join(owners, list(KEY), "left_outer")
-    mine = F.when(
-        F.col("primera").isNull(), F.col("primero").getField("_id") == F.col("_id")
-    ).otherwise((F.col("primera") == F.col("_id")) & (F.col("ultima") == F.col("_id")))
-    return (
-        lookup_join(keys, settled, KEY, "n")
-        .where(~mine)
-        .select(F.col("_id").alias("id"), F.col("fila").alias(order), "campo")
-    )
-
-
 def _matches(
     candidates: DataFrame, stored: DataFrame, key: str, carry: Mapping[str, Column] | None = None
 ) -> DataFrame:

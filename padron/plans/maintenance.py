@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from padron import model
 from padron.functions import contract
 from padron.functions.asof import AsOf
-from padron.operators.identifiers import load_conflicts, request_conflicts
+from padron.operators.identifiers import held, identifier_rows, key_owners
+from padron.operators.requests import refusals
 from padron.operators.skew import dense_index
 from padron.sources.tables import Workspace
 
@@ -44,14 +45,21 @@ def create_rows(
 ) -> Outcome:
     """Rows to append for the valid candidates whose identifiers are free.
 
-    ``key`` is a unique integer column giving the order of the requests: of two candidates
-    with the same identifier the earlier one wins.
+    ``key`` is a unique integer column giving the order of the requests. They are decided as if
+    they came one after the other: only an accepted candidate holds its identifiers against
+    later ones, see :mod:`padron.operators.requests`.
     """
     as_of = as_of.pinned(candidates.sparkSession)
     checked = work.settle(contract.record_errors(candidates, as_of), "create")
     invalid = contract.explode_errors(checked, key)
     valid = checked.where(F.size("errores") == 0).drop("errores")
-    taken = work.settle(load_conflicts(valid, stored, key).select(key).distinct(), "taken")
+    keys = identifier_rows(valid, key)
+    # Rows to come and stored rows have numbers of their own.
+    row = lambda new, number: F.struct(F.lit(new).alias("nueva"), F.col(number).cast("long").alias("n")).alias("fila")
+    events = keys.select(F.col("fila").cast("long").alias("orden"), row(True, "fila"), "campo", "clave")
+    owners = key_owners(held(keys.select("campo", "clave").distinct(), stored))
+    refused_keys = refusals(events, owners.select(row(False, "primera"), "campo", "clave"), work)
+    taken = work.settle(refused_keys.select(F.col("orden").cast(valid.schema[key].dataType).alias(key)).distinct(), "taken")
     free = valid.join(taken, key, "left_anti").withColumns(
         {
             "nombre": contract.clean_nombre(F.col("nombre")),
@@ -102,7 +110,8 @@ def update_rows(
     Each request is checked for itself and stands or falls alone; ``order`` is its unique number
     and names it in ``rejected``. Of those accepted each field takes its last value. ``campos``
     names the fields a request gives: a field given as null overwrites, one not given stays;
-    documents are replaced whole. Identifiers: see :func:`request_conflicts`.
+    documents are replaced whole. Identifiers are given out as if the requests came one after
+    the other: only accepted ones hold and free them, see :mod:`padron.operators.requests`.
     """
     as_of = as_of.pinned(stored.sparkSession)
     mask = F.col("campos")
@@ -122,18 +131,20 @@ def update_rows(
     invalid = contract.explode_errors(known, "id", order)
     valid = known.where(F.size("errores") == 0).drop("errores")
 
-    # Only identifiers that are given can collide.
-    asked = valid.where(
-        F.arrays_overlap(mask, F.array(*[F.lit(c) for c in model.IDENTIFIERS]))
-    ).select(
-        "id",
-        order,
-        *[F.when(F.array_contains(mask, c), F.col(c)).alias(c) for c in model.IDENTIFIERS],
-    )
+    # Only identifiers that are given can collide, or free what the record had.
+    entries = [
+        F.when(F.array_contains(mask, c), F.struct(F.lit(c).alias("campo"), F.col(c).cast("string").alias("clave")))
+        for c in model.IDENTIFIERS
+    ]
+    events = valid.select(
+        F.col(order).cast("long").alias("orden"), F.col("id").alias("fila"), F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")
+    ).select("orden", "fila", "e.campo", "e.clave")
+    asked_keys = events.where("clave IS NOT NULL").select("campo", "clave").distinct()
+    refused = refusals(events, held(asked_keys, stored), work)
     clashes = work.settle(
-        request_conflicts(asked, stored, order).select(
-            *record(F.col("campo"), F.lit("Identificador no disponible"))
-        ),
+        valid.select("id", order)
+        .join(refused.withColumnRenamed("orden", order), order)
+        .select(*record(F.col("campo"), F.lit("Identificador no disponible"))),
         "clashes",
     )
     accepted = valid.join(clashes.select(order).distinct(), order, "left_anti")

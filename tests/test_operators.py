@@ -12,7 +12,7 @@ from checks.inputs import scratch
 from checks.queries import QUERIES, empty_target
 from padron import model
 from padron.functions.asof import AsOf
-from padron.operators import identifiers, lookup, paging, quality, skew
+from padron.operators import identifiers, lookup, paging, quality, requests, skew
 from padron.plans import maintenance, migration
 from padron.sources import jdbc, tables
 from tests.conftest import SF
@@ -501,3 +501,59 @@ def test_lookup_is_computed_once(spark):
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+def test_requests_equal_a_loop(spark):
+    """Random requests over few values: what is freed, handed on, refused and asked again."""
+    import random
+
+    draw = random.Random(5)
+    events, stored, want = [], [], set()
+    fields = ("cui", "pasaporte")
+    for world in range(60):
+        rows = [world * 10 + i for i in range(4)]
+        values = [f"{world}-{v}" for v in "abcd"]
+        now = {}
+        for f in fields:
+            for row, value in zip(rows, draw.sample(values, 3), strict=False):
+                now[row, f] = value
+                stored.append((row, f, value))
+        for turn in range(draw.choice((3, 8, 25))):
+            order, row = turn * 1000 + world, draw.choice(rows)
+            asked = {f: draw.choice([*values, None]) for f in fields if draw.random() < 0.7}
+            events += [(order, row, f, v) for f, v in asked.items()]
+            refused = [f for f, v in asked.items() if v is not None and any(k == f and o != row and held == v for (o, k), held in now.items())]
+            want |= {(order, f) for f in refused}
+            if not refused:
+                now.update({(row, f): v for f, v in asked.items()})
+    asked = spark.createDataFrame(events, "orden long, fila long, campo string, clave string").repartition(3)
+    held = spark.createDataFrame(stored, "fila long, campo string, clave string")
+    got = {tuple(r) for r in requests.refusals(asked, held, scratch(spark)).collect()}
+    assert len(want) > 200 and got == want
+
+
+def test_a_chain_of_requests_is_decided_to_its_end(spark):
+    """Each takes what the one before has to give up; the last but one finds its value still held."""
+    events = [(i, i, "cui", str(i - 1)) for i in range(1, 13)]
+    stored = [(i, "cui", str(i)) for i in range(1, 12)]
+    asked = spark.createDataFrame(events, "orden long, fila long, campo string, clave string")
+    held = spark.createDataFrame(stored, "fila long, campo string, clave string")
+    assert requests.refusals(asked, held, scratch(spark)).count() == 0
+    backwards = asked.withColumn("orden", 20 - F.col("orden"))
+    assert {r.orden for r in requests.refusals(backwards, held, scratch(spark)).collect()} == set(range(8, 19))
+
+
+def test_only_accepted_requests_hold_and_free(spark):
+    from checks.queries import migrated
+
+    stored = migrated(spark, SF).where("id IN (1, 11, 21)")
+    taken = stored.where("id = 21").first()["pasaporte"]
+    done = maintenance.update_rows(stored, updates(spark, [
+        (1, 1, ["pasaporte", "sexo"], "Z", "NEW1", None),
+        (11, 2, ["pasaporte"], None, "NEW1", None),
+        (21, 3, ["pasaporte"], None, "NEW3", None),
+        (1, 4, ["pasaporte"], None, taken, None),
+    ]), AS_OF, scratch(spark))
+    got = {r["id"]: r["pasaporte"] for r in done.rows.collect()}
+    assert got == {1: taken, 11: "NEW1", 21: "NEW3"}
+    assert {(r["orden"], r["campo"]) for r in done.rejected.collect()} == {(1, "sexo")}
