@@ -16,9 +16,15 @@ pair by pair; more are searched breadth first, which gives a tree and not all pa
 more than ``CROWD`` fingerprints is dealt out once more by 16-bit blocks (of four blocks, one is
 equal where at most three bits differ), so no group has to fit one task.
 
-Near copies (``deduplicate``): shingles of five words and a Jaccard similarity of 0.8. Texts whose
-fingerprints differ in at most ``NEAR_DISTANCE`` bits are candidates, all pairs of them, and the
-sets of their shingles are compared. The distance decides the share of similar pairs found.
+Near copies (``deduplicate``): shingles of five words and a Jaccard similarity of 0.8, on
+fingerprints of ``NEAR_BITS`` bits. Texts with equal sets of shingles are one node. The same program
+groups the bits and allocates thresholds for a sum of ``NEAR_PROBED`` + 1; pairs within so many bits
+meet for certain, and as any of some twenty keys will do, so do nearly all within ``NEAR_DISTANCE``
+bits, which are the candidates. At a key a text is paired with its first few candidates only, in the
+order of a hash; those are verified by their sets of shingles and contracted. Texts with more
+candidates come again in the next round, without those already in their own component and with four
+times as many pairs, until no text has one left. So a large group of copies costs a few pairs a text,
+and every candidate pair of texts that stay apart has been verified.
 
 Nulls and empty texts have fingerprint zero, which links like any other. Rows without an id link
 too, but name no component. Rows that repeat an id are one document where it names a component.
@@ -45,12 +51,21 @@ SEED = 42
 BITS = 64
 DISTANCE = 3
 
-#: For near copies: words of a shingle, bits that may differ, and what verified pairs must reach.
+#: For near copies: words of a shingle, bits of a fingerprint, bits that may differ and bits within
+#: which pairs meet for certain, and what verified pairs must reach.
 NEAR_SHINGLE = 5
-NEAR_DISTANCE = 14
+NEAR_BITS = 256
+NEAR_DISTANCE = 50
+NEAR_PROBED = 20
 SIMILARITY = 0.8
-#: What comparing a pair in memory costs of a shuffled row, where all pairs are wanted.
+#: Groups of bits the program may choose from.
+NEAR_PARTITIONS = (18, 20, 21, 22)
+#: What comparing a pair in memory costs of a shuffled row.
 NEAR_PAIR_COST = 0.002
+#: Pairs of a text at a key in the first round, and how they grow.
+NEAR_PAIRS, NEAR_GROWTH = 4, 4
+#: Texts of a key that are compared with each other at once.
+BLOCK = 256
 
 PARTITIONS = (2, 3, 4)
 #: Estimates of candidates use so many fingerprints, and pairs of them, at most.
@@ -129,12 +144,13 @@ def bit_statistics(distinct: DataFrame) -> tuple[int, np.ndarray]:
 
 def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     """Bits in ``parts`` groups of near-equal size, correlated bits together."""
+    bits = len(both)
     share = np.diag(both) / max(n, 1)
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9))
     related = np.abs(both / max(n, 1) - np.outer(share, share)) / np.outer(spread, spread)
     np.fill_diagonal(related, 0)
-    left, groups = set(range(BITS)), []
-    for size in [len(x) for x in np.array_split(np.arange(BITS), parts)]:
+    left, groups = set(range(bits)), []
+    for size in [len(x) for x in np.array_split(np.arange(bits), parts)]:
         group = [max(left, key=lambda b: (related[b, list(left)].sum(), -b))]
         while len(group) < size:
             group.append(max(left.difference(group), key=lambda b: (related[b, group].sum(), -b)))
@@ -171,20 +187,30 @@ def allocate(costs: list[list[float]], distance: int = DISTANCE) -> tuple[float,
     return best[distance + 1]
 
 
-def search_plan(n: int, both: np.ndarray, sample: np.ndarray, distance: int = DISTANCE, pair_cost: float = PAIR_COST) -> tuple[list[list[int]], list[int]]:
-    """Groups of bits and their thresholds."""
+def search_plan(n: int, both: np.ndarray, sample: np.ndarray) -> tuple[list[list[int]], list[int]]:
+    """Groups of bits and their thresholds; ``sample`` are fingerprints as 64-bit numbers."""
+    bits = np.unpackbits(sample.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return cheapest_plan(n, both, bits, PARTITIONS, DISTANCE, PAIR_COST)
+
+
+def cheapest_plan(
+    n: int, both: np.ndarray, sample: np.ndarray, partitions: tuple[int, ...], distance: int, pair_cost: float
+) -> tuple[list[list[int]], list[int]]:
+    """Groups of bits and their thresholds of least estimated cost; ``sample`` has a row of bits
+    per fingerprint."""
     random = np.random.default_rng(SEED)
     share = np.diag(both) / max(n, 1)
-    pairs = random.integers(0, max(len(sample), 1), (SAMPLE_PAIRS if len(sample) > 1 else 0, 2))
+    pairs = random.integers(0, max(len(sample), 1), (SAMPLE_PAIRS * BITS // len(both) if len(sample) > 1 else 0, 2))
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    differ = (sample[pairs[:, 0]] ^ sample[pairs[:, 1]]) if len(pairs) else np.zeros(0, dtype=np.uint64)
     plans = []
-    for parts in PARTITIONS if distance <= DISTANCE else range(2, distance // 2 + 2):
+    for parts in partitions:
         groups = group_bits(n, both, parts)
         costs = []
         for group in groups:
-            mask = np.uint64(sum(1 << b for b in group))
-            chance = at_most(share[group], np.bitwise_count(differ & mask), distance)
+            own = sample[:, group] if len(sample) else np.zeros((0, len(group)), dtype=np.uint8)
+            parts_of = [pairs[i : i + (1 << 18)] for i in range(0, len(pairs), 1 << 18)]
+            differ = np.concatenate([np.zeros(0, dtype=np.int64), *[(own[p[:, 0]] != own[p[:, 1]]).sum(axis=1) for p in parts_of]])
+            chance = at_most(share[group], differ, distance)
             # More bits than the group has cannot be left out; without rows the fewest masks are best.
             rows = [max(n, 1) * math.comb(len(group), t) if t <= len(group) else math.inf for t in range(distance + 1)]
             costs.append([rows[t] + pair_cost * n * n / 2 * chance[t] for t in range(distance + 1)])
@@ -294,51 +320,17 @@ def linker(crowd: int | None):
     return run
 
 
-def all_pairs(distance: int):
-    """Over rows sorted by key: every pair of fingerprints of a key within ``distance``, a below b."""
-
-    def pairs(fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        block = max(1, (1 << 20) // len(fps))
-        for i in range(0, len(fps) - 1, block):
-            here, there = fps[i : i + block], fps[i + 1 :]
-            x, y = np.nonzero(np.bitwise_count(here[:, None] ^ there[None, :]) <= distance)
-            x, y = here[x[y >= x]], there[y[y >= x]]
-            a, b = np.minimum(x.view(np.int64), y.view(np.int64)), np.maximum(x.view(np.int64), y.view(np.int64))
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[np.ndarray] = []
-        last = None
-        for rows in batches:
-            keys, fps = [rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
-            fps = fps.view(np.uint64)
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for start, stop in zip(cuts, cuts[1:], strict=False):
-                if start == stop:
-                    continue
-                if parts and keys[start] != last:
-                    yield from pairs(np.concatenate(parts))
-                    parts = []
-                last = keys[start]
-                parts.append(fps[start:stop])
-        if parts:
-            yield from pairs(np.concatenate(parts))
-
-    return run
-
-
 def linked(rows: DataFrame, crowd: int | None) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(linker(crowd), "a long, b long, kind int")
 
 
-def planned(distinct: DataFrame, distance: int = DISTANCE, pair_cost: float = PAIR_COST) -> list[int]:
-    """The masks by which fingerprints within ``distance`` meet."""
+def planned(distinct: DataFrame) -> list[int]:
+    """The masks by which fingerprints within ``DISTANCE`` meet."""
     n, both = bit_statistics(distinct)
     # The sample is bounded, in the order of a hash, and only estimates costs.
     chosen = distinct.select("fp").orderBy(F.xxhash64("fp", F.lit(SEED)), "fp").limit(SAMPLE).collect()
     sample = np.array([r.fp for r in chosen], dtype=np.int64).view(np.uint64)
-    return masks(*search_plan(n, both, sample, distance, pair_cost))
+    return masks(*search_plan(n, both, sample))
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -365,31 +357,154 @@ def digest_of() -> Column:
     return F.unhex(F.sha2(text_of().cast("binary"), 256))
 
 
+def wide_majority(hashes: np.ndarray) -> bytes:
+    """``NEAR_BITS`` bits by majority; each shingle's hash is mixed into so many."""
+    total = np.zeros(NEAR_BITS, dtype=np.int64)
+    for i in range(0, len(hashes), 4096):
+        part = hashes[i : i + 4096]
+        for word in range(NEAR_BITS // BITS):
+            x = part + np.uint64((word + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            x ^= x >> np.uint64(31)
+            total[BITS * word : BITS * (word + 1)] += np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), bitorder="little").tobytes()
+
+
 def near_rows(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, digest, fp, n`` of every row: digest of the text, fingerprint, number of distinct shingles."""
+    """``doc_id, digest, node, fp, n`` of every row: digests of the text and of its set of shingles,
+    fingerprint, number of distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            found = [shingles(t, size) for t in rows.column(2).to_pylist()]
-            fps, n = [signed(majority(h)) for h in found], [len(np.unique(h)) for h in found]
+            nodes, fps, sizes = [], [], []
+            for text in rows.column(2).to_pylist():
+                found = np.unique(shingles(text, size))
+                nodes.append(xxhash.xxh3_128_digest(found.tobytes(), SEED))
+                fps.append(wide_majority(found))
+                sizes.append(len(found))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(fps, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "digest", "fp", "n"]
+                [rows.column(0), rows.column(1), pa.array(nodes, pa.binary()), pa.array(fps, pa.binary()), pa.array(sizes, pa.int64())],
+                names=["doc_id", "digest", "node", "fp", "n"],
             )
 
     given = docs.select("doc_id", digest_of().alias("digest"), text_of().cast("binary").alias("text"))
-    return map_batches(given, run, f"doc_id {dict(given.dtypes)['doc_id']}, digest binary, fp long, n long")
+    return map_batches(given, run, f"doc_id {dict(given.dtypes)['doc_id']}, digest binary, node binary, fp binary, n long")
+
+
+def bits_of(fps: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(fps), dtype=np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
+
+
+def wide_plan(nodes: DataFrame) -> list[list[int]]:
+    """The bits kept by each key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros((NEAR_BITS, NEAR_BITS)), 0
+        for rows in batches:
+            if rows.num_rows:
+                bits = bits_of(rows.column(0).to_pylist()).astype(np.float32)
+                total += bits.T @ bits
+                n += len(bits)
+        counts = np.append(total.ravel(), n).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts))), pa.array(counts)], names=["cell", "n"])
+
+    rows = nodes.select("fp").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()
+    counts = np.array([r.n for r in rows], dtype=float) if rows else np.zeros(NEAR_BITS**2 + 1)
+    # The sample is bounded, in the order of a hash, and only estimates costs.
+    chosen = nodes.select("fp").orderBy(F.xxhash64("fp", F.lit(SEED)), "fp").limit(SAMPLE).collect()
+    sample = bits_of([r.fp for r in chosen]) if chosen else np.zeros((0, NEAR_BITS), dtype=np.uint8)
+    groups, thresholds = cheapest_plan(int(counts[-1]), counts[:-1].reshape(NEAR_BITS, NEAR_BITS), sample, NEAR_PARTITIONS, NEAR_PROBED, NEAR_PAIR_COST)
+    return [[b for b in group if b not in out] for group, t in zip(groups, thresholds, strict=True) if t >= 0 for out in combinations(group, t)]
+
+
+def wide_probes(nodes: DataFrame, kept_bits: list[list[int]]) -> DataFrame:
+    """``key, node, fp, n``: a row per node and key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            fps = rows.column(1)
+            bits = bits_of(fps.to_pylist()).astype(np.int64)
+            keys = [(bits[:, kept] << np.arange(len(kept))).sum(axis=1) * len(kept_bits) + i for i, kept in enumerate(kept_bits)]
+            again = pa.array(np.tile(np.arange(rows.num_rows), len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[rows.column(i).take(again) for i in range(3)]], names=["key", "node", "fp", "n"])
+
+    return map_batches(nodes.select("node", "fp", "n"), run, "key long, node binary, fp binary, n long")
+
+
+def pairer(distance: int, similarity: float, most: int):
+    """Over rows sorted by key and order: for each text its first ``most`` candidates of other
+    components (``b`` is the later one), and the keys where a text has more (``a`` null)."""
+
+    def group(key: int, nodes: list[bytes], fps: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> pa.RecordBatch | None:
+        a, b, more = [], [], False
+        for i in range(0, len(fps), BLOCK):
+            here = slice(i, i + BLOCK)
+            found = np.zeros(len(fps[here]), dtype=np.int64)
+            place = np.arange(i, i + len(found))
+            for j in range(0, i + len(found), 2048):
+                there = slice(j, min(j + 2048, i + len(found)))
+                near = np.bitwise_count(fps[here][:, None] ^ fps[there][None, :]).sum(axis=2) <= distance
+                near &= (np.arange(there.start, there.stop)[None, :] < place[:, None]) & (roots[here][:, None] != roots[there][None, :])
+                x, y = sizes[here][:, None], sizes[there][None, :]
+                near &= np.minimum(x, y) >= similarity * np.maximum(x, y)
+                rank = near.cumsum(axis=1) + found[:, None]
+                later, earlier = np.nonzero(near & (rank <= most))
+                b += [nodes[i + k] for k in later.tolist()]
+                a += [nodes[j + k] for k in earlier.tolist()]
+                found += near.sum(axis=1)
+                if (found > most).all():
+                    break
+            more |= bool((found > most).any())
+        if more:
+            a.append(None)
+            b.append(None)
+        if not a:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([key] * len(a), pa.int64())], names=["a", "b", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held)
+            if rows.num_rows > 1:
+                fps = np.frombuffer(b"".join(rows.column(2).to_pylist()), dtype="<u8").reshape(rows.num_rows, -1)
+                roots = rows.column(4).combine_chunks().dictionary_encode().indices.to_numpy()
+                found = group(last, rows.column(1).to_pylist(), fps, rows.column(3).to_numpy(), roots)
+                if found is not None:
+                    yield found
+
+        for rows in batches:
+            keys = rows.column(0).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if start == stop:
+                    continue
+                if held and keys[start] != last:
+                    yield from done()
+                    held = []
+                last = int(keys[start])
+                held.append(rows.slice(start, stop - start))
+        if held:
+            yield from done()
+
+    return run
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``digest, hashes``: the distinct shingles of each wanted text, sorted."""
+    """``node, hashes``: the distinct shingles of each wanted text (``digest, node``), sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             found = [np.unique(shingles(t, size)).tobytes() for t in rows.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.binary())], names=["digest", "hashes"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.binary())], names=["node", "hashes"])
 
-    given = docs.select(digest_of().alias("digest"), text_of().cast("binary").alias("text")).join(wanted, "digest", "left_semi")
-    return map_batches(given, run, "digest binary, hashes binary").dropDuplicates(["digest"])
+    given = docs.select(digest_of().alias("digest"), text_of().cast("binary").alias("text")).join(wanted, "digest")
+    return map_batches(given.select("node", "text"), run, "node binary, hashes binary").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -405,40 +520,50 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             kept = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(kept), rows.column(1).filter(kept)], names=["a", "b"])
 
-    first = pairs.join(sets.select(F.col("digest").alias("a"), F.col("hashes").alias("x")), "a")
-    both = first.join(sets.select(F.col("digest").alias("b"), F.col("hashes").alias("y")), "b")
+    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+    both = first.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
     return map_batches(both.select("a", "b", "x", "y"), run, "a binary, b binary")
 
 
+def near_links(docs: DataFrame, texts: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:
+    """``node, root`` of the nodes that are linked to others; ``texts``: ``node, fp, n, digest``."""
+    keyed = settle(wide_probes(texts, wide_plan(texts)), "near-keyed")
+    order = F.xxhash64("node", F.lit(SEED))
+    most, roots = NEAR_PAIRS, None
+    pairs, sets, links = None, None, None
+    more = lambda all_rows, new: new if all_rows is None else all_rows.unionByName(new)
+    while True:
+        rows = keyed.withColumn("root", F.col("node")) if roots is None else (
+            keyed.join(roots, "node", "left_outer").select("key", "node", "fp", "n", F.coalesce("root", "node").alias("root"))
+        )
+        dealt = rows.withColumn("place", order).repartition("key").sortWithinPartitions("key", "place", "node").select("key", "node", "fp", "n", "root")
+        met = settle(dealt.mapInArrow(pairer(distance, similarity, most), "a binary, b binary, key long"), "near-met")
+        new = met.where("a IS NOT NULL").select("a", "b").distinct()
+        new = settle(new if pairs is None else new.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+        wanted = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
+        wanted = wanted if sets is None else wanted.join(sets.select("node"), "node", "left_anti")
+        wanted = settle(texts.join(wanted, "node", "left_semi").select("digest", "node"), "near-wanted")
+        sets = more(sets, settle(shingle_sets(docs, wanted, size), "near-sets"))
+        pairs = more(pairs, new)
+        links = more(links, settle(verified(new, sets, similarity), "near-links"))
+        roots = components(links)
+        crowded = met.where("a IS NULL").select("key")
+        if crowded.isEmpty():
+            return roots
+        keyed = settle(keyed.join(crowded, "key", "left_semi"), "near-keyed")
+        most *= NEAR_GROWTH
+
+
 def near_classes(docs: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:
     """``doc_id, digest, root`` of every row of ``docs``: texts that are linked share a root.
 
     Texts link when their fingerprints differ in at most ``distance`` bits and the sets of their
-    shingles of ``size`` words are similar. Each text is verified with the least one it may link
-    to; of the other candidates those that are still apart follow.
+    shingles of ``size`` words are similar.
     """
     rows = settle(near_rows(docs, size), "near-rows")
-    texts = settle(rows.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("n").alias("n")), "near-texts")
-    distinct = settle(texts.select("fp").distinct(), "near-distinct")
-    keyed = probes(distinct, planned(distinct, distance, NEAR_PAIR_COST)).repartition("key").sortWithinPartitions("key")
-    met = settle(keyed.mapInArrow(all_pairs(distance), "a long, b long").distinct(), "near-met")
-    one = lambda side: texts.select(F.col("fp").alias(side), F.col("digest").alias(f"d{side}"), F.col("n").alias(f"n{side}"))
-    apart = met.join(one("a"), "a").join(one("b"), "b")
-    alike = one("a").join(one("b"), (F.col("a") == F.col("b")) & (F.col("da") < F.col("db")))
-    columns = ["da", "na", "db", "nb"]
-    # Sets whose sizes differ by more cannot be similar enough.
-    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
-    pairs = apart.select(*columns).union(alike.select(*columns)).where(fits)
-    pairs = settle(pairs.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b")), "near-pairs")
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    sets = settle(shingle_sets(docs, wanted, size), "near-sets")
-    stars = settle(verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity), "near-stars")
-    roots = components(stars)
-    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    left = pairs.join(side("a"), "a", "left_outer").join(side("b"), "b", "left_outer")
-    open_pairs = left.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    roots = components(stars.union(verified(open_pairs, sets, similarity))).withColumnRenamed("node", "digest")
-    return rows.join(roots, "digest", "left_outer").select("doc_id", "digest", F.coalesce("root", "digest").alias("root"))
+    texts = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min("digest").alias("digest"))
+    roots = near_links(docs, settle(texts, "near-texts"), size, distance, similarity)
+    return rows.join(roots, "node", "left_outer").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
 
 def deduplicate(docs: DataFrame, size: int = NEAR_SHINGLE, distance: int = NEAR_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:

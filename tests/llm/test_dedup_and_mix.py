@@ -408,3 +408,59 @@ def test_pipeline_stages(spark, table):
 def test_pipeline_runs(spark, tmp_path):
     assert corpus_pipeline.run(spark, fixtures.SF).count() > 0
     assert corpus_pipeline.run(spark, fixtures.write(fixtures.empty(spark), tmp_path)).count() == 0
+
+
+def test_near_components_equal_brute_force(spark, monkeypatch):
+    """Chains and a large family of near copies, where most pairs lie on both sides of the limit."""
+    random = np.random.default_rng(12)
+    texts = []
+    for family, members in ((0, 70), (1, 20), (2, 5)):
+        base = [f"f{family}w{x}" for x in range(200)]
+        for m in range(members):
+            own = list(base)
+            for x in random.choice(200, int(random.integers(0, 5)), replace=False):
+                own[x] = f"e{family}-{m}-{x}"
+            texts.append(" ".join(own))
+    texts += ["", " ", "lone text", texts[0] + "  ", texts[3].upper()]
+    sets = [sets_of(t.lower()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or (sets[i] | sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                root[find(i)] = find(j)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], fixtures.SCHEMA).repartition(3)
+    for pairs in (simhash.NEAR_PAIRS, 1):
+        monkeypatch.setattr(simhash, "NEAR_PAIRS", pairs)
+        found = simhash.near_classes(docs, simhash.NEAR_SHINGLE, simhash.NEAR_DISTANCE, simhash.SIMILARITY).collect()
+        groups = {}
+        for r in found:
+            groups.setdefault(r.root, set()).add(find(r.doc_id))
+        assert len(found) == len(texts)
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({find(i) for i in range(len(texts))})
+
+
+def test_recall_of_near_copies_at_the_limit(spark):
+    """Of pairs at a similarity of 0.80 to 0.84, at least nine in ten meet at a key and are candidates."""
+    random = np.random.default_rng(13)
+    rows, want = [], set()
+    while len(want) < 300:
+        i = len(rows)
+        words = [f"w{x}" for x in random.integers(0, 10**7, 300)]
+        other = list(words)
+        for x in random.choice(300, int(random.integers(5, 9)), replace=False):
+            other[x] = f"v{i}x{x}"
+        a, b = sets_of(" ".join(words)), sets_of(" ".join(other))
+        if 0.8 <= len(a & b) / len(a | b) < 0.84:
+            rows += [(i, " ".join(words), None, None, None), (i + 1, " ".join(other), None, None, None)]
+            want.add(i)
+    found = simhash.near_classes(spark.createDataFrame(rows, fixtures.SCHEMA), 5, simhash.NEAR_DISTANCE, 0.8).collect()
+    root = {r.doc_id: r.root for r in found}
+    met = sum(root[i] == root[i + 1] for i in want)
+    assert met >= 0.9 * len(want)
+    assert len(set(root.values())) == len(rows) - met
