@@ -1013,13 +1013,15 @@ BODIES["migrate_and_resume"] = (
 )
 
 # Loose text: rows with a value that fits no column, and what the others do among themselves.
-_BAD = f"(id % 211 = 0 OR id % 103 = 0 OR ({BAD_BIRTH}) OR id % 101 = 0)"
+_BAD = f"(id % 211 = 0 OR id % 103 = 0 OR ({BAD_BIRTH}) OR id % 101 = 0 OR (id % 79 = 0 AND depto IS NOT NULL))"
+CTES["copias"] = "SELECT id, CASE WHEN id % 89 = 0 THEN 3 WHEN id % 83 = 0 THEN 2 ELSE 1 END AS n FROM legacy"
 CTES["malas"] = f"""
 SELECT id, CASE WHEN id % 211 = 0 THEN NULL ELSE id END AS id_mysql, expediente,
     CASE WHEN id % 211 = 0 THEN concat('id: x-', id, ' no es int')
         WHEN id % 103 = 0 THEN 'dpi: sin dpi no es bigint'
         WHEN {BAD_BIRTH} THEN concat('nacimiento: ', fecha_defuncion, ' no es date')
-        ELSE 'municipio: sin dato no es int' END AS error
+        WHEN id % 101 = 0 THEN 'municipio: sin dato no es int'
+        ELSE concat('depto: ', CAST(depto + 0.5 AS DOUBLE), ' no es int') END AS error
 FROM legacy WHERE {_BAD}"""
 CTES["rechazos_buenas"] = """
 SELECT id, string_agg(campo || ' duplicado', '; ' ORDER BY campo) AS error
@@ -1032,16 +1034,16 @@ SELECT id FROM (SELECT k.id, d.clave IS NOT NULL
     FROM claves k SEMI JOIN rechazos_buenas USING (id)
     LEFT JOIN (SELECT DISTINCT campo, clave FROM claves ANTI JOIN malas USING (id)
         ANTI JOIN rechazos_buenas USING (id)) d USING (campo, clave)) GROUP BY id HAVING bool_or(malo)"""
+# Rows come in copies; of those of a good row one counts, the others repeat its id.
 _COUNTERS = """
-SELECT (SELECT count(*) FROM {source}) AS total_procesados,
-    (SELECT count(*) FROM {source}) - (SELECT count(*) FROM malas) - (SELECT count(*) FROM {rejected})
-        AS total_exitosos,
-    (SELECT count(*) FROM malas) + (SELECT count(*) FROM {rejected}) AS total_errores,
-    (SELECT count(*) FROM {source} ANTI JOIN malas USING (id) WHERE dpi IS NOT NULL AND cui IS NULL)
-        AS total_advertencias,
-    (SELECT count(*) FROM {source} WHERE repetido) AS expedientes_duplicados,
-    (SELECT count(*) FROM {source} ANTI JOIN malas USING (id) WHERE dpi IS NOT NULL AND cui IS NULL)
-        AS cui_invalidos, {run} AS corrida"""
+SELECT CAST(p AS BIGINT) AS total_procesados, CAST(p - e AS BIGINT) AS total_exitosos, CAST(e AS BIGINT) AS total_errores,
+    CAST(a AS BIGINT) AS total_advertencias, CAST(d AS BIGINT) AS expedientes_duplicados, CAST(a AS BIGINT) AS cui_invalidos, {run} AS corrida
+FROM (SELECT (SELECT coalesce(sum(n), 0) FROM {source} JOIN copias USING (id)) AS p,
+    (SELECT coalesce(sum(n), 0) FROM malas JOIN copias USING (id)) + (SELECT count(*) FROM {rejected})
+        + (SELECT coalesce(sum(n - 1), 0) FROM {source} ANTI JOIN malas USING (id) JOIN copias USING (id)) AS e,
+    (SELECT coalesce(sum(n), 0) FROM {source} ANTI JOIN malas USING (id) JOIN copias USING (id)
+        WHERE dpi IS NOT NULL AND cui IS NULL) AS a,
+    (SELECT coalesce(sum(n), 0) FROM {source} JOIN copias USING (id) WHERE repetido) AS d)"""
 BODIES["migrate_broken"] = (
     _COUNTERS.format(source="mig", rejected="rechazos_buenas", run=1)
     + " UNION ALL "
@@ -1052,14 +1054,18 @@ BODIES["migrate_broken"] = (
     )
 )
 BODIES["migrate_broken_errors"] = """
-SELECT id_mysql, CAST(expediente AS VARCHAR) AS expediente, error, 'ValueError' AS tipo FROM malas
-UNION ALL SELECT m.id, m.expediente, r.error, 'COMMIT_ERROR' FROM rechazos_buenas r JOIN mig m USING (id)"""
+SELECT id_mysql, CAST(expediente AS VARCHAR) AS expediente, error, 'ValueError' AS tipo
+FROM (SELECT m.*, unnest(range(n)) FROM malas m JOIN copias USING (id))
+UNION ALL SELECT m.id, m.expediente, r.error, 'COMMIT_ERROR' FROM rechazos_buenas r JOIN mig m USING (id)
+UNION ALL SELECT id, expediente, 'id duplicado', 'COMMIT_ERROR'
+FROM (SELECT m.id, m.expediente, unnest(range(n - 1)) FROM mig m ANTI JOIN malas USING (id) JOIN copias USING (id))"""
 BODIES["batch_summary_broken"] = """
-SELECT lote, count(*) AS procesados, count(*) FILTER (WHERE NOT malo) AS exitosos,
-    count(*) FILTER (WHERE malo) AS errores
+SELECT lote, CAST(sum(n) AS BIGINT) AS procesados, CAST(sum(n - fallos) AS BIGINT) AS exitosos, CAST(sum(fallos) AS BIGINT) AS errores
 FROM (SELECT CASE WHEN id % 211 = 0 THEN 0
-        ELSE (row_number() OVER (PARTITION BY id % 211 = 0 ORDER BY id) - 1) // 100 + 1 END AS lote,
-    id IN (SELECT id FROM malas) OR id IN (SELECT id FROM rechazos_buenas) AS malo FROM mig)
+        ELSE (row_number() OVER (PARTITION BY id % 211 = 0 ORDER BY id) - 1) // 100 + 1 END AS lote, n,
+    CASE WHEN id IN (SELECT id FROM malas) THEN n
+        ELSE n - 1 + CASE WHEN id IN (SELECT id FROM rechazos_buenas) THEN 1 ELSE 0 END END AS fallos
+    FROM mig JOIN copias USING (id))
 GROUP BY lote"""
 BODIES["slice_positions"] = """
 SELECT * FROM (SELECT row_number() OVER (ORDER BY id) - 1 AS posicion, CAST(id * 97 AS INT) AS id,

@@ -858,13 +858,20 @@ def second_run(spark, sf) -> migration.Migration:
 
 
 def broken_text(spark, sf) -> DataFrame:
-    """Loose text with bad ids, numbers and dates among it."""
-    return raw_text(spark, sf).withColumns(
+    """Loose values with bad ids, numbers and dates among them, fractions where whole numbers
+    belong, and rows that come two or three times, equal or with another occupation."""
+    rows = raw_text(spark, sf)
+    n = c("id").cast("int")
+    again = F.when(n % 89 == 0, F.array(F.lit(""), F.lit(""), F.lit("~"))).when(n % 83 == 0, F.array(F.lit(""), F.lit("~")))
+    each = rows.withColumn("_mark", F.explode(F.coalesce(again, F.array(F.lit("")))))
+    return each.withColumns(
         {
-            "dpi": F.when(c("id").cast("int") % 103 == 0, F.lit("sin dpi")).otherwise(c("dpi")),
-            "id": F.when(c("id").cast("int") % 211 == 0, F.concat(F.lit("x-"), c("id"))).otherwise(c("id")),
+            "dpi": F.when(n % 103 == 0, F.lit("sin dpi")).otherwise(c("dpi")),
+            "ocupacion": F.when(c("_mark") != "", F.concat(F.coalesce("ocupacion", F.lit("")), "_mark")).otherwise(c("ocupacion")),
+            "depto": c("depto").cast("double") + F.when(n % 79 == 0, F.lit(0.5)).otherwise(F.lit(0.0)),
+            "id": F.when(n % 211 == 0, F.concat(F.lit("x-"), c("id"))).otherwise(c("id")),
         }
-    )
+    ).drop("_mark")
 
 
 @query

@@ -74,8 +74,10 @@ def held(keys: DataFrame, stored: DataFrame) -> DataFrame:
     """Long rows of ``stored`` whose value is one of ``keys`` (distinct values).
 
     The values asked for come first: what is aggregated afterwards grows with them and not with
-    the table.
+    the table. ``stored`` may be a stored index in place of the rows (``operators.keyindex``).
     """
+    if hasattr(stored, "held"):
+        return stored.held(keys)
     return identifier_rows(stored).join(keys.select(*KEY), list(KEY), "left_semi")
 
 

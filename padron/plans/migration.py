@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType
 
 from padron import model
 from padron.functions import documents as D
@@ -17,7 +18,7 @@ from padron.operators.identifiers import load_conflicts
 from padron.operators.paging import row_count, slice_rows
 from padron.operators.quality import check_violations, source_check
 from padron.operators.skew import dense_index
-from padron.sources.tables import Workspace, append_target, scan_target
+from padron.sources.tables import OpenRun, Workspace, append_target, scan_target
 
 REPORT_ROWS = 10
 BATCH_SIZE = 100
@@ -116,6 +117,9 @@ def coerce(raw: DataFrame) -> DataFrame:
     for f in model.LEGACY_SCHEMA.fields:
         value, given = F.col(f.name), raw.schema[f.name]
         typed = value.try_cast(f.dataType)
+        if isinstance(given.dataType, FractionalType) and isinstance(f.dataType, IntegralType):
+            # A cast cuts fractions off; such a value does not fit.
+            typed = F.when(typed.cast(given.dataType) == value, typed)
         kept.append(typed.alias(f.name))
         if given.nullable and not f.nullable:
             problems.append(F.when(value.isNull(), F.lit(f"{f.name}: falta el valor")))
@@ -142,6 +146,30 @@ def transform_errors(coerced: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
+def repeated_ids(rows: DataFrame) -> DataFrame:
+    """Rows whose id another row has, too, without the one that stays.
+
+    The least in the order of all columns stays; ``_fila`` (unique) settles equal rows. Only rows
+    of repeated ids are compared.
+    """
+    several = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    mine = rows.join(several, "id", "left_semi")
+    order = F.struct(*[c for c in rows.columns if c not in ("id", "_fila")], "_fila")
+    stay = mine.groupBy("id").agg(F.min(order).getField("_fila").alias("_fila")).select("_fila")
+    return mine.join(stay, "_fila", "left_anti")
+
+
+def repeat_errors(repeats: DataFrame, as_of: AsOf) -> DataFrame:
+    """Error records of rows that repeat an id."""
+    return repeats.select(
+        F.col("id").alias("id_mysql"),
+        N.normalize_expediente(F.col("expediente"), F.col("id")).alias("expediente"),
+        F.lit("id duplicado").alias("error"),
+        F.lit("COMMIT_ERROR").alias("tipo"),
+        as_of.iso.alias("timestamp"),
+    )
+
+
 def load_errors(rows: DataFrame, target: DataFrame, as_of: AsOf) -> DataFrame:
     """Error records of the transformed rows the target would refuse, one per row.
 
@@ -204,15 +232,22 @@ def gate_report(legacy: DataFrame, as_of: AsOf) -> DataFrame:
 class Migration:
     """The frames of one run: what was read, what fails, what gets loaded.
 
-    ``source`` (typed rows, with ``_error``) and ``rejects`` are written tables, so the source
-    system is read once; the others are lazy and follow from these two.
+    ``source`` (typed rows, with ``_error`` and a number ``_fila``), ``refused`` (rows that break
+    a rule of the target) and ``repeats`` (rows whose id another row has) are written tables, so
+    the source system is read once; the others are lazy and follow from these.
     """
 
     source: DataFrame
     loadable: DataFrame
     failures: DataFrame
     warnings: DataFrame
-    rejects: DataFrame
+    refused: DataFrame
+    repeats: DataFrame
+    as_of: AsOf
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.refused.unionByName(repeat_errors(self.repeats, self.as_of))
 
     @property
     def errors(self) -> DataFrame:
@@ -230,21 +265,26 @@ def plan(
 ) -> Migration:
     """Migration of every row of ``legacy`` into ``target``.
 
-    The source is read once: its rows are typed and written to ``work``. The identifiers alone
-    then find the rows the target would refuse, which are written as well.
+    The source is read once: its rows are typed and written to ``work``. Of rows that share an id
+    one stays; the others hold no identifiers. The identifiers alone then find the rows the target
+    would refuse, which are written as well.
     """
     as_of = as_of.pinned(legacy.sparkSession)
-    typed = work.settle(coerce(legacy), "source")
+    typed = work.settle(coerce(legacy).withColumn("_fila", F.monotonically_increasing_id()), "source")
     good = typed.where(F.col("_error").isNull()).drop("_error")
-    rejects = work.settle(load_errors(transform(good, as_of, zone), target, as_of), "rejects")
+    repeats = work.settle(repeated_ids(good), "repeats")
+    single = good.join(repeats.select("_fila"), "_fila", "left_anti")
+    refused = work.settle(load_errors(transform(single, as_of, zone), target, as_of), "rejects")
     # Rejects leave before the transform, while the rows are flat.
-    kept = good.join(rejects.select(F.col("id_mysql").alias("id")), "id", "left_anti")
+    kept = single.join(refused.select(F.col("id_mysql").alias("id")), "id", "left_anti")
     return Migration(
         source=typed,
         loadable=transform(kept, as_of, zone),
         failures=transform_errors(typed, as_of),
         warnings=warnings(good, as_of),
-        rejects=rejects,
+        refused=refused,
+        repeats=repeats,
+        as_of=as_of,
     )
 
 
@@ -324,27 +364,36 @@ def run(
     """Migrate what is pending: append it to ``target_path``, then keep errors, warnings, flags
     and counters as tables below ``log_path``. Returns the counters.
 
-    The counters are taken from the target after the append. A run that failed can be repeated
-    with the same paths: what it loaded is not pending any more, and its logs are replaced.
+    The plan (typed source and rejects) is written beside the logs, to ``<log_path>.open``, before
+    anything is loaded, and removed when the logs are complete. A run that failed anywhere can be
+    repeated with the same paths: it goes on with the plan it finds, loads what is not in the
+    target yet, and writes all logs of the first attempt, its counters included. Rows that came
+    to the source meanwhile wait for the next run.
     """
     spark = legacy.sparkSession
     as_of = as_of.pinned(spark)
-    with Workspace(spark) as work:
-        todo = plan(pending(legacy, target), target, as_of, work, zone)
-        append_target(assign_ids(todo.loadable, target), target_path)
-        after = scan_target(spark, target_path)
-        typed = todo.source.drop("_error")
-        logs = {
-            "failures": todo.failures,
-            "warnings": todo.warnings,
-            "rejects": todo.rejects,
-            "flags": source_gate(typed, as_of).where(~F.col("es_valido")).select("id", "errores"),
-            "origin": gate_report(typed, as_of),
-            "stats": migration_stats(todo, loaded(todo, after)),
-        }
-        for name, frame in logs.items():
-            frame.write.mode("overwrite").parquet(f"{log_path}/{name}")
-        schema = logs["stats"].schema
+    work = OpenRun(spark, f"{log_path.rstrip('/')}.open")
+    resumed = work.sealed
+    todo = plan(pending(legacy, target), target, as_of, work, zone)
+    work.seal()
+    rows = todo.loadable
+    if resumed:
+        rows = rows.join(loaded(todo, scan_target(spark, target_path)), "id", "left_anti")
+    append_target(assign_ids(rows, target), target_path)
+    after = scan_target(spark, target_path)
+    typed = todo.source.drop("_error", "_fila")
+    logs = {
+        "failures": todo.failures,
+        "warnings": todo.warnings,
+        "rejects": todo.rejects,
+        "flags": source_gate(typed, as_of).where(~F.col("es_valido")).select("id", "errores"),
+        "origin": gate_report(typed, as_of),
+        "stats": migration_stats(todo, loaded(todo, after)),
+    }
+    for name, frame in logs.items():
+        frame.write.mode("overwrite").parquet(f"{log_path}/{name}")
+    schema = logs["stats"].schema
+    work.close()
     return spark.read.schema(schema).parquet(f"{log_path}/stats")
 
 
@@ -378,23 +427,26 @@ def migration_stats(run: Migration, done: DataFrame | None = None) -> DataFrame:
 def batch_summary(run: Migration, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Processed, loaded and failed rows of each batch of consecutive ids.
 
-    Rows without a usable id are batch 0: they failed, and have no place in the order.
+    Rows that share an id are in the batch of that id. Rows without a usable id are batch 0: they
+    failed, and have no place in the order.
     """
-    failed = run.errors.select(F.col("id_mysql").alias("id")).distinct()
-    ids = run.source.select("id")
-    numbered = dense_index(ids.where("id IS NOT NULL"), "id", "_index").select(
-        "id", F.expr(f"_index div {batch_size} + 1").alias("lote")
+    known = run.source.where("id IS NOT NULL").groupBy("id").agg(
+        F.count("*").alias("procesados"), F.count("_error").alias("_failed")
+    )
+    lost = run.rejects.groupBy(F.col("id_mysql").alias("id")).agg(F.count("*").alias("_lost"))
+    per_id = known.join(lost, "id", "left_outer").select(
+        "id", "procesados", (F.col("_failed") + F.coalesce("_lost", F.lit(0))).alias("errores")
+    )
+    numbered = dense_index(per_id, "id", "_index").withColumn("lote", F.expr(f"_index div {batch_size} + 1"))
+    nowhere = run.source.where("id IS NULL").select(
+        F.lit(0).cast("long").alias("lote"), F.lit(1).cast("long").alias("procesados"), F.lit(1).cast("long").alias("errores")
     )
-    lost = ids.where("id IS NULL").select("id", F.lit(0).cast("long").alias("lote"))
     return (
-        numbered.join(failed.withColumn("_failed", F.lit(True)), "id", "left_outer")
-        .unionByName(lost.withColumn("_failed", F.lit(True)))
+        numbered.select("lote", "procesados", "errores")
+        .unionByName(nowhere)
         .groupBy("lote")
-        .agg(
-            F.count("*").alias("procesados"),
-            F.count_if(F.col("_failed").isNull()).alias("exitosos"),
-            F.count_if(F.col("_failed").isNotNull()).alias("errores"),
-        )
+        .agg(F.sum("procesados").alias("procesados"), F.sum("errores").alias("errores"))
+        .select("lote", "procesados", (F.col("procesados") - F.col("errores")).alias("exitosos"), "errores")
     )
 
 

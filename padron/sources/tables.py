@@ -122,3 +122,29 @@ class Workspace:
 
     def __exit__(self, *problem) -> None:
         self.close()
+
+
+class OpenRun(Workspace):
+    """Tables of a run that stay until its logs are complete, so that a repeat goes on with them.
+
+    Until ``seal`` tables are written anew; afterwards ``settle`` finds them as they are. A repeat
+    after a failure thus has the plan of the first attempt, whatever was loaded meanwhile.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/sealed/_SUCCESS")
+        self.sealed = mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+    def folder(self, name: str) -> str:
+        return f"{self.path}/{name}"
+
+    def settle(self, rows: DataFrame, name: str) -> DataFrame:
+        if not self.sealed:
+            rows.write.mode("overwrite").parquet(self.folder(name))
+        return self.spark.read.schema(rows.schema).parquet(self.folder(name))
+
+    def seal(self) -> None:
+        if not self.sealed:
+            self.spark.range(1).write.mode("overwrite").parquet(self.folder("sealed"))

@@ -557,3 +557,45 @@ def test_only_accepted_requests_hold_and_free(spark):
     got = {r["id"]: r["pasaporte"] for r in done.rows.collect()}
     assert got == {1: taken, 11: "NEW1", 21: "NEW3"}
     assert {(r["orden"], r["campo"]) for r in done.rejected.collect()} == {(1, "sexo")}
+
+
+def test_counters_survive_a_failed_log(spark, tmp_path, monkeypatch):
+    """The append succeeds, a log does not: the repeat loads nothing twice and counts the first attempt."""
+    from checks.inputs import legacy
+
+    path, log = str(tmp_path / "target"), str(tmp_path / "log")
+    rows = legacy(spark, SF)
+    other = str(tmp_path / "other")
+    for place in (path, other):
+        tables.append_target(spark.createDataFrame([], model.TARGET_SCHEMA), place)
+    whole = migration.run(rows, tables.scan_target(spark, other), other, str(tmp_path / "otherlog"), AS_OF).first()
+    with monkeypatch.context() as broken:
+        def fails(*_):
+            raise OSError("no log today")
+        broken.setattr(migration, "gate_report", fails)
+        with pytest.raises(OSError):
+            migration.run(rows, tables.scan_target(spark, path), path, log, AS_OF)
+    loaded = tables.scan_target(spark, path).count()
+    assert loaded == whole["total_exitosos"] > 0
+    again = migration.run(rows, tables.scan_target(spark, path), path, log, AS_OF).first()
+    assert again == whole and tables.scan_target(spark, path).count() == loaded
+    assert spark.read.parquet(f"{log}/warnings").count() == whole["total_advertencias"]
+    assert not os.path.exists(f"{log}.open")
+    assert migration.run(rows, tables.scan_target(spark, path), path, log, AS_OF).first()["total_exitosos"] == 0
+
+
+def test_repeated_ids_and_fractions(spark):
+    from checks.inputs import legacy
+
+    base = legacy(spark, SF).where("id % 7 = 0 AND id < 300").withColumn("exp_madre", F.col("exp_madre").cast("double"))
+    one = base.where("id = 21")
+    other = one.withColumn("ocupacion", F.lit("~"))
+    loose = base.unionByName(one).unionByName(other).unionByName(other).withColumn(
+        "exp_madre", F.when(F.col("id") == 28, F.lit(3.7)).otherwise(F.col("exp_madre")))
+    run = migration.plan(loose, spark.createDataFrame([], model.TARGET_SCHEMA), AS_OF, scratch(spark))
+    kept = run.loadable.where("id = 21").collect()
+    assert len(kept) == 1 and kept[0]["datos_extra"]["socioeconomicos"]["ocupacion"] != "~"
+    found = [(r.id_mysql, r.error) for r in run.errors.where("id_mysql IN (21, 28)").collect()]
+    assert sorted(found) == [(21, "id duplicado")] * 3 + [(28, "exp_madre: 3.7 no es int")]
+    stats = migration.migration_stats(run).first()
+    assert stats["total_procesados"] == loose.count() == stats["total_exitosos"] + stats["total_errores"]
