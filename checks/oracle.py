@@ -1067,6 +1067,16 @@ FROM (SELECT CASE WHEN id % 211 = 0 THEN 0
         ELSE n - 1 + CASE WHEN id IN (SELECT id FROM rechazos_buenas) THEN 1 ELSE 0 END END AS fallos
     FROM mig JOIN copias USING (id))
 GROUP BY lote"""
+CTES["vivas"] = "SELECT * FROM cargadas WHERE id % 13 <> 0 OR id % 39 = 0"
+BODIES["identifier_index"] = """
+SELECT fila, EXISTS (SELECT 1 FROM vivas m WHERE m.expediente = c.expediente AND c.expediente <> '')
+    OR EXISTS (SELECT 1 FROM vivas m WHERE m.cui = c.cui AND c.cui <> 0)
+    OR EXISTS (SELECT 1 FROM vivas m WHERE m.pasaporte = c.pasaporte AND c.pasaporte <> '') AS existe
+FROM candidatos c"""
+BODIES["migrate_stream"] = f"SELECT CAST(0 AS BIGINT) AS lote, * FROM ({BODIES['migration_stats']})"
+BODIES["refresh_changed"] = """
+SELECT id, expediente, cui, pasaporte, CASE WHEN id % 6 = 1 THEN 'Nueva' ELSE primer_nombre END AS primer_nombre
+FROM cargadas"""
 BODIES["slice_positions"] = """
 SELECT * FROM (SELECT row_number() OVER (ORDER BY id) - 1 AS posicion, CAST(id * 97 AS INT) AS id,
     CASE WHEN posicion BETWEEN 600 AND 749 THEN 'cerca'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,8 @@ from padron import model
 from padron.functions import contract, derived, documents, normalize, rules
 from padron.functions.asof import AsOf
 from padron.operators import identifiers, lookup, paging, quality, stats
-from padron.plans import maintenance, migration
+from padron.operators.keyindex import build_index
+from padron.plans import maintenance, migration, stream
 from padron.sources import tables
 
 AS_OF = AsOf.at("2024-06-30")
@@ -645,6 +646,18 @@ def identifier_exists(spark, sf):
     return identifiers.identifier_exists(candidates(spark, sf), migrated(spark, sf), "fila")
 
 
+@query
+def identifier_index(spark, sf):
+    """Requests against a stored index: loaded in two turns, then rows deleted and some given back."""
+    rows, work = loaded(spark, sf), scratch(spark)
+    index = build_index(rows.where("id % 2 = 0"), f"claves_{uuid.uuid4().hex}", work.folder("index"), buckets=8)
+    index.add(rows.where("id % 2 = 1"), 1)
+    gone = rows.where("id % 13 = 0")
+    index.remove(gone, 2)
+    index.add(gone.where("id % 39 = 0"), 3)
+    return identifiers.identifier_exists(candidates(spark, sf), index, "fila")
+
+
 @query
 def identifiers_available(spark, sf):
     """Every stored record asks for its own identifiers again, as an update would."""
@@ -960,6 +973,35 @@ def resume(spark, sf):
     return migration.pending(legacy(spark, sf), stored(spark, sf)).select("id", "expediente")
 
 
+@query
+def migrate_stream(spark, sf):
+    """The written files as a stream: one batch, then one without anything new. Its counters."""
+    folder = scratch(spark).folder("stream")
+    source, target = f"{folder}/source", f"{folder}/target"
+    legacy(spark, sf).write.parquet(source)
+    tables.append_target(empty_target(spark), target)
+    for _ in range(2):
+        done = stream.load_stream(spark, source, target, f"{folder}/logs", f"{folder}/checkpoint", AS_OF)
+    return done
+
+
+@query
+def refresh_changed(spark, sf):
+    """A full load, then a feed with two later versions of some rows: the second snapshot."""
+    folder, rows = scratch(spark).folder("refresh"), legacy(spark, sf)
+    work = scratch(spark)
+    first, _ = stream.refresh(rows, empty_target(spark), AS_OF, work, None)
+    first = work.settle(first, "snapshot")
+    stream.store_watermark(rows, folder)
+    since = stream.watermark(spark, folder)
+    later = [(n, F.lit(since + timedelta(hours=h))) for n, h in (("Vieja", 1), ("Nueva", 2))]
+    feed = rows
+    for name, moment in later:
+        feed = feed.unionByName(rows.where("id % 6 = 1").withColumns({"nombre": F.lit(name), "update_at": moment}))
+    second, _ = stream.refresh(feed, first, AS_OF, work, since)
+    return second.select("id", "expediente", "cui", "pasaporte", c("nombre")["primer_nombre"].alias("primer_nombre"))
+
+
 # --------------------------------------------------------------------------- writes
 
 
