@@ -41,14 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
-def settle(rows: DataFrame, name: str) -> DataFrame:
+def settle(rows: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     Cuts the lineage, so that nothing is computed again for a second use or a lost executor.
     The files stay until whoever owns the shared folder removes them.
     """
     path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.option("compression", compression).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -422,9 +422,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, runs (removed, start and end), kept (binary)."""
     texts, parts = stored(docs)
     asked = positions(texts.select("part", "row_no", "doc_id", "text"), parts)
-    found = settle(asked.repartition("seed").sortWithinPartitions("seed", "around", "doc_id").mapInArrow(rerank, OPEN), "reranked")
+    found = settle(asked.repartition("seed").sortWithinPartitions("seed", "around", "doc_id").mapInArrow(rerank, OPEN), "reranked", "zstd")
     open_ = with_surroundings(texts, found.where("NOT covered"))
-    compared = settle(open_.repartition("seed").sortWithinPartitions("seed").mapInArrow(comparer(CROWD), COMPARED), "compared")
+    compared = settle(open_.repartition("seed").sortWithinPartitions("seed").mapInArrow(comparer(CROWD), COMPARED), "compared", "zstd")
     crowded = compared.where("crowded").select("seed", "rank", "doc_id", "row_no", "first")
     more = crowded.repartition("seed", "rank").sortWithinPartitions("seed", "rank", "doc_id").mapInArrow(repeated, "row_no long, first long, last long")
     first = F.shiftright("place", 6)
