@@ -597,6 +597,7 @@ SEARCH = (
     "OR segundo_apellido ILIKE '%pérez%') AND sexo = 'M' AND estado = 'V' "
     "AND nacimiento BETWEEN DATE '1940-01-01' AND DATE '2015-12-31'"
 )
+NAMED = "(primer_nombre ILIKE '{0}' OR segundo_nombre ILIKE '{0}' OR otros_nombres ILIKE '{0}') AND (primer_apellido ILIKE '{1}' OR segundo_apellido ILIKE '{1}')"
 MINORS = f"nacimiento BETWEEN DATE '2006-06-30' AND {AS_OF}"
 STATS = """
 SELECT (SELECT count(*) FROM {source}) AS total_procesados,
@@ -900,6 +901,19 @@ FROM mig""",
         "ILIKE '%garcía%'",
         "ORDER BY id LIMIT 20",
     ),
+    "search_text_index": " UNION ALL ".join(
+        f"SELECT {BRIEF}, '{name}' AS pedido FROM resp WHERE {where}"
+        for name, where in {
+            "nombres": NAMED.format("%JUAN%", "%pérez%"),
+            "comodin": NAMED.format("%mar%a%", "%garc_a%") + " AND sexo = 'F'",
+            "corto": "expediente ILIKE '%12%' AND (primer_apellido ILIKE '%ez%' OR segundo_apellido ILIKE '%ez%')",
+        }.items()
+    ),
+    "search_nombre_text_index": brief(
+        "concat_ws(chr(10), primer_nombre, segundo_nombre, primer_apellido, segundo_apellido) "
+        "ILIKE '%garcía%'",
+        "ORDER BY id LIMIT 20",
+    ),
     "fallecidos": brief("estado = 'F'"),
     "por_sexo": brief("sexo = 'NF'"),
     "por_rango_edad": brief("nacimiento BETWEEN DATE '1983-06-30' AND DATE '2006-06-30'"),
@@ -1098,6 +1112,7 @@ BODIES["es_gemelo_type"] = (
 CTES["resp_cargadas"] = CTES["resp"].replace("FROM mig", "FROM cargadas")
 LOADED = (
     "by_id by_ids exists_id by_expediente by_cui by_pasaporte search search_all search_nombre_completo "
+    "search_text_index search_nombre_text_index "
     "fallecidos por_sexo por_rango_edad menores menores_page sin_cui expedientes_duplicados migrados "
     "list_page list_page_deep paginate count estadisticas total_menores total_fallecidos total_sin_cui "
     "export_target enrich_response response_conformance"

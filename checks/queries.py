@@ -15,6 +15,7 @@ from padron.functions import contract, derived, documents, normalize, rules
 from padron.functions.asof import AsOf
 from padron.operators import identifiers, lookup, paging, quality, stats
 from padron.operators.keyindex import build_index
+from padron.operators.textindex import build_text_index
 from padron.plans import maintenance, migration, stream
 from padron.sources import tables
 
@@ -718,6 +719,11 @@ SEARCH = lookup.SearchParams(
 )
 
 
+SEARCH_NAMES = lookup.SearchParams(nombre="JUAN", apellido="pérez")
+SEARCH_WILDCARD = lookup.SearchParams(nombre="mar%a", apellido="garc_a", sexo="F")
+SEARCH_SHORT = lookup.SearchParams(expediente="12", apellido="ez")
+
+
 @query
 def search(spark, sf):
     return brief_page(lookup.search_page(loaded(spark, sf), SEARCH))
@@ -733,6 +739,28 @@ def search_nombre_completo(spark, sf):
     return brief(lookup.search_nombre_completo(loaded(spark, sf), "garcía"))
 
 
+def text_index(spark, rows):
+    """Built in two turns."""
+    index = build_text_index(rows.where("id % 2 = 0"), f"textos_{uuid.uuid4().hex}", scratch(spark).folder("texts"), buckets=8)
+    index.add(rows.where("id % 2 = 1"))
+    return index
+
+
+@query
+def search_text_index(spark, sf):
+    """Forms with texts long enough for the index, one with a wildcard, one with a text too short."""
+    rows = loaded(spark, sf)
+    index = text_index(spark, rows)
+    asked = lambda name, form: brief(index.search(rows, form)).withColumn("pedido", F.lit(name))
+    return asked("nombres", SEARCH_NAMES).unionByName(asked("comodin", SEARCH_WILDCARD)).unionByName(asked("corto", SEARCH_SHORT))
+
+
+@query
+def search_nombre_text_index(spark, sf):
+    rows = loaded(spark, sf)
+    return brief(text_index(spark, rows).search_nombre_completo(rows, "garcía"))
+
+
 @query
 def fallecidos(spark, sf):
     return brief(lookup.fallecidos(loaded(spark, sf)))
