@@ -871,6 +871,17 @@ FROM (SELECT id, 'exp_madre' AS campo, 'madre' AS quien, exp_madre AS valor FROM
     UNION ALL SELECT id, 'exp_ref', 'referencia', exp_ref FROM legacy)
 WHERE valor <> 0
     AND valor NOT IN (SELECT expediente FROM legacy WHERE expediente IS NOT NULL)""",
+    "mother_chains": """
+SELECT * FROM (WITH RECURSIVE dado AS (SELECT expediente::BIGINT AS hijo, coalesce(exp_madre, CASE WHEN expediente % 1000 < 20 THEN expediente + CASE WHEN expediente % 20 = 19 THEN -19 ELSE 1 END
+        WHEN expediente % 7 > 0 THEN expediente - expediente % 7 - 1 + expediente % 2 END)::BIGINT AS madre FROM legacy),
+paso AS (SELECT hijo, min(madre) AS madre FROM dado WHERE hijo <> 0 AND madre <> 0 GROUP BY hijo),
+camino AS (SELECT hijo, [hijo] AS visto, madre AS a FROM paso
+    UNION ALL SELECT c.hijo, list_append(visto, c.a), p.madre FROM camino c JOIN paso p ON p.hijo = c.a WHERE NOT list_contains(visto, c.a)),
+fin AS (SELECT hijo, arg_max(visto, len(visto)) AS visto, arg_max(a, len(visto)) AS a FROM camino GROUP BY hijo)
+SELECT hijo AS expediente, CASE WHEN NOT ciclo THEN a END AS raiz, CASE WHEN NOT ciclo THEN len(visto) END AS pasos,
+    CASE WHEN NOT ciclo THEN a IN (SELECT hijo FROM dado WHERE hijo <> 0) END AS raiz_existe,
+    CASE WHEN ciclo THEN list_min(visto[list_position(visto, a):]) END AS ciclo
+FROM (SELECT *, list_contains(visto, a) AS ciclo FROM fin))""",
     "unique_violations": "SELECT id, campo, clave, primera FROM primeras WHERE id > primera",
     "check_violations": """
 SELECT fila AS id, 'check_sexo' AS restriccion FROM candidatos WHERE sexo NOT IN ('M', 'F', 'NF')

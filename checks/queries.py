@@ -13,7 +13,7 @@ from checks.inputs import PARTS, candidates, legacy, scratch, soiled, table, upd
 from padron import model
 from padron.functions import contract, derived, documents, normalize, rules
 from padron.functions.asof import AsOf
-from padron.operators import identifiers, lookup, paging, quality, stats
+from padron.operators import chains, identifiers, lookup, paging, quality, stats
 from padron.operators.keyindex import build_index
 from padron.operators.textindex import build_text_index
 from padron.plans import maintenance, migration, stream
@@ -630,6 +630,15 @@ def referential_integrity(spark, sf):
     return quality.referential_integrity(legacy(spark, sf))
 
 
+@query
+def mother_chains(spark, sf):
+    """Besides those of the table, every record refers to a file further down, some in circles."""
+    rows = legacy(spark, sf)
+    number = F.col("expediente")
+    further = F.when(number % 1000 < 20, number + 20 - F.when(number % 20 == 19, 39).otherwise(19)).when(number % 7 > 0, number - number % 7 - 1 + number % 2)
+    return chains.chains(rows.withColumn("exp_madre", F.coalesce("exp_madre", further)), scratch(spark))
+
+
 @query
 def unique_violations(spark, sf):
     return identifiers.unique_violations(migrated(spark, sf))

@@ -2,11 +2,12 @@
 
 A file number points at the mother's file number of its records (the least, where they differ).
 Pointers are doubled: in each round every pointer still on its way takes over where its target
-points, so a chain of n files takes about log2(n) rounds, and only files still on their way are
-joined. Files on a cycle, or on the way into one, never end. They are what is left when a round
-neither ends a chain nor finds a smaller number on the way; each then names its cycle by its least
-number. Each round is a written table. A file that a large part of all references point at is
-joined by broadcast (``lookup_join``), so that it is no hot key.
+points, so a chain of n files takes about log2(n) rounds, and only files still on their way move.
+Files on a cycle, or on the way into one, never end: as long as another is on its way, each round
+ends one, so after a round that ends none only they are left. Once the pointers span as many
+references as there are such files, every target lies on its cycle and its own way is all of it,
+which gives the cycle's least number. Each round is a written table. A file that a large part of
+all references point at is joined by broadcast (``lookup_join``), so that it is no hot key.
 """
 
 from __future__ import annotations
@@ -48,37 +49,24 @@ def chains(legacy: DataFrame, work: Workspace) -> DataFrame:
     ends = links.groupBy("madre").agg(F.count("*").alias("n")).join(starts, F.col("madre") == F.col("_h"), "left_outer")
     first = lookup_join(links, ends.select("madre", F.col("_h").isNull().alias("fin"), "n"), ["madre"], "n")
     first = work.settle(first.select("hijo", F.col("madre").alias("a"), F.lit(1).cast("long").alias("pasos"), F.col("hijo").alias("menor"), "fin"), "pointers")
-    done, moving = [first.where("fin")], first.where("NOT fin")
-    pointers = first
-    cyclic = moving
-    for _ in range(MAX_ROUNDS):
+    done, moving = first.where("fin"), first.where("NOT fin")
+    for spanned in (1 << k for k in range(1, MAX_ROUNDS)):
         if moving.isEmpty():
-            cyclic = moving
             break
-        onward = _onward(moving, pointers)
+        onward = _onward(moving, done.unionByName(moving))
         step = work.settle(
-            onward.select(
-                "hijo", F.col("a2").alias("a"), (F.col("pasos") + F.col("p2")).alias("pasos"), F.least("menor", "m2").alias("menor"),
-                F.col("f2").alias("fin"), (F.col("m2") < F.col("menor")).alias("menos"),
-            ),
+            onward.select("hijo", F.col("a2").alias("a"), (F.col("pasos") + F.col("p2")).alias("pasos"), F.least("menor", "m2").alias("menor"), F.col("f2").alias("fin")),
             "pointers",
         )
-        state = step.agg(F.count_if("fin").alias("fin"), F.count_if("menos").alias("menos")).first()
-        ended = step.where("fin").drop("menos")
-        done.append(ended)
-        # A target still on its way was moving too; one that ended is in an earlier table.
-        moving = cyclic = step.where("NOT fin").drop("menos")
-        if not state.fin and not state.menos:
+        state = step.agg(F.count_if("fin").alias("ended"), F.count("*").alias("all")).first()
+        done, moving = done.unionByName(step.where("fin")), step.where("NOT fin")
+        if not state.ended and spanned >= state.all:
             break
-        pointers = step.drop("menos")
     # The target lies on the cycle, and its own way is the whole of it.
-    least = _onward(cyclic, cyclic).select("hijo", F.col("m2").alias("ciclo"))
-    ended = done[0]
-    for more in done[1:]:
-        ended = ended.unionByName(more)
+    least = _onward(moving, moving).select("hijo", F.col("m2").alias("ciclo"))
     known = legacy.where(has_number(F.col("expediente"))).select(F.col("expediente").cast("long").alias("_k")).distinct()
-    roots = ended.groupBy("a").agg(F.count("*").alias("n")).join(known, F.col("a") == F.col("_k"), "left_outer")
-    named = lookup_join(ended, roots.select("a", F.col("_k").isNotNull().alias("raiz_existe"), "n"), ["a"], "n")
+    roots = done.groupBy("a").agg(F.count("*").alias("n")).join(known, F.col("a") == F.col("_k"), "left_outer")
+    named = lookup_join(done, roots.select("a", F.col("_k").isNotNull().alias("raiz_existe"), "n"), ["a"], "n")
     found = named.select(F.col("hijo").alias("expediente"), F.col("a").alias("raiz"), "pasos", "raiz_existe", F.lit(None).cast("long").alias("ciclo"))
     none = lambda kind: F.lit(None).cast(kind)
     return found.unionByName(
