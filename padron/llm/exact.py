@@ -1,8 +1,10 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a catalog table bucketed and sorted by digest. New digests meet it in a sort-merge
-anti join that reads the index bucket by bucket, without shuffling it, and only digests it does
-not hold are appended.
+The index is a catalog table bucketed and sorted by digest, empty at first. A load comes in turns,
+from the largest ids to the smallest. The digests of each turn meet the index in a sort-merge anti
+join that reads it bucket by bucket, without shuffling it, and only those it does not hold are
+appended. So the row that brings a digest into the index is the one that stays, and a later turn or
+a later load finds it there.
 
 Nulls count as empty texts. A row without ``doc_id`` is a row like any other and has the lowest
 id. Of equal texts the row with the largest ``doc_id`` stays; where rows repeat that id, one of
@@ -18,6 +20,7 @@ from padron.llm.common import settle, text_of
 from padron.operators.skew import lookup_join
 
 BUCKETS = 64
+TURNS = 2
 INDEX_COLUMNS = ("digest", "keep_id", "keep_row", "group_size")
 
 
@@ -47,43 +50,59 @@ def new_digests(found: DataFrame, index: str) -> DataFrame:
     return found.join(held.hint("merge"), "digest", "left_anti")
 
 
+def store(found: DataFrame, index: str, buckets: int) -> None:
+    dealt = found.select(*INDEX_COLUMNS).repartition(buckets, "digest")
+    dealt.write.mode("append").format("parquet").bucketBy(buckets, "digest").sortBy("digest").saveAsTable(index)
+
+
 def append(found: DataFrame, index: str, buckets: int = BUCKETS) -> DataFrame:
     """Add groups that are new to the index, creating it where needed; returns what was added."""
     spark: SparkSession = found.sparkSession
-    if spark.catalog.tableExists(index):
-        found = settle(new_digests(found, index), "new-digests")
-    else:
-        found = settle(found, "new-digests")
-    (
-        found.select(*INDEX_COLUMNS)
-        .repartition(buckets, "digest")
-        .write.mode("append")
-        .format("parquet")
-        .bucketBy(buckets, "digest")
-        .sortBy("digest")
-        .saveAsTable(index)
-    )
+    if not spark.catalog.tableExists(index):
+        store(found.limit(0), index, buckets)
+    found = settle(new_digests(found, index), "new-digests")
+    store(found, index, buckets)
     return found
 
 
-def decisions(docs: DataFrame, index: str, buckets: int = BUCKETS) -> DataFrame:
+def in_turns(rows: DataFrame, turns: int) -> list[DataFrame]:
+    """Rows by falling ranges of ids of about one size; those without an id come last."""
+    cuts = rows.agg(F.percentile_approx("doc_id", [1 - k / turns for k in range(1, turns)], F.lit(1000)).alias("c")).first().c or []
+    place = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    edges = [None, *sorted(set(cuts), reverse=True), None]
+    parts = []
+    for high, low in zip(edges, edges[1:], strict=False):
+        part = rows if high is None else rows.where(place < high)
+        parts.append(part if low is None else part.where(place >= low))
+    return parts
+
+
+def decisions(docs: DataFrame, index: str, buckets: int = BUCKETS, turns: int = TURNS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest, row_no.
 
     ``keep_id`` is the row that stays of those given; where the index held the text before,
     none of them is kept and ``indexed`` is true. The digests are appended to the index.
     """
     rows = digests(docs)
-    found = groups(rows)
-    added = append(found, index, buckets).select("digest", F.lit(True).alias("_new"))
+    found, added = None, None
+    for part in in_turns(rows, turns):
+        here = settle(groups(part), "groups")
+        new = append(here, index, buckets)
+        found, added = (here, new) if found is None else (found.unionByName(here), added.unionByName(new))
+    last = F.struct(F.coalesce("keep_id", F.lit(-(2**63))), "keep_id", "keep_row")
+    totals = found.groupBy("digest").agg(F.sum("group_size").alias("group_size"), F.max(last).alias("last"))
+    entered = added.select("digest", F.struct("keep_id", "keep_row").alias("_new"))
+    named = totals.join(entered, "digest", "left_outer").select(
+        "digest", "group_size", F.when(F.col("_new").isNull(), F.col("last.keep_id")).otherwise(F.col("_new.keep_id")).alias("keep_id"), F.col("_new.keep_row").alias("_row")
+    )
     # Copies of one text may be a third of all rows: the largest groups are joined by broadcast.
-    marked = lookup_join(rows, found.join(added, "digest", "left_outer"), ["digest"], "group_size")
-    fresh = F.coalesce("_new", F.lit(False))
+    marked = lookup_join(rows, named, ["digest"], "group_size")
     return marked.select(
         "doc_id",
         "keep_id",
         "group_size",
-        (fresh & (F.col("row_no") == F.col("keep_row"))).alias("kept"),
-        (~fresh).alias("indexed"),
+        F.coalesce(F.col("row_no") == F.col("_row"), F.lit(False)).alias("kept"),
+        F.col("_row").isNull().alias("indexed"),
         "digest",
         "row_no",
     )

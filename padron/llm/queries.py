@@ -98,7 +98,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op8_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Each call is a first load: an index of its own, empty before.
+    # Each call has an index of its own, empty before and loaded in two turns.
     found = exact.decisions(documents(spark, sf_dir), f"digests_{uuid.uuid4().hex}")
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
