@@ -13,11 +13,13 @@ often as they come. Other columns are ignored.
 
 Tokens: a text of ASCII and common Latin letters is cut into words by the tokenizer's
 own pattern, and the ids its model gives a word are kept in a bounded cache. Any other text goes
-through the tokenizer as a whole. Both ways give the same ids (tests compare them).
+through the tokenizer as a whole. Both ways give the same ids (tests compare them). The short way is
+taken only if the tokenizer's file states the normalisation and splitting it stands for.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -41,6 +43,28 @@ CACHE_WORDS = 300_000
 PLAIN = re.compile("[\\t\\n\\r -~¡«»¿À-ÖØ-öø-ÿ]*")
 WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 
+# What a tokenizer's file must state for the short way: fixed values of the format.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def splits_as_known(stated: dict) -> bool:
+    """Whether a tokenizer's file normalises and splits as ``PLAIN`` and ``WORDS`` assume."""
+    return (
+        (stated.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+        and (stated.get("pre_tokenizer") or {}).get("pretokenizers") == SPLITTERS
+        and all("<|" in t["content"] for t in stated.get("added_tokens") or [])
+        and not (stated["model"].get("dropout") or stated.get("truncation") or stated.get("padding"))
+    )
+
 
 def byte_letters() -> dict[int, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it is visible, else the next free one from 256 on."""
@@ -73,6 +97,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.short = splits_as_known(json.load(file))
         self.cache_words = cache_words
         self.cache = WordIds(self.tokenizer.model, {})
 
@@ -84,7 +110,7 @@ class WordTokenizer:
     def __call__(self, text: str) -> bytes:
         if len(self.cache) > self.cache_words:
             self.cache = WordIds(self.tokenizer.model, dict(self.cache))
-        if PLAIN.fullmatch(text) and "<|" not in text:
+        if self.short and PLAIN.fullmatch(text) and "<|" not in text:
             return b"".join(map(self.cache.__getitem__, WORDS.findall(text.lower())))
         return self.encode(text)
 
