@@ -3,7 +3,8 @@
 A text's subwords are the runs of one to three letters inside words, with a mark at word
 boundaries. Each is hashed into a table of embeddings; the average goes through a linear softmax.
 Both layers are trained together by stochastic gradient descent in numpy on a bounded sample:
-``PER_LANGUAGE`` documents a language and ``MAX_DOCUMENTS`` in all, chosen by a hash of the id,
+``PER_LANGUAGE`` documents a language and ``MAX_DOCUMENTS`` in all, but ``LEAST_DOCUMENTS`` a language
+however many there are (every language is learned), chosen by a hash of the id,
 and ``BAG`` subwords of each, drawn from its whole text in the tasks. A fixed part of the sample is
 kept from training to fit the temperature of the softmax and the score below which a prediction
 is rejected: the lowest score at which the accepted part has an error of at most ``MAX_ERROR``. If
@@ -32,10 +33,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.common import map_batches
+from padron.llm.common import map_batches, settle
 
 UNKNOWN = "und"
 TABLE_BITS = 16
@@ -44,7 +45,7 @@ ORDERS = (1, 2, 3)
 
 PER_LANGUAGE = 1500
 MAX_DOCUMENTS = 8000
-MAX_LANGUAGES = 400
+LEAST_DOCUMENTS = 20
 BAG = 2048
 #: Subwords drawn from a document for one training step.
 DRAWN = 256
@@ -253,12 +254,13 @@ def crc_part(column: str = "doc_id") -> Column:
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, documents: int = MAX_DOCUMENTS) -> DataFrame:
     """About ``per_language`` labelled rows of each language, fewer where ``documents`` in all
-    would be exceeded, by a hash of the id."""
+    would be exceeded, but about ``LEAST_DOCUMENTS`` of each at least, by a hash of the id."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    quota = F.least(F.lit(per_language), F.lit(documents) / F.count("*").over(Window.partitionBy(F.lit(0))))
+    counts = settle(labelled.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    quota = max(min(per_language, documents / max(counts.count(), 1)), min(per_language, LEAST_DOCUMENTS))
     place = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1_000_000)) + 0.5) / 1_000_000
-    return labelled.join(F.broadcast(counts.withColumn("quota", quota)), "lang").where(place * F.col("n") < F.col("quota")).drop("n", "quota")
+    # The counts are a written table of known size: Spark broadcasts it only if it is small.
+    return labelled.join(counts, "lang").where(place * F.col("n") < quota).drop("n")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, documents: int = MAX_DOCUMENTS) -> Model:
