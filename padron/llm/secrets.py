@@ -52,8 +52,13 @@ CLASSES = (
     CharacterClass("entropy16", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}+(?![0-9A-Za-z])", "0123456789abcdef", 20, 3.0, r"(?=.*[0-9])(?=.*[A-Fa-f])"),
 )
 
-# What stands before a candidate that is a checksum or an identifier, and what lies in samples.
-ALLOWED_BEFORE = r"(?i)(sha-?(1|224|256|384|512)|md5|crc32|checksum|digest|commit|revision|integrity|etag|uuid|guid|base64,)[\s:=_\"'-]*$"
+# Names of checksums and identifiers: as the last thing before a candidate, save for what may stand
+# between a name and its value, or as a part of its own at the head of the candidate.
+LABEL = r"(?:sha-?(?:1|224|256|384|512)|md5|crc32|checksum|digest|commit|revision|integrity|etag|uuid|guid|base64,)"
+BETWEEN = " \t\n\x0b\f\r:=_\"'-"
+ALLOWED_BEFORE = f"(?i){LABEL}$"
+ALLOWED_HEAD = f"(?i)^(?:[A-Za-z0-9]{{1,24}}[=_-]+){{0,2}}{LABEL}[=_-]"
+# What lies in samples.
 ALLOWED_INSIDE = r"(?i)example|sample|placeholder|changeme|dummy|xxxx|your[_-]|0123456789|abcdefgh"
 
 KINDS = ("assign", "access", "hex", *[c.kind for c in CLASSES])
@@ -65,7 +70,7 @@ def spans(text: Column, pattern: str, kind: str, ok=None, group: int = 0) -> Col
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     facts = F.zip_with(
-        F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), F.right(g, F.lit(24)).alias("before"))),
+        F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), F.right(F.rtrim(g, F.lit(BETWEEN)), F.lit(24)).alias("before"))),
         judged,
         lambda x, v: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), x["before"].alias("before"), v.alias("value")),
     )
@@ -118,7 +123,7 @@ def high_entropy(value: Column, of: CharacterClass) -> Column:
 
 def candidates(text: Column, of: CharacterClass) -> Column:
     """Spans of high entropy, with the allow-list applied."""
-    allowed = lambda x: x["before"].rlike(ALLOWED_BEFORE) | x["value"].rlike(ALLOWED_INSIDE)
+    allowed = lambda x: x["before"].rlike(ALLOWED_BEFORE) | x["value"].rlike(ALLOWED_HEAD) | x["value"].rlike(ALLOWED_INSIDE)
     whole = spans(text, of.pattern, of.kind, ok=lambda x: x["value"].rlike(of.must_have) & ~allowed(x))
 
     def part(s: Column) -> Column:
