@@ -58,6 +58,52 @@ def test_exact_index_persists(spark):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_exact_turns_meet_the_index(spark):
+    """Whatever the number of turns, the same rows stay; a later turn finds what an earlier one stored."""
+    rows = [(i, f"text {i % 7}", None, "a", 1) for i in range(60)] + [(None, "text 3", None, "a", 1), (None, "alone", None, "a", 1), (59, "text 3", None, "a", 1)]
+    docs = spark.createDataFrame(rows, fixtures.SCHEMA).repartition(4)
+    want = None
+    for turns in (1, 2, 5):
+        index = f"digests_of_turns_{turns}"
+        got = Counter(tuple(r) for r in exact.decisions(docs, index, 4, turns).select("doc_id", "keep_id", "group_size", "kept", "indexed", F.hex("digest")).collect())
+        want = want or got
+        assert got == want and spark.table(index).count() == 8
+        assert sum(n for r, n in got.items() if r[3]) == 8 and not any(r[4] for r in got)
+    parts = exact.in_turns(docs, 3)
+    assert sum(p.count() for p in parts) == len(rows) and all(p.count() for p in parts)
+    assert exact.decisions(spark.createDataFrame([], fixtures.SCHEMA), "digests_of_nothing").count() == 0
+    assert exact.decisions(docs.where("doc_id IS NULL"), "digests_of_no_ids").where("kept").count() == 2
+
+
+def test_every_language_is_learned(spark):
+    """More languages than the sample would hold at its size for few: each has rows in it."""
+    rows = spark.range(460 * 25).select("id", F.concat(F.lit("l"), F.col("id") % 460).alias("lang"))
+    docs = rows.select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), "lang")
+    per = langid.training_rows(docs, documents=100).groupBy("lang").count().collect()
+    assert len(per) == 460 and sum(r["count"] for r in per) < 460 * 25
+    assert langid.training_rows(docs.limit(0)).count() == 0
+
+
+def test_unknown_splitting_goes_through_the_tokenizer(tmp_path):
+    """A tokenizer whose file states another normalisation is not taken for the known one."""
+    import json
+
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        stated = json.load(file)
+    assert packing.splits_as_known(stated)
+    text = "It's A Test of 12 Words, naïve CAFÉ!"
+    changes = {
+        "normalizer": {"type": "NFC"},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Whitespace"}, stated["pre_tokenizer"]["pretokenizers"][1]]},
+    }
+    for part, value in changes.items():
+        path = tmp_path / f"{part}.json"
+        path.write_text(json.dumps({**stated, part: value}), encoding="utf-8")
+        other = packing.WordTokenizer(str(path))
+        assert not other.short and other(text) == other.encode(text)
+        assert other(text) != packing.WordTokenizer(tokenizer_path())(text)
+
+
 def test_mixing(spark, table):
     folder, rows = table
     got = QUERIES["op2_mixing"](spark, folder).collect()

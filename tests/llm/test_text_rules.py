@@ -75,8 +75,9 @@ def entropy_spans(text, of):
             for i in range(len(value) - of.window + 1)
             if -sum(c / of.window * log2(c / of.window) for c in Counter(value[i : i + of.window]).values()) >= of.least_entropy - 1e-9
         ]
-        before = text[max(0, m.start() - 24) : m.start()]
-        if high and re.search(of.must_have, value) and not re.search(secrets.ALLOWED_BEFORE, before) and not re.search(secrets.ALLOWED_INSIDE, m[0]):
+        before = text[: m.start()].rstrip(secrets.BETWEEN)[-24:]
+        allowed = re.search(secrets.ALLOWED_BEFORE, before) or re.search(secrets.ALLOWED_HEAD, m[0]) or re.search(secrets.ALLOWED_INSIDE, m[0])
+        if high and re.search(of.must_have, value) and not allowed:
             out.append((m.start() + high[0], secrets.KINDS.index(of.kind), m.start() + high[-1] + of.window, of.kind))
     return out
 
@@ -92,6 +93,19 @@ def test_entropy_windows_are_found_and_allowed_ones_are_not(spark, table):
     assert "entropy64:4:" in got[902] and "entropy16" in got[903]
 
 
+def test_allowed_labels_at_any_distance(spark):
+    """A checksum's name keeps its value from being reported, however it is joined to it; other names do not."""
+    value = "Zx81QpLm3vKd92RtYw7HbN5cJf0UoXeS4aGi6TqV"
+    heads = ["checksum ", "checksum=", "integrity=sha384-", "commit_", "sha512-", "SHA256: '", "digest:" + " " * 60, "etag\n\n= ", "file_md5=", "a-b_uuid_"]
+    open_heads = ["value=", "my_", "key-", "auth: ", "", "checksums are listed below ", "shape-"]
+    texts = [f"see {h}{value} end" for h in heads + open_heads]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.n for r in secrets.scan(rows).select("doc_id", F.size("found_spans").alias("n")).collect()}
+    assert [found[i] for i in range(len(texts))] == [0] * len(heads) + [1] * len(open_heads)
+    for i, text in enumerate(texts):
+        assert found[i] == len(base_spans(text) + [e for c in secrets.CLASSES for e in entropy_spans(text, c)]), text
+
+
 def test_licenses(spark, table):
     folder, rows = table
     got = {}
