@@ -20,11 +20,12 @@ Near copies (``deduplicate``): shingles of five words and a Jaccard similarity o
 fingerprints of ``NEAR_BITS`` bits. Texts with equal sets of shingles are one node. The same program
 groups the bits and allocates thresholds for a sum of ``NEAR_PROBED`` + 1; pairs within so many bits
 meet for certain, and as any of some twenty keys will do, so do nearly all within ``NEAR_DISTANCE``
-bits, which are the candidates. At a key a text is paired with its first few candidates only, in the
-order of a hash; those are verified by their sets of shingles and contracted. Texts with more
-candidates come again in the next round, without those already in their own component and with four
-times as many pairs, until no text has one left. So a large group of copies costs a few pairs a text,
-and every candidate pair of texts that stay apart has been verified.
+bits, which are the candidates. A pair belongs to the first key at which it meets. At a key a text is
+paired with its first few candidates only, in the order of a hash; those are verified by their sets of
+shingles and contracted. Keys with more candidates come again in the next round, which goes on where
+the last one ended with eight times as many places, without pairs of one component, until no text has
+one left. So a large group of copies costs a few pairs a text, no pair is verified twice, and every
+candidate pair of texts that stay apart has been verified.
 
 Nulls and empty texts have fingerprint zero, which links like any other. Rows without an id link
 too, but name no component. Rows that repeat an id are one document where it names a component.
@@ -63,7 +64,7 @@ NEAR_PARTITIONS = (18, 20, 21, 22)
 #: What comparing a pair in memory costs of a shuffled row.
 NEAR_PAIR_COST = 0.002
 #: Pairs of a text at a key in the first round, and how they grow.
-NEAR_PAIRS, NEAR_GROWTH = 4, 4
+NEAR_PAIRS, NEAR_GROWTH = 4, 8
 #: Texts of a key that are compared with each other at once.
 BLOCK = 256
 
@@ -434,12 +435,21 @@ def wide_probes(nodes: DataFrame, kept_bits: list[list[int]]) -> DataFrame:
     return map_batches(nodes.select("node", "fp", "n"), run, "key long, node binary, fp binary, n long")
 
 
-def pairer(distance: int, similarity: float, most: int):
-    """Over rows sorted by key and order: for each text its first ``most`` candidates of other
-    components (``b`` is the later one), and the keys where a text has more (``a`` null)."""
+def pairer(distance: int, similarity: float, kept_bits: list[list[int]], least: int, most: int):
+    """Over rows sorted by key and order: for each text its candidates beyond the first ``least`` up
+    to ``most`` that are in other components (``b`` is the later one). A pair belongs to the first
+    key at which it meets and has one place there, so that no pair comes twice in any round. With
+    ``a`` null: the texts that have candidates, in the first round, and with ``b`` null too the keys
+    where a text has more candidates in other components."""
+    masks = np.zeros((len(kept_bits), NEAR_BITS), dtype=np.uint8)
+    for i, kept in enumerate(kept_bits):
+        masks[i, kept] = 1
+    masks = np.packbits(masks, axis=1, bitorder="little").view("<u8")
 
     def group(key: int, nodes: list[bytes], fps: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> pa.RecordBatch | None:
         a, b, more = [], [], False
+        seen = np.zeros(len(fps), dtype=bool)
+        before = masks[: key % len(masks)]
         for i in range(0, len(fps), BLOCK):
             here = slice(i, i + BLOCK)
             found = np.zeros(len(fps[here]), dtype=np.int64)
@@ -447,22 +457,30 @@ def pairer(distance: int, similarity: float, most: int):
             for j in range(0, i + len(found), 2048):
                 there = slice(j, min(j + 2048, i + len(found)))
                 near = np.bitwise_count(fps[here][:, None] ^ fps[there][None, :]).sum(axis=2) <= distance
-                near &= (np.arange(there.start, there.stop)[None, :] < place[:, None]) & (roots[here][:, None] != roots[there][None, :])
+                near &= np.arange(there.start, there.stop)[None, :] < place[:, None]
                 x, y = sizes[here][:, None], sizes[there][None, :]
                 near &= np.minimum(x, y) >= similarity * np.maximum(x, y)
-                rank = near.cumsum(axis=1) + found[:, None]
-                later, earlier = np.nonzero(near & (rank <= most))
-                b += [nodes[i + k] for k in later.tolist()]
-                a += [nodes[j + k] for k in earlier.tolist()]
+                later, earlier = np.nonzero(near)
+                differ = fps[i + later] ^ fps[j + earlier]
+                for mask in before:
+                    met = ((differ & mask) == 0).all(axis=1)
+                    near[later[met], earlier[met]] = False
+                    later, earlier, differ = later[~met], earlier[~met], differ[~met]
+                rank = near.cumsum(axis=1)[later, earlier] + found[later]
                 found += near.sum(axis=1)
-                if (found > most).all():
-                    break
-            more |= bool((found > most).any())
+                seen[i + later] = seen[j + earlier] = True
+                apart = roots[i + later] != roots[j + earlier]
+                more |= bool((apart & (rank > most)).any())
+                asked = apart & (rank > least) & (rank <= most)
+                b += [nodes[i + k] for k in later[asked].tolist()]
+                a += [nodes[j + k] for k in earlier[asked].tolist()]
+        if least == 0:
+            b += [nodes[k] for k in np.flatnonzero(seen).tolist()]
         if more:
-            a.append(None)
             b.append(None)
-        if not a:
+        if not b:
             return None
+        a += [None] * (len(b) - len(a))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([key] * len(a), pa.int64())], names=["a", "b", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -525,33 +543,43 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return map_batches(both.select("a", "b", "x", "y"), run, "a binary, b binary")
 
 
+def merged(roots: DataFrame | None, new: DataFrame) -> DataFrame | None:
+    """The roots once the links ``new`` are added; only the components they join are looked at."""
+    if roots is None:
+        return components(new)
+    if new.isEmpty():
+        return roots
+    root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+    between = new.join(root_of("a"), "a", "left_outer").join(root_of("b"), "b", "left_outer")
+    joined = components(between.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+    later = joined.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    moved = roots.join(later, "root", "left_outer").select("node", F.coalesce("_root", "root").alias("root"))
+    return settle(moved.unionByName(joined.join(roots.select("node"), "node", "left_anti").select("node", "root")), "near-roots")
+
+
 def near_links(docs: DataFrame, texts: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:
     """``node, root`` of the nodes that are linked to others; ``texts``: ``node, fp, n, digest``."""
-    keyed = settle(wide_probes(texts, wide_plan(texts)), "near-keyed")
+    kept_bits = wide_plan(texts)
+    keyed = settle(wide_probes(texts, kept_bits), "near-keyed")
     order = F.xxhash64("node", F.lit(SEED))
-    most, roots = NEAR_PAIRS, None
-    pairs, sets, links = None, None, None
-    more = lambda all_rows, new: new if all_rows is None else all_rows.unionByName(new)
+    least, most, roots, sets = 0, NEAR_PAIRS, None, None
     while True:
         rows = keyed.withColumn("root", F.col("node")) if roots is None else (
             keyed.join(roots, "node", "left_outer").select("key", "node", "fp", "n", F.coalesce("root", "node").alias("root"))
         )
         dealt = rows.withColumn("place", order).repartition("key").sortWithinPartitions("key", "place", "node").select("key", "node", "fp", "n", "root")
-        met = settle(dealt.mapInArrow(pairer(distance, similarity, most), "a binary, b binary, key long"), "near-met")
-        new = met.where("a IS NOT NULL").select("a", "b").distinct()
-        new = settle(new if pairs is None else new.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-        wanted = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
-        wanted = wanted if sets is None else wanted.join(sets.select("node"), "node", "left_anti")
-        wanted = settle(texts.join(wanted, "node", "left_semi").select("digest", "node"), "near-wanted")
-        sets = more(sets, settle(shingle_sets(docs, wanted, size), "near-sets"))
-        pairs = more(pairs, new)
-        links = more(links, settle(verified(new, sets, similarity), "near-links"))
-        roots = components(links)
-        crowded = met.where("a IS NULL").select("key")
+        met = settle(dealt.mapInArrow(pairer(distance, similarity, kept_bits, least, most), "a binary, b binary, key long"), "near-met")
+        if sets is None:
+            wanted = met.where("a IS NULL AND b IS NOT NULL").select(F.col("b").alias("node")).distinct()
+            wanted = settle(texts.join(wanted, "node", "left_semi").select("digest", "node"), "near-wanted")
+            sets = settle(shingle_sets(docs, wanted, size), "near-sets")
+        new = settle(verified(met.where("a IS NOT NULL").select("a", "b"), sets, similarity), "near-links")
+        roots = merged(roots, new)
+        crowded = met.where("b IS NULL").select("key")
         if crowded.isEmpty():
             return roots
         keyed = settle(keyed.join(crowded, "key", "left_semi"), "near-keyed")
-        most *= NEAR_GROWTH
+        least, most = most, most * NEAR_GROWTH
 
 
 def near_classes(docs: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:

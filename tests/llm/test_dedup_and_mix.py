@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from padron.llm import exact, langid, mixing, packing, simhash, suffix
+from padron.llm import components as contraction
 from padron.llm.components import components
 from padron.llm.queries import ORACLE, QUERIES, tokenizer_path
 from tests.llm import fixtures
@@ -221,7 +222,9 @@ def test_allocation_is_optimal():
         assert value == pytest.approx(best) and sum(t + 1 for t in chosen) == 4
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("held", [0, 40, contraction.HELD])
+def test_components_of_a_chain(spark, monkeypatch, held):
+    monkeypatch.setattr(contraction, "HELD", held)
     links = spark.range(0, 300).selectExpr("id AS a", "id + 1 AS b").union(spark.range(1).selectExpr("id + 1000 AS a", "id + 1001 AS b"))
     found = {r.node: r.root for r in components(links).collect()}
     assert len({found[i] for i in range(301)}) == 1 and found[1000] == found[1001] != found[0]
