@@ -951,6 +951,22 @@ SELECT count(*) AS total_pacientes, count(*) FILTER (WHERE sexo = 'M') AS mascul
     count(*) FILTER (WHERE sistema_origen = 'mysql_legacy') AS registros_migrados,
     count(*) FILTER (WHERE sistema_origen <> 'mysql_legacy') AS registros_nuevos
 FROM mig""",
+    "estadisticas_counters": f"""
+SELECT count(*) AS total_pacientes, count(*) FILTER (WHERE sexo = 'M') AS masculino,
+    count(*) FILTER (WHERE sexo = 'F') AS femenino,
+    count(*) FILTER (WHERE sexo NOT IN ('M', 'F')) AS no_especificado,
+    count(*) FILTER (WHERE estado <> 'F') AS vivos,
+    count(*) FILTER (WHERE estado = 'F') AS fallecidos,
+    count(*) FILTER (WHERE cui IS NULL) AS sin_cui,
+    count(*) FILTER (WHERE expediente_duplicado) AS expedientes_duplicados,
+    count(*) FILTER (WHERE sistema_origen = 'mysql_legacy') AS registros_migrados,
+    count(*) FILTER (WHERE sistema_origen <> 'mysql_legacy') AS registros_nuevos
+FROM cargadas WHERE id NOT IN {DELETED}""",
+    "breakdown_counters": f"""
+SELECT concat_ws(',', CASE WHEN grouping(sexo) = 0 THEN 'sexo' END, CASE WHEN grouping(estado) = 0 THEN 'estado' END,
+    CASE WHEN grouping(migrado) = 0 THEN 'migrado' END) AS nivel, sexo, estado, migrado, count(*) AS total
+FROM (SELECT sexo, estado, coalesce(sistema_origen = 'mysql_legacy', false) AS migrado FROM cargadas WHERE id NOT IN {DELETED})
+GROUP BY GROUPING SETS ((), (sexo), (estado), (migrado), (sexo, estado))""",
     "migration_status": """
 SELECT o AS origen_total, d AS destino_total, d AS migrados, d - d AS nuevos,
     round_even(CAST(d AS DOUBLE) / o * 100, 2) AS porcentaje_migrado, o - d AS pendientes,

@@ -13,7 +13,7 @@ from checks.inputs import PARTS, candidates, legacy, scratch, soiled, table, upd
 from padron import model
 from padron.functions import contract, derived, documents, normalize, rules
 from padron.functions.asof import AsOf
-from padron.operators import chains, identifiers, lookup, paging, quality, stats
+from padron.operators import chains, counters, identifiers, lookup, paging, quality, stats
 from padron.operators.keyindex import build_index
 from padron.operators.textindex import build_text_index
 from padron.plans import maintenance, migration, stream
@@ -843,6 +843,34 @@ def estadisticas(spark, sf):
     return stats.estadisticas(loaded(spark, sf))
 
 
+def _counters(spark, sf) -> DataFrame:
+    """The log of two loads and a delete."""
+    path = scratch(spark).folder("contadores")
+    rows = loaded(spark, sf)
+    early = F.coalesce(c("creado_en") < F.lit(EARLIER_RUN).cast("timestamp"), F.lit(False))
+    second = counters.counted(rows.where(~early), "carga-2")
+    gone = table(spark, sf, "customer").select((c("c_custkey") * 13).alias("id"))
+    for delta in (
+        counters.counted(rows.where(early), "carga-1"),
+        second,
+        counters.changed(rows, _delete(spark, sf).rows, gone, "bajas"),
+        second,
+    ):
+        counters.append_counts(delta, path)
+    return counters.read_counts(spark, path)
+
+
+@query
+def estadisticas_counters(spark, sf):
+    """From the log alone; the second load is logged twice, as after a crash."""
+    return counters.estadisticas(_counters(spark, sf))
+
+
+@query
+def breakdown_counters(spark, sf):
+    return counters.breakdown(_counters(spark, sf))
+
+
 @query
 def migration_status(spark, sf):
     return stats.migration_status(legacy(spark, sf), stored(spark, sf))

@@ -24,6 +24,12 @@ def estadisticas(target: DataFrame) -> DataFrame:
         F.count_if(expediente_duplicado(c("metadatos"))).alias("expedientes_duplicados"),
         F.count_if(is_migrated()).alias("registros_migrados"),
     )
+    return report(raw)
+
+
+def report(raw: DataFrame) -> DataFrame:
+    """The statistics from the seven numbers that are counted."""
+    c = F.col
     return raw.select(
         "total_pacientes",
         "masculino",
