@@ -22,10 +22,10 @@ groups the bits and allocates thresholds for a sum of ``NEAR_PROBED`` + 1; pairs
 meet for certain, and as any of some twenty keys will do, so do nearly all within ``NEAR_DISTANCE``
 bits, which are the candidates. A pair belongs to the first key at which it meets. At a key a text is
 paired with its first few candidates only, in the order of a hash; those are verified by their sets of
-shingles and contracted. Keys with more candidates come again in the next round, which goes on where
-the last one ended with eight times as many places, without pairs of one component, until no text has
-one left. So a large group of copies costs a few pairs a text, no pair is verified twice, and every
-candidate pair of texts that stay apart has been verified.
+shingles and contracted. Texts with more candidates at a key meet there once more with their sets: one
+row for a text and key, not one for a pair. They are verified in the task, without pairs of one
+component, and what is found contracts at once. A key's largest component meets the others only, and
+crowded keys are dealt out in parts. So every candidate pair of texts that stay apart has been verified.
 
 Nulls and empty texts have fingerprint zero, which links like any other. Rows without an id link
 too, but name no component. Rows that repeat an id are one document where it names a component.
@@ -34,7 +34,7 @@ too, but name no component. Rows that repeat an id are one document where it nam
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -63,8 +63,10 @@ SIMILARITY = 0.8
 NEAR_PARTITIONS = (18, 20, 21, 22)
 #: What comparing a pair in memory costs of a shuffled row.
 NEAR_PAIR_COST = 0.002
-#: Pairs of a text at a key in the first round, and how they grow.
-NEAR_PAIRS, NEAR_GROWTH = 4, 8
+#: Pairs of a text at a key that are verified as rows.
+NEAR_PAIRS = 4
+#: Shingles of a part of a crowded key; a task holds two parts.
+FRAGMENT = 1 << 20
 #: Texts of a key that are compared with each other at once.
 BLOCK = 256
 
@@ -435,80 +437,142 @@ def wide_probes(nodes: DataFrame, kept_bits: list[list[int]]) -> DataFrame:
     return map_batches(nodes.select("node", "fp", "n"), run, "key long, node binary, fp binary, n long")
 
 
-def pairer(distance: int, similarity: float, kept_bits: list[list[int]], least: int, most: int):
-    """Over rows sorted by key and order: for each text its candidates beyond the first ``least`` up
-    to ``most`` that are in other components (``b`` is the later one). A pair belongs to the first
-    key at which it meets and has one place there, so that no pair comes twice in any round. With
-    ``a`` null: the texts that have candidates, in the first round, and with ``b`` null too the keys
-    where a text has more candidates in other components."""
+def packed_masks(kept_bits: list[list[int]]) -> np.ndarray:
     masks = np.zeros((len(kept_bits), NEAR_BITS), dtype=np.uint8)
     for i, kept in enumerate(kept_bits):
         masks[i, kept] = 1
-    masks = np.packbits(masks, axis=1, bitorder="little").view("<u8")
-
-    def group(key: int, nodes: list[bytes], fps: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> pa.RecordBatch | None:
-        a, b, more = [], [], False
-        seen = np.zeros(len(fps), dtype=bool)
+    return np.packbits(masks, axis=1, bitorder="little").view("<u8")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
+    """The rows of each run of equal values in the first ``width`` columns, which are of type long."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        by = np.stack([rows.column(i).to_numpy(zero_copy_only=False) for i in range(width)], axis=1)
+        cuts = [0, *(np.flatnonzero((np.diff(by, axis=0) != 0).any(axis=1)) + 1).tolist(), len(by)]
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            here = by[start].tolist()
+            if held and here != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = here
+            held.append(rows.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def words_of(fps: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(fps.to_pylist()), dtype="<u8").reshape(len(fps), -1)
+
+
+def candidates(fps: np.ndarray, sizes: np.ndarray, later: slice, earlier: slice, distance: int, similarity: float) -> np.ndarray:
+    """For each row of ``later`` and of ``earlier``, whether they are candidates in that order."""
+    near = np.bitwise_count(fps[later][:, None] ^ fps[earlier][None, :]).sum(axis=2) <= distance
+    place = np.arange(len(fps))
+    near &= place[earlier][None, :] < place[later][:, None]
+    x, y = sizes[later][:, None], sizes[earlier][None, :]
+    return near & (np.minimum(x, y) >= similarity * np.maximum(x, y))
+
+
+def first_met(near: np.ndarray, later: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Takes pairs that meet at a key ``before`` out of ``near``; the places of those that stay."""
+    x, y = np.nonzero(near)
+    differ = later[x] ^ earlier[y]
+    for mask in before:
+        met = ((differ & mask) == 0).all(axis=1)
+        near[x[met], y[met]] = False
+        x, y, differ = x[~met], y[~met], differ[~met]
+    return x, y
+
+
+def pairer(distance: int, similarity: float, kept_bits: list[list[int]], most: int):
+    """Over rows sorted by key and order: for each text its first ``most`` candidates (``b`` is the
+    later one). A pair belongs to the first key at which it meets and has one place there. With ``a``
+    null: the texts that have candidates; with ``b`` null: the texts that have more at this key."""
+    masks = packed_masks(kept_bits)
+
+    def group(key: int, nodes: list[bytes], fps: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch | None:
+        a, b = [], []
+        seen, more = np.zeros((2, len(fps)), dtype=bool)
         before = masks[: key % len(masks)]
         for i in range(0, len(fps), BLOCK):
-            here = slice(i, i + BLOCK)
-            found = np.zeros(len(fps[here]), dtype=np.int64)
-            place = np.arange(i, i + len(found))
-            for j in range(0, i + len(found), 2048):
-                there = slice(j, min(j + 2048, i + len(found)))
-                near = np.bitwise_count(fps[here][:, None] ^ fps[there][None, :]).sum(axis=2) <= distance
-                near &= np.arange(there.start, there.stop)[None, :] < place[:, None]
-                x, y = sizes[here][:, None], sizes[there][None, :]
-                near &= np.minimum(x, y) >= similarity * np.maximum(x, y)
-                later, earlier = np.nonzero(near)
-                differ = fps[i + later] ^ fps[j + earlier]
-                for mask in before:
-                    met = ((differ & mask) == 0).all(axis=1)
-                    near[later[met], earlier[met]] = False
-                    later, earlier, differ = later[~met], earlier[~met], differ[~met]
+            here = slice(i, min(i + BLOCK, len(fps)))
+            found = np.zeros(here.stop - i, dtype=np.int64)
+            for j in range(0, here.stop, 2048):
+                there = slice(j, min(j + 2048, here.stop))
+                near = candidates(fps, sizes, here, there, distance, similarity)
+                later, earlier = first_met(near, fps[here], fps[there], before)
                 rank = near.cumsum(axis=1)[later, earlier] + found[later]
                 found += near.sum(axis=1)
                 seen[i + later] = seen[j + earlier] = True
-                apart = roots[i + later] != roots[j + earlier]
-                more |= bool((apart & (rank > most)).any())
-                asked = apart & (rank > least) & (rank <= most)
+                asked = rank <= most
                 b += [nodes[i + k] for k in later[asked].tolist()]
                 a += [nodes[j + k] for k in earlier[asked].tolist()]
-        if least == 0:
-            b += [nodes[k] for k in np.flatnonzero(seen).tolist()]
-        if more:
-            b.append(None)
-        if not b:
+                more[i + later[~asked]] = more[j + earlier[~asked]] = True
+        if not seen.any():
             return None
-        a += [None] * (len(b) - len(a))
+        seen, more = ([nodes[k] for k in np.flatnonzero(x).tolist()] for x in (seen, more))
+        a, b = [*a, *[None] * len(seen), *more], [*b, *seen, *[None] * len(more)]
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([key] * len(a), pa.int64())], names=["a", "b", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-
-        def done() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held)
+        for rows in whole_groups(batches, 1):
             if rows.num_rows > 1:
-                fps = np.frombuffer(b"".join(rows.column(2).to_pylist()), dtype="<u8").reshape(rows.num_rows, -1)
-                roots = rows.column(4).combine_chunks().dictionary_encode().indices.to_numpy()
-                found = group(last, rows.column(1).to_pylist(), fps, rows.column(3).to_numpy(), roots)
+                found = group(rows.column(0)[0].as_py(), rows.column(1).to_pylist(), words_of(rows.column(2)), rows.column(3).to_numpy())
                 if found is not None:
                     yield found
 
-        for rows in batches:
-            keys = rows.column(0).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for start, stop in zip(cuts, cuts[1:], strict=False):
-                if start == stop:
-                    continue
-                if held and keys[start] != last:
-                    yield from done()
-                    held = []
-                last = int(keys[start])
-                held.append(rows.slice(start, stop - start))
-        if held:
-            yield from done()
+    return run
+
+
+def searcher(distance: int, similarity: float, kept_bits: list[list[int]]):
+    """Over rows sorted by key, two parts of its texts and the part: enough verified links to connect
+    all candidates of the key, of which one is in either part, that are similar."""
+    masks = packed_masks(kept_bits)
+
+    def group(before: np.ndarray, cut: int, fps: np.ndarray, label: np.ndarray, sets: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Rows from ``cut`` on against those before it, or all against all where it is 0; ``label``
+        numbers the components and is changed as links are found."""
+        sizes = np.array([len(x) // 8 for x in sets])
+        shingle, stops = np.unique(np.frombuffer(b"".join(sets), dtype="<u8"), return_inverse=True)[1], sizes.cumsum()
+        starts, own = stops - sizes, np.zeros(len(shingle) + 1, dtype=bool)
+        for i in range(cut, len(fps), BLOCK):
+            here = slice(i, min(i + BLOCK, len(fps)))
+            for j in range(0, cut or here.stop, 2048):
+                there = slice(j, min(j + 2048, cut or here.stop))
+                near = candidates(fps, sizes, here, there, distance, similarity) & (label[here][:, None] != label[there][None, :])
+                later, earlier = first_met(near, fps[here], fps[there], before)
+                for x in np.unique(later).tolist():
+                    y = j + earlier[later == x]
+                    x += i
+                    y = y[label[y] != label[x]]
+                    if not len(y):
+                        continue
+                    # The places of the shingles of all candidates, one after the other.
+                    ends = sizes[y].cumsum()
+                    place = np.arange(ends[-1]) + np.repeat(starts[y] - ends + sizes[y], sizes[y])
+                    mine = shingle[starts[x] : stops[x]]
+                    own[mine] = True
+                    shared = np.append(0, own[shingle[place]].cumsum())
+                    own[mine] = False
+                    both = shared[ends] - shared[ends - sizes[y]]
+                    for k in y[both >= similarity * (sizes[x] + sizes[y] - both)].tolist():
+                        if label[k] != label[x]:
+                            label[label == label[k]] = label[x]
+                            yield k, x
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, 3):
+            key, p, q = (rows.column(i)[0].as_py() for i in range(3))
+            cut = int((rows.column(3).to_numpy() == p).sum()) if p != q else 0
+            nodes = rows.column(4).to_pylist()
+            label = rows.column(6).combine_chunks().dictionary_encode().indices.to_numpy().copy()
+            found = list(group(masks[: key % len(masks)], cut, words_of(rows.column(5)), label, rows.column(7).to_pylist()))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[pair[i]] for pair in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -543,10 +607,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return map_batches(both.select("a", "b", "x", "y"), run, "a binary, b binary")
 
 
-def merged(roots: DataFrame | None, new: DataFrame) -> DataFrame | None:
+def merged(roots: DataFrame, new: DataFrame) -> DataFrame:
     """The roots once the links ``new`` are added; only the components they join are looked at."""
-    if roots is None:
-        return components(new)
     if new.isEmpty():
         return roots
     root_of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
@@ -557,29 +619,44 @@ def merged(roots: DataFrame | None, new: DataFrame) -> DataFrame | None:
     return settle(moved.unionByName(joined.join(roots.select("node"), "node", "left_anti").select("node", "root")), "near-roots")
 
 
+def crowded_links(
+    crowded: DataFrame, texts: DataFrame, sets: DataFrame, roots: DataFrame, search: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+) -> DataFrame:
+    """``a, b``: links between the ``crowded`` texts (``key, node``) of each key that ``search`` verifies.
+
+    The texts of a key outside its largest component meet each other and that component, whose own
+    texts need not meet. Parts of ``FRAGMENT`` shingles on average keep what one task holds bounded.
+    """
+    known = crowded.join(texts.select("node", "fp", "n"), "node").join(roots, "node", "left_outer")
+    rows = settle(known.withColumn("root", F.coalesce("root", "node")), "near-crowded")
+    sums = rows.groupBy("key", "root").agg(F.sum(F.col("n") + 1).alias("n"))
+    largest = sums.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    parts = lambda n: F.ceil(n / FRAGMENT)
+    dealt = largest.select("key", F.col("main.root").alias("main"), parts(F.col("main.n")).alias("mains"), parts(F.col("n") - F.col("main.n")).alias("rests")).where("rests > 0")
+    hashed, is_main = F.xxhash64("node", F.lit(SEED)), F.col("root") == F.col("main")
+    part = F.when(is_main, F.pmod(hashed, "mains")).otherwise(F.col("mains") + F.pmod(hashed, "rests"))
+    other = F.explode(F.sequence(F.when(is_main, F.col("mains")).otherwise(F.lit(0).cast("long")), F.col("mains") + F.col("rests") - 1))
+    met = rows.join(dealt, "key").join(sets, "node").withColumn("part", part).withColumn("other", other)
+    met = met.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "node", "fp", "root", "hashes")
+    return map_batches(met.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "part", "node"), search, "a binary, b binary")
+
+
 def near_links(docs: DataFrame, texts: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:
     """``node, root`` of the nodes that are linked to others; ``texts``: ``node, fp, n, digest``."""
     kept_bits = wide_plan(texts)
-    keyed = settle(wide_probes(texts, kept_bits), "near-keyed")
-    order = F.xxhash64("node", F.lit(SEED))
-    least, most, roots, sets = 0, NEAR_PAIRS, None, None
-    while True:
-        rows = keyed.withColumn("root", F.col("node")) if roots is None else (
-            keyed.join(roots, "node", "left_outer").select("key", "node", "fp", "n", F.coalesce("root", "node").alias("root"))
-        )
-        dealt = rows.withColumn("place", order).repartition("key").sortWithinPartitions("key", "place", "node").select("key", "node", "fp", "n", "root")
-        met = settle(dealt.mapInArrow(pairer(distance, similarity, kept_bits, least, most), "a binary, b binary, key long"), "near-met")
-        if sets is None:
-            wanted = met.where("a IS NULL AND b IS NOT NULL").select(F.col("b").alias("node")).distinct()
-            wanted = settle(texts.join(wanted, "node", "left_semi").select("digest", "node"), "near-wanted")
-            sets = settle(shingle_sets(docs, wanted, size), "near-sets")
-        new = settle(verified(met.where("a IS NOT NULL").select("a", "b"), sets, similarity), "near-links")
-        roots = merged(roots, new)
-        crowded = met.where("b IS NULL").select("key")
-        if crowded.isEmpty():
-            return roots
-        keyed = settle(keyed.join(crowded, "key", "left_semi"), "near-keyed")
-        least, most = most, most * NEAR_GROWTH
+    placed = wide_probes(texts, kept_bits).withColumn("place", F.xxhash64("node", F.lit(SEED)))
+    dealt = placed.repartition("key").sortWithinPartitions("key", "place", "node").select("key", "node", "fp", "n")
+    met = settle(dealt.mapInArrow(pairer(distance, similarity, kept_bits, NEAR_PAIRS), "a binary, b binary, key long"), "near-met")
+    wanted = met.where("a IS NULL").select(F.col("b").alias("node")).distinct()
+    wanted = settle(texts.join(wanted, "node", "left_semi").select("digest", "node"), "near-wanted")
+    sets = settle(shingle_sets(docs, wanted, size), "near-sets")
+    new = settle(verified(met.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b"), sets, similarity), "near-links")
+    roots = components(new)
+    crowded = met.where("b IS NULL").select("key", F.col("a").alias("node"))
+    if crowded.isEmpty():
+        return roots
+    search = searcher(distance, similarity, kept_bits)
+    return merged(roots, settle(crowded_links(crowded, texts, sets, roots, search), "near-links"))
 
 
 def near_classes(docs: DataFrame, size: int, distance: int, similarity: float) -> DataFrame:

@@ -513,3 +513,51 @@ def test_recall_of_near_copies_at_the_limit(spark):
     met = sum(root[i] == root[i + 1] for i in want)
     assert met >= 0.9 * len(want)
     assert len(set(root.values())) == len(rows) - met
+
+
+def test_texts_beside_a_large_group_make_no_row_a_pair(spark, monkeypatch):
+    """Verified pairs grow with the texts, not with those that stay apart times the group beside them."""
+    random = np.random.default_rng(14)
+    base = [f"w{x}" for x in range(300)]
+
+    def changed(name, n):
+        own = list(base)
+        for x in random.choice(300, n, replace=False):
+            own[x] = f"{name}-{x}"
+        return " ".join(own)
+
+    rows, asked, verified = {}, {}, simhash.verified
+    for m in (60, 240):
+        texts = [changed(f"g{i}", i % 3) for i in range(m)] + [changed(f"a{i}", 10) for i in range(m // 4)]
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], fixtures.SCHEMA)
+        counted = []
+        monkeypatch.setattr(simhash, "verified", lambda pairs, *more: counted.append(pairs.count()) or verified(pairs, *more))  # noqa: B023
+        rows[m], asked[m] = simhash.deduplicate(docs).count(), sum(counted)
+        sets = [sets_of(t) for t in texts]
+        assert all(len(a & b) < 0.8 * len(a | b) for i, a in enumerate(sets[m:]) for b in sets[: m + i])
+    assert rows == {m: 1 + m // 4 for m in rows}
+    assert asked[240] <= 6 * asked[60]
+
+
+@pytest.mark.parametrize("fragment", [500, 1 << 20])
+def test_crowded_keys_in_parts_equal_brute_force(spark, monkeypatch, fragment):
+    """Links that lie in any two parts of a key are found: one group, a chain and texts apart."""
+    random = np.random.default_rng(15)
+    base = [f"w{x}" for x in range(200)]
+    chain, texts = list(base), []
+    for i in range(25):
+        own = list(base)
+        for x in random.choice(200, i % 7, replace=False):
+            own[x] = f"g{i}-{x}"
+        chain[7 * i] = f"c{i}"
+        texts += [" ".join(own), " ".join(chain)]
+    sets, root = [sets_of(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                root = [root[j] if r == root[i] else r for r in root]
+    monkeypatch.setattr(simhash, "NEAR_PAIRS", 0)
+    monkeypatch.setattr(simhash, "FRAGMENT", fragment)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], fixtures.SCHEMA).repartition(3)
+    found = {r.doc_id: r.root for r in simhash.near_classes(docs, 5, simhash.NEAR_DISTANCE, 0.8).collect()}
+    assert len(found) == len(texts) and len({(found[i], root[i]) for i in found}) == len(set(found.values())) == len(set(root))
