@@ -297,7 +297,8 @@ def test_substrings_at_all_offsets(spark, tmp_path, monkeypatch, crowd):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{fixtures.SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{fixtures.SF}/{table}.parquet')")
     cursor = con.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     frame = QUERIES[name](spark, fixtures.SF)
