@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from padron.functions.text import has_number, has_text
 from padron.model import IDENTIFIERS
-from padron.operators.skew import lookup_join
+from padron.operators import skew
+from padron.operators.skew import beside, few, lookup_join
 
 KEY = ("campo", "clave")
 
@@ -70,15 +71,19 @@ def unique_violations(rows: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
-def held(keys: DataFrame, stored: DataFrame) -> DataFrame:
+def held(keys: DataFrame, stored: DataFrame, small: bool | None = None) -> DataFrame:
     """Long rows of ``stored`` whose value is one of ``keys`` (distinct values).
 
     The values asked for come first: what is aggregated afterwards grows with them and not with
     the table. ``stored`` may be a stored index in place of the rows (``operators.keyindex``).
+    ``small`` tells whether the values can be broadcast, if that is known.
     """
     if hasattr(stored, "held"):
         return stored.held(keys)
-    return identifier_rows(stored).join(keys.select(*KEY), list(KEY), "left_semi")
+    asked = keys.select(*KEY)
+    if small is not None:
+        asked = beside(asked, small)
+    return identifier_rows(stored).join(asked, list(KEY), "left_semi")
 
 
 def load_conflicts(
@@ -89,17 +94,19 @@ def load_conflicts(
     A rejected row still holds its values against later rows; the result is the same
     whatever the order of evaluation. ``en_destino`` tells the two cases apart.
     """
+    # Three values a row, each some four times as large as a number.
+    small = few(rows, skew.BROADCAST_ROWS // 12)
     keys = identifier_rows(rows, key, carry=carry)
     owners = key_owners(keys).drop("ultima")
-    taken = held(owners, stored).select(*KEY).distinct().withColumn("_taken", F.lit(True))
+    taken = held(owners, stored, small).select(*KEY).distinct().withColumn("_taken", F.lit(True))
     owners = (
-        owners.join(taken, list(KEY), "left_outer")
+        owners.join(beside(taken, small), list(KEY), "left_outer")
         .withColumn("en_destino", F.col("_taken").isNotNull())
         .drop("_taken")
         .where("n > 1 OR en_destino")
     )
     return (
-        lookup_join(keys, owners, KEY, "n")
+        lookup_join(keys, owners, KEY, "n", small)
         .where(F.col("en_destino") | (F.col("fila") > F.col("primera")))
         .select(F.col("fila").alias(key), *KEY, *(carry or {}), "en_destino")
     )

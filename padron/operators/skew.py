@@ -11,19 +11,44 @@ from pyspark.sql import functions as F
 # A key outside it carries at most 1/HEAVY_KEYS of all rows.
 HEAVY_KEYS = 1000
 
+# The right side of a join is broadcast up to so many counted rows (one number each: some 60 MB on
+# the driver), and never beyond.
+BROADCAST_ROWS = 1 << 20
+
 # Integer keys are numbered in blocks of 2**BLOCK_BITS consecutive values: with unique keys
 # no group, at any level, exceeds 65,536 rows.
 BLOCK_BITS = 16
 LEVELS = 3
 
 
+def few(rows: DataFrame, most: int | None = None) -> bool:
+    """Whether there are at most ``most`` rows (``BROADCAST_ROWS``). They are counted at once; of a
+    written table that takes its footers only."""
+    return rows.count() <= (BROADCAST_ROWS if most is None else most)
+
+
+def beside(lookup: DataFrame, small: bool) -> DataFrame:
+    """``lookup`` as the right side of a join: broadcast if it is small, else sorted and merged.
+
+    Left to itself Spark estimates it by the bytes of a compressed file and the share of the
+    columns read: nine million ids seem smaller than its limit, and exhaust the driver.
+    """
+    return F.broadcast(lookup) if small else lookup.hint("merge")
+
+
+def counted(lookup: DataFrame) -> DataFrame:
+    """``lookup`` as the right side of a join, by its own number of rows."""
+    return beside(lookup, few(lookup))
+
+
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str, small: bool | None = None
 ) -> DataFrame:
     """Inner join of ``rows`` with a lookup of one row per key.
 
     ``weight`` is the lookup's column with the number of rows per key. The heaviest keys are
-    joined by broadcast, so their rows stay where they are; only the rest is shuffled.
+    joined by broadcast, so their rows stay where they are; only the rest is shuffled. ``small``
+    tells whether the lookup can be broadcast whole, if that is known.
     """
     on = list(on)
     payload = [c for c in lookup.columns if c not in on]
@@ -33,7 +58,8 @@ def lookup_join(
     heavy = packed.orderBy(F.desc(f"_p.{weight}"), *on).limit(HEAVY_KEYS)
     marked = rows.join(F.broadcast(heavy), on, "left_outer")
     hot = marked.where(F.col("_p").isNotNull())
-    light = marked.where(F.col("_p").isNull()).drop("_p").join(packed, on)
+    rest = packed if small is None else beside(packed, small)
+    light = marked.where(F.col("_p").isNull()).drop("_p").join(rest, on)
     return hot.unionByName(light).select(*rows.columns, "_p.*")
 
 

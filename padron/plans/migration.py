@@ -17,7 +17,7 @@ from padron.functions.text import words
 from padron.operators.identifiers import load_conflicts
 from padron.operators.paging import row_count, slice_rows
 from padron.operators.quality import check_violations, source_check
-from padron.operators.skew import dense_index
+from padron.operators.skew import counted, dense_index
 from padron.sources.tables import OpenRun, Workspace, append_target, scan_target
 
 REPORT_ROWS = 10
@@ -209,7 +209,7 @@ def pending(legacy: DataFrame, target: DataFrame) -> DataFrame:
     done = target.where(
         F.col("metadatos").getField("sistema_origen") == model.LEGACY_SYSTEM
     ).select(F.col("metadatos").getField("id_origen").alias("_done"))
-    return legacy.join(done, F.col("id").try_cast("int") == F.col("_done"), "left_anti")
+    return legacy.join(counted(done), F.col("id").try_cast("int") == F.col("_done"), "left_anti")
 
 
 def source_gate(legacy: DataFrame, as_of: AsOf) -> DataFrame:
@@ -350,7 +350,7 @@ def loaded(run: Migration, target: DataFrame) -> DataFrame:
     origin = target.where(meta.getField("sistema_origen") == model.LEGACY_SYSTEM).select(
         meta.getField("id_origen").alias("id")
     )
-    return origin.join(run.source.select("id"), "id", "left_semi")
+    return origin.join(counted(run.source.select("id")), "id", "left_semi")
 
 
 def run(
@@ -378,7 +378,7 @@ def run(
     work.seal()
     rows = todo.loadable
     if resumed:
-        rows = rows.join(loaded(todo, scan_target(spark, target_path)), "id", "left_anti")
+        rows = rows.join(counted(loaded(todo, scan_target(spark, target_path))), "id", "left_anti")
     append_target(assign_ids(rows, target), target_path)
     after = scan_target(spark, target_path)
     typed = todo.source.drop("_error", "_fila")
