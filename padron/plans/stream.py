@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from padron import model
 from padron.functions.asof import AsOf
+from padron.operators.skew import beside, counted, few
 from padron.plans import migration
 from padron.sources.tables import Workspace, append_target, scan_target
 
@@ -86,7 +87,7 @@ def latest_versions(rows: DataFrame, column: str = "update_at") -> DataFrame:
 
     Only ids with several versions are aggregated, the others pass.
     """
-    several = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    several = counted(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"))
     rest = [c for c in rows.columns if c not in ("id", column)]
     order = F.struct(column, *rest)
     last = rows.join(several, "id", "left_semi").groupBy("id").agg(F.max(order).alias("v")).select("id", "v.*")
@@ -107,10 +108,11 @@ def refresh(
     changed = current if since is None else current.where(F.col("update_at") > F.lit(since))
     waiting = migration.pending(current, target)
     todo = work.settle(changed.unionByName(waiting.select(*changed.columns)).distinct(), "changed")
-    ids = todo.select(F.col("id").try_cast("int").alias("_origen"))
+    small = few(todo)
+    ids = beside(todo.select(F.col("id").try_cast("int").alias("_origen")), small)
     own = target.withColumn("_origen", F.when(meta.getField("sistema_origen") == model.LEGACY_SYSTEM, meta.getField("id_origen")))
     stays = own.join(ids, "_origen", "left_anti").drop("_origen")
-    known = own.join(ids, "_origen", "left_semi").select("_origen", F.col("id").alias("_id"))
+    known = beside(own.join(ids, "_origen", "left_semi").select("_origen", F.col("id").alias("_id")), small)
     run = migration.plan(todo, stays, as_of, work, zone)
     top = target.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).scalar()
     fresh = run.loadable.withColumn("_origen", F.col("metadatos").getField("id_origen")).join(known, "_origen", "left_outer")

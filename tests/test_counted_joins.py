@@ -3,11 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.inputs import legacy, scratch
 from checks.queries import AS_OF, empty_target, loaded
 from padron.operators import identifiers, skew
-from padron.plans import migration
+from padron.plans import migration, stream
 from tests.conftest import SF
 
 
@@ -53,3 +54,19 @@ def test_small_tables_are_broadcast(spark):
         assert broadcast_joins(migration.pending(rows, target))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_refresh_without_broadcast(spark, monkeypatch):
+    rows = legacy(spark, SF).where("id < 600")
+    first, _ = stream.refresh(rows, empty_target(spark), AS_OF, scratch(spark), None)
+    first = scratch(spark).settle(first, "first")
+    since = rows.agg(F.max("update_at")).first()[0]
+    newer = rows.where("id % 6 = 1").withColumns({"nombre": F.lit("Nueva"), "update_at": F.lit(since) + F.expr("INTERVAL 1 HOUR")})
+    feed = rows.unionByName(newer)
+    want = content(stream.refresh(feed, first, AS_OF, scratch(spark), since)[0])
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 10, raising=False)
+    second, _ = stream.refresh(feed, first, AS_OF, scratch(spark), since)
+    # No id is repeated in it: that table is empty and may be broadcast.
+    assert not [join for join in broadcast_joins(second) if "_fila" not in join]
+    assert not broadcast_joins(stream.latest_versions(feed))
+    assert content(second) == want
