@@ -17,7 +17,7 @@ from padron.functions.text import words
 from padron.operators.identifiers import load_conflicts
 from padron.operators.paging import row_count, slice_rows
 from padron.operators.quality import check_violations, source_check
-from padron.operators.skew import counted, dense_index
+from padron.operators.skew import beside, counted, dense_index
 from padron.sources.tables import OpenRun, Workspace, append_target, scan_target
 
 REPORT_ROWS = 10
@@ -153,10 +153,10 @@ def repeated_ids(rows: DataFrame) -> DataFrame:
     of repeated ids are compared.
     """
     several = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    mine = rows.join(several, "id", "left_semi")
+    mine = rows.join(counted(several), "id", "left_semi")
     order = F.struct(*[c for c in rows.columns if c not in ("id", "_fila")], "_fila")
     stay = mine.groupBy("id").agg(F.min(order).getField("_fila").alias("_fila")).select("_fila")
-    return mine.join(stay, "_fila", "left_anti")
+    return mine.join(beside(stay, False), "_fila", "left_anti")
 
 
 def repeat_errors(repeats: DataFrame, as_of: AsOf) -> DataFrame:
@@ -273,10 +273,10 @@ def plan(
     typed = work.settle(coerce(legacy).withColumn("_fila", F.monotonically_increasing_id()), "source")
     good = typed.where(F.col("_error").isNull()).drop("_error")
     repeats = work.settle(repeated_ids(good), "repeats")
-    single = good.join(repeats.select("_fila"), "_fila", "left_anti")
+    single = good.join(counted(repeats.select("_fila")), "_fila", "left_anti")
     refused = work.settle(load_errors(transform(single, as_of, zone), target, as_of), "rejects")
     # Rejects leave before the transform, while the rows are flat.
-    kept = single.join(refused.select(F.col("id_mysql").alias("id")), "id", "left_anti")
+    kept = single.join(counted(refused.select(F.col("id_mysql").alias("id"))), "id", "left_anti")
     return Migration(
         source=typed,
         loadable=transform(kept, as_of, zone),

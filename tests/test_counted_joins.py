@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import legacy, scratch
-from checks.queries import AS_OF, empty_target, loaded
+from checks.queries import AS_OF, broken_text, empty_target, loaded
 from padron.operators import identifiers, skew
 from padron.plans import migration, stream
 from tests.conftest import SF
@@ -70,3 +70,17 @@ def test_refresh_without_broadcast(spark, monkeypatch):
     assert not [join for join in broadcast_joins(second) if "_fila" not in join]
     assert not broadcast_joins(stream.latest_versions(feed))
     assert content(second) == want
+
+
+def test_broken_rows_leave_without_broadcast(spark, monkeypatch):
+    """Rows that repeat an id and rows refused, more of them than may be broadcast."""
+    raw = broken_text(spark, SF)
+    usual = migration.plan(raw, empty_target(spark), AS_OF, scratch(spark))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 10, raising=False)
+    run = migration.plan(raw, empty_target(spark), AS_OF, scratch(spark))
+    typed = run.source.where("_error IS NULL").drop("_error")
+    assert not broadcast_joins(migration.repeated_ids(typed))
+    assert not broadcast_joins(run.loadable)
+    assert run.repeats.count() == usual.repeats.count() > 10
+    assert content(run.rejects) == content(usual.rejects)
+    assert content(run.loadable) == content(usual.loadable)
